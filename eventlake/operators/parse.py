@@ -1,8 +1,9 @@
 """Raw message -> typed bronze row, with routing of bad messages.
 
-Three stacked projections of native expressions (decode, member lookup,
-coercion): no Python per row, no shuffle, and the same code for a batch and a
-streaming DataFrame.
+A stack of projections of native expressions (decode, member lookup, typed
+readings, timestamp steps, coercion): no Python per row, no shuffle, one
+whole-stage-codegen pipeline, and the same code for a batch and a streaming
+DataFrame.
 
 Modes (how a bad message is handled):
 
@@ -56,61 +57,88 @@ def parse(
     # Stage 1: decode and parse once. Later stages refer to these columns by
     # name; Catalyst does not inline a non-trivial expression used many times.
     text, utf8_ok = C.decode_utf8(F.col(value), is_binary)
-    doc, well_formed = C.json_document(text)
+    as_element, as_member = C.json_wrappers(F.col("raw_message"))
     decoded = df.select(
         (F.make_valid_utf8(text) if is_binary else text).alias("raw_message"),
         utf8_ok.alias("_utf8"),
-        well_formed.alias("_json"),
-        C.is_json_object(text).alias("_object"),
-        doc.alias("_doc"),
         stamp.alias("ingestion_time"),
         now.alias("_now"),
         *keep_cols,
     )
+    decoded = _add(decoded, {"_array": as_element, "_member_ok": as_member.isNotNull()})
+    doc = F.try_variant_get(F.col("_array"), "$[0]", "variant")
+    decoded = _add(decoded, {"_doc": doc}).drop("_array")
+    decoded = _add(
+        decoded,
+        {
+            "_json": F.col("_doc").isNotNull() & F.col("_member_ok"),
+            "_object": C.is_json_object(F.col("raw_message")),
+        },
+    )
 
     # Stage 2: look each member up once.
     members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
-    looked_up = decoded.select(
-        "*", *[C.field(F.col("_doc"), m).alias(f"_m_{m}") for m in members]
-    ).drop("_doc")
+    staged = _add(decoded, {f"_m_{m}": C.field(F.col("_doc"), m) for m in members}).drop("_doc")
     m = {name: F.col(f"_m_{name}") for name in members}
+    int_names = ("event_id", "customer_id", "product_id")
+    text_names = ("session_id", "event_type")
+
+    # Stage 3: read each member once as the types it may be coerced to.
+    readings = {f"_l_{n}": F.try_variant_get(m[n], "$", "bigint") for n in int_names}
+    readings.update({f"_s_{n}": F.try_variant_get(m[n], "$", "string") for n in text_names})
+    readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in text_names})
+    if mode == "drop":
+        readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in int_names})
+    staged = _add(staged, readings)
 
-    # Stage 3: coerce.
+    # Stage 4+: the timestamp, one projection per step.
+    for stage in C.timestamp_stages("_m_event_timestamp", "_now", iso_only=(mode == "drop")):
+        staged = _add(staged, stage)
+
+    # Final stage: coerce and pick the first failure.
     if mode == "drop":
-        date, ts_ok = C.event_date(m["event_timestamp"], F.col("_now"), iso_only=True)
-        ints = {n: _strict_int(m[n], 0) for n in ("event_id", "customer_id", "product_id")}
-        session_col, session_ok = _strict_text(m["session_id"], S.DEFAULT_SESSION_ID)
-        etype_col, etype_ok = _strict_text(m["event_type"], S.DEFAULT_EVENT_TYPE)
+        ints = {n: _strict_int(m[n], F.col(f"_t_{n}"), F.col(f"_l_{n}"), 0) for n in int_names}
+        texts = {
+            n: _strict_text(m[n], F.col(f"_t_{n}"), F.col(f"_s_{n}"), d)
+            for n, d in (("session_id", S.DEFAULT_SESSION_ID), ("event_type", S.DEFAULT_EVENT_TYPE))
+        }
+        session_col, session_ok = texts["session_id"]
+        etype_col, etype_ok = texts["event_type"]
         text_ok = session_ok & etype_ok
     else:
-        date, ts_ok = C.event_date(m["event_timestamp"], F.col("_now"))
-        ints = {n: C.to_int(m[n], 0) for n in ("event_id", "customer_id", "product_id")}
-        session_col = C.to_text(m["session_id"], S.DEFAULT_SESSION_ID, S.SESSION_ID_MAX)
-        etype_col = C.to_text(m["event_type"], S.DEFAULT_EVENT_TYPE, S.EVENT_TYPE_MAX)
+        ints = {n: C.to_int(m[n], F.col(f"_l_{n}"), 0) for n in int_names}
+        session_col = C.to_text(
+            m["session_id"], F.col("_t_session_id"), F.col("_s_session_id"),
+            S.DEFAULT_SESSION_ID, S.SESSION_ID_MAX,
+        )
+        etype_col = C.to_text(
+            m["event_type"], F.col("_t_event_type"), F.col("_s_event_type"),
+            S.DEFAULT_EVENT_TYPE, S.EVENT_TYPE_MAX,
+        )
         text_ok = F.lit(True)
 
     error = (
         F.when(~F.col("_utf8"), F.lit(S.ERR_INVALID_UTF8))
         .when(~F.col("_json"), F.lit(S.ERR_INVALID_JSON))
         .when(~F.col("_object"), F.lit(S.ERR_NOT_AN_OBJECT))
-        .when(~ts_ok, F.lit(S.ERR_INVALID_TIMESTAMP))
+        .when(~F.col("_ts_ok"), F.lit(S.ERR_INVALID_TIMESTAMP))
     )
-    for name in ("event_id", "customer_id", "product_id"):
+    for name in int_names:
         error = error.when(~ints[name][1], F.lit(S.ERR_INVALID_INT + name))
     if mode == "drop":
         error = error.when(~text_ok, F.lit("INVALID_STRING"))
         # A REQUIRED column cannot take a JSON null passed through.
         error = error.when(ints["event_id"][0].isNull(), F.lit("NULL_REQUIRED:event_id"))
 
-    coerced = looked_up.select(
+    coerced = staged.select(
         ints["event_id"][0].alias("event_id"),
-        C.date_id(date).alias("date_id"),
+        C.date_id(F.col("_ts_date")).alias("date_id"),
         ints["customer_id"][0].alias("customer_id"),
         ints["product_id"][0].alias("product_id"),
         session_col.alias("session_id"),
         etype_col.alias("event_type"),
         "ingestion_time",
-        error.alias("error"),
+        _fenced(error).alias("error"),
         "raw_message",
         *keep_cols,
     )
@@ -134,19 +162,33 @@ def parse(
     return coerced
 
 
-def _strict_int(value: Column, default: int) -> tuple[Column, Column]:
+def _fenced(error: Column) -> Column:
+    """``error`` unchanged, but marked non-deterministic.
+
+    Routing filters on ``error``. Catalyst pushes a filter below any
+    deterministic projection by inlining the aliases it references, which
+    would decode every message twice (once in the filter, once in the
+    projection) and overflow the generated method. A projection holding a
+    non-deterministic expression is not crossed, so the filter stays on top
+    and reads the computed column. ``spark_partition_id()`` is never negative;
+    the extra branch costs one integer compare per row.
+    """
+    return F.when(F.spark_partition_id() < 0, F.lit(None).cast("string")).otherwise(error)
+
+
+def _add(df: DataFrame, stage: dict) -> DataFrame:
+    return df.select("*", *[col.alias(name) for name, col in stage.items()])
+
+
+def _strict_int(value: Column, t: Column, as_long: Column, default: int) -> tuple[Column, Column]:
     """Pass-through integer: JSON integers and integer strings only; null stays NULL."""
-    t = F.schema_of_variant(value)
-    as_long = F.try_variant_get(value, "$", "bigint")
     fits = (t == "VOID") | (((t == "BIGINT") | (t == "STRING")) & as_long.isNotNull())
     result = F.when(value.isNull(), F.lit(default).cast("bigint")).otherwise(as_long)
     return result, value.isNull() | fits
 
 
-def _strict_text(value: Column, default: str) -> tuple[Column, Column]:
+def _strict_text(value: Column, t: Column, as_text: Column, default: str) -> tuple[Column, Column]:
     """Pass-through string: JSON strings as they are; null stays NULL; no cut."""
-    t = F.schema_of_variant(value)
-    as_text = F.try_variant_get(value, "$", "string")
     result = F.when(value.isNull(), F.lit(default)).otherwise(as_text)
     return result, value.isNull() | t.isin("STRING", "VOID")
 

@@ -39,7 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
+    """The ``events`` table, spread over the session's cores when it has fewer splits."""
+    from ..sources.files import spread
+
+    return spread(table(spark, sf_dir, "events"))
 
 
 # ---------------------------------------------------------------------------

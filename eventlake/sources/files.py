@@ -111,3 +111,24 @@ def pick_batch(spark: SparkSession, folder: str, at, glob: str = BATCH_GLOB) ->
 def bounded(df: DataFrame, max_messages: int | None) -> DataFrame:
     """A pull of at most ``max_messages`` messages (batch form of a bounded pull)."""
     return df.limit(max_messages) if max_messages else df
+
+
+# ---------------------------------------------------------------------------
+# Parallelism floor for CPU-heavy work on small inputs
+# ---------------------------------------------------------------------------
+
+
+def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a freshly read scan that has fewer splits than the session has cores.
+
+    Decoding is CPU-bound; a small file with one Parquet row group is a single
+    split, so one core would do all the work. A scan of a large table has far
+    more splits than cores, and then this is a no-op (no shuffle is added).
+    Only counts the scan's splits (file listing, no Spark job); call it on
+    ``spark.read...`` output, not on a plan with shuffles.
+    """
+    if scan.isStreaming:
+        return scan
+    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+    current = scan.rdd.getNumPartitions()
+    return scan.repartition(target) if current < target else scan
