@@ -1,0 +1,191 @@
+"""The full medallion run: setup -> ingest -> silver/gold -> tests -> validate.
+
+Each step is a plain function over a :class:`Layout` (namespaces, table names,
+storage root), called in order; the first failure stops the run, like the
+scheduled chain it replaces. Model order follows the references between
+models: gold reads the silver view, which reads bronze.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..operators import models as M
+from ..operators import parse as P
+from ..operators import quality as Q
+from ..sinks import tables as TB
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where the three layers live. ``root`` (a shared folder) holds their files."""
+
+    root: str | None = None
+    bronze_db: str = S.BRONZE_DB
+    silver_db: str = S.SILVER_DB
+    gold_db: str = S.GOLD_DB
+    bronze_table: str = S.BRONZE_TABLE
+    deadletter_table: str = S.DEADLETTER_TABLE
+    silver_view: str = S.SILVER_VIEW
+    gold_table: str = S.GOLD_TABLE
+    gold_buckets: int | None = None  # None: spark.sql.shuffle.partitions
+
+    @property
+    def bronze(self) -> str:
+        return f"{self.bronze_db}.{self.bronze_table}"
+
+    @property
+    def deadletter(self) -> str:
+        return f"{self.bronze_db}.{self.deadletter_table}"
+
+    @property
+    def silver(self) -> str:
+        return f"{self.silver_db}.{self.silver_view}"
+
+    @property
+    def gold(self) -> str:
+        return f"{self.gold_db}.{self.gold_table}"
+
+    def location(self, db: str) -> str | None:
+        return f"{self.root.rstrip('/')}/{db}.db" if self.root else None
+
+
+@dataclass
+class RunResult:
+    ingest: dict = field(default_factory=dict)
+    tests: list = field(default_factory=list)
+    layers: dict = field(default_factory=dict)
+    expired: list = field(default_factory=list)
+
+
+# ---------------------------------------------------------------------------
+# Steps
+# ---------------------------------------------------------------------------
+
+
+def setup(spark: SparkSession, layout: Layout) -> None:
+    """Namespaces and the two bronze tables (day partitions; bronze clustered)."""
+    for db in (layout.bronze_db, layout.silver_db, layout.gold_db):
+        TB.create_namespace(spark, db, layout.location(db))
+    TB.create_table(
+        spark, layout.bronze, S.BRONZE_SCHEMA,
+        partition_field="ingestion_time", clustering_fields=S.BRONZE_CLUSTER_KEYS,
+    )
+    TB.create_table(spark, layout.deadletter, S.DEADLETTER_SCHEMA, partition_field="ingestion_time")
+
+
+def ingest(
+    spark: SparkSession,
+    messages: DataFrame,
+    layout: Layout,
+    mode: str = "deadletter",
+    value: str = "value",
+    stamp: Column | None = None,
+) -> dict:
+    """Decode ``messages`` and append to bronze (and dead-letter); returns counts.
+
+    ``mode='fail'`` (strict batch ingest): the first bad message fails the
+    bronze write, and nothing is appended. ``mode='drop'``: bad messages are
+    dropped and only counted.
+    """
+    parsed = P.parse(messages, value=value, stamp=stamp, mode=mode)
+    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if mode == "drop":
+            valid, obs = P.drop_bad(parsed)
+            TB.append(spark, valid, layout.bronze, required=S.BRONZE_REQUIRED)
+            return dict(obs.get)
+        TB.append(spark, P.valid_rows(parsed), layout.bronze, required=S.BRONZE_REQUIRED)
+        if mode == "deadletter":
+            TB.append(spark, P.deadletter_rows(parsed), layout.deadletter, required=S.DEADLETTER_REQUIRED)
+        counts = parsed.agg(
+            F.count_if(F.col("error").isNull()).alias("n_valid"),
+            F.count_if(F.col("error").isNotNull()).alias("n_deadletter"),
+        )
+        return counts.first().asDict()
+    finally:
+        parsed.unpersist()
+
+
+def silver_sql(layout: Layout) -> str:
+    cols = ", ".join(S.BRONZE_COLUMNS)
+    return f"SELECT {cols} FROM {layout.bronze} WHERE event_id IS NOT NULL"
+
+
+def build_models(
+    spark: SparkSession,
+    layout: Layout,
+    method: str = "aggregate",
+    transformed_at: Column | None = None,
+) -> None:
+    """Silver as a view over bronze, gold as a fully rebuilt table read from silver.
+
+    Gold is written bucketed by ``event_id``, so its ``unique`` test and any
+    later join on the key read co-partitioned files without a shuffle.
+    """
+    TB.create_or_replace_view(spark, layout.silver, silver_sql(layout))
+    gold = M.gold(spark.table(layout.silver), transformed_at=transformed_at, method=method)
+    TB.replace_table(gold, layout.gold, bucket_by="event_id", num_buckets=layout.gold_buckets)
+
+
+def models_of(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    return {"silver": spark.table(layout.silver), "gold": spark.table(layout.gold)}
+
+
+def test(spark: SparkSession, layout: Layout, raise_on_failure: bool = True) -> list:
+    """Run the 11 column tests; one row per test."""
+    result = Q.run_suite(models_of(spark, layout))
+    return Q.assert_suite(result) if raise_on_failure else result.collect()
+
+
+def layer_counts(spark: SparkSession, layout: Layout) -> DataFrame:
+    return Q.layer_counts(
+        {
+            "bronze": spark.table(layout.bronze),
+            "deadletter": spark.table(layout.deadletter),
+            "silver": spark.table(layout.silver),
+            "gold": spark.table(layout.gold),
+        }
+    )
+
+
+def validate(spark: SparkSession, layout: Layout) -> dict:
+    """Layer counts; only an empty bronze is an error."""
+    return Q.validate_layers(layer_counts(spark, layout))
+
+
+def expire(spark: SparkSession, layout: Layout, as_of=None, days: int = S.RETENTION_DAYS) -> list:
+    """Drop expired days of the bronze and dead-letter tables."""
+    as_of = as_of or dt.datetime.now(dt.timezone.utc)
+    out = []
+    for name in (layout.bronze, layout.deadletter):
+        out += TB.expire_partitions(spark, name, as_of, days)
+    return out
+
+
+def run(
+    spark: SparkSession,
+    messages: DataFrame,
+    layout: Layout,
+    mode: str = "deadletter",
+    method: str = "aggregate",
+    raise_on_test_failure: bool = True,
+    stamp: Column | None = None,
+    expire_as_of=None,
+) -> RunResult:
+    """Setup -> ingest -> silver/gold -> tests -> validation (-> optional retention)."""
+    result = RunResult()
+    setup(spark, layout)
+    result.ingest = ingest(spark, messages, layout, mode=mode, stamp=stamp)
+    build_models(spark, layout, method=method)
+    result.tests = test(spark, layout, raise_on_failure=raise_on_test_failure)
+    result.layers = validate(spark, layout)
+    if expire_as_of is not None:
+        result.expired = expire(spark, layout, expire_as_of)
+    return result
