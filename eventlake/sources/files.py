@@ -38,10 +38,10 @@ def read_documents(spark: SparkSession, path: str, glob: str | None = None) -> D
     small by contract (tens of events). Use :func:`read_lines` for large
     newline-delimited inputs.
     """
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(F.input_file_name().alias("path"), "value")
+    return reader.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
 
 
 def explode_documents(docs: DataFrame, value: str = "value", limit: int | None = None) -> DataFrame:
