@@ -65,13 +65,23 @@ def parse(
         now.alias("_now"),
         *keep_cols,
     )
-    decoded = _add(decoded, {"_array": as_element, "_member_ok": as_member.isNotNull()})
+    # The member-wrapper parse only matters when the text holds a "]" that
+    # could close the array wrapper early; other texts skip it.
+    closes_early = F.instr(F.col("raw_message"), "]") > 0
+    decoded = _add(
+        decoded,
+        {
+            "_array": as_element,
+            "_member_ok": F.when(closes_early, as_member.isNotNull()).otherwise(F.lit(True)),
+        },
+    )
     doc = F.try_variant_get(F.col("_array"), "$[0]", "variant")
-    decoded = _add(decoded, {"_doc": doc}).drop("_array")
+    single = F.try_variant_get(F.col("_array"), "$[1]", "variant").isNull()
+    decoded = _add(decoded, {"_doc": doc, "_single": single}).drop("_array")
     decoded = _add(
         decoded,
         {
-            "_json": F.col("_doc").isNotNull() & F.col("_member_ok"),
+            "_json": F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok"),
             "_object": C.is_json_object(F.col("raw_message")),
         },
     )
