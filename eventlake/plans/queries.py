@@ -124,9 +124,12 @@ def q_dq_not_null(spark, sf_dir):
 
 
 def _layers(spark, sf_dir):
-    b = bronze(spark, sf_dir)
+    """Bronze, silver, gold as the pipeline stores them: bronze and gold written once."""
+    from ..sinks.tables import materialize
+
+    b = materialize(bronze(spark, sf_dir), "bronze")
     s = M.silver(b)
-    return b, s, M.gold(s)
+    return b, s, materialize(M.gold(s), "gold")
 
 
 def q_dq_suite(spark, sf_dir):

@@ -207,3 +207,18 @@ def expire_partitions(spark: SparkSession, name: str, as_of, days: int) -> list[
         specs = ", ".join(f"PARTITION ({PARTITION_COLUMN} = DATE'{d.isoformat()}')" for d in expired)
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
     return sorted(expired)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint root and read it back.
+
+    Cuts the lineage where several consumers read one computed frame: it is
+    computed once, survives the loss of any executor (the files are in the
+    shared checkpoint folder, not in executor memory), and the read-back
+    keeps column pruning and filter pushdown.
+    """
+    from ..session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
