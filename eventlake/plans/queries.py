@@ -254,6 +254,8 @@ def q_stream_split(spark, sf_dir):
         ST.path_sink(f"{root}/bronze", clustering=S.BRONZE_CLUSTER_KEYS),
         ST.path_sink(f"{root}/deadletter"),
         checkpoint=f"{root}/_checkpoint",
+        # the supplied table is one file with one row group: one split
+        min_partitions=spark.sparkContext.defaultParallelism,
     )
     counts = [
         spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))

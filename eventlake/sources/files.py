@@ -129,6 +129,9 @@ def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if scan.isStreaming:
         return scan
-    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-    current = scan.rdd.getNumPartitions()
+    try:
+        target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+        current = scan.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return scan
     return scan.repartition(target) if current < target else scan

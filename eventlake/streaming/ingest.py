@@ -93,13 +93,19 @@ def start_ingest(
     trigger: str | None = S.DEFAULT_TRIGGER,
     available_now: bool = False,
     query_name: str | None = None,
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the two-sink ingest of a streaming ``source`` (column ``value``).
 
     ``trigger`` is the processing-time cadence; ``available_now`` instead
     processes everything that has arrived (bounded by the source's
     per-trigger limits, e.g. ``maxFilesPerTrigger``) and stops.
+    ``min_partitions`` round-robins each micro-batch before decoding; set it
+    only for a source that yields fewer splits than cores (a few large files).
+    A Kafka source has its own ``minPartitions`` option for the same purpose.
     """
+    if min_partitions:
+        source = source.repartition(min_partitions)
     writer = (
         parsed_stream(source)
         .writeStream.foreachBatch(fan_out(bronze, deadletter))
@@ -120,9 +126,12 @@ def run_available_now(
     deadletter: Sink,
     checkpoint: str,
     timeout_sec: float | None = None,
+    min_partitions: int | None = None,
 ) -> dict:
     """Process what has arrived, stop, and return summed counters over the run."""
-    query = start_ingest(source, bronze, deadletter, checkpoint, available_now=True)
+    query = start_ingest(
+        source, bronze, deadletter, checkpoint, available_now=True, min_partitions=min_partitions
+    )
     query.awaitTermination(timeout_sec)
     if query.isActive:
         query.stop()
