@@ -171,9 +171,15 @@ def q_json_roundtrip(spark, sf_dir):
 
 
 def batch_documents(spark, sf_dir) -> DataFrame:
-    """Canonical messages packed into JSON-array documents of 50 events (by id range)."""
+    """Canonical messages packed into JSON-array documents of at most 50 events.
+
+    Chunks are runs of consecutive rows within one input partition
+    (``monotonically_increasing_id`` is contiguous per partition), so no
+    document grows past 50 events whatever the key distribution.
+    """
     msgs = CP.canonical(_events(spark, sf_dir))
-    grouped = msgs.groupBy(F.floor(F.col("event_id") / EVENTS_PER_BATCH_FILE).alias("batch_no")).agg(
+    chunk = F.floor(F.monotonically_increasing_id() / EVENTS_PER_BATCH_FILE)
+    grouped = msgs.groupBy(chunk.alias("batch_no")).agg(
         F.sort_array(F.collect_list(F.struct("event_id", "value"))).alias("items"),
         F.min("ts").alias("arrival"),
     )
@@ -183,11 +189,9 @@ def batch_documents(spark, sf_dir) -> DataFrame:
 
 def _batch_rows(spark, sf_dir, mode):
     docs = SRC.explode_documents(batch_documents(spark, sf_dir))
-    parsed = P.parse(docs, stamp=F.col("arrival"), mode=mode, keep=("batch_no", "pos"))
+    parsed = P.parse(docs, stamp=F.col("arrival"), mode=mode)
     return parsed.where(F.col("error").isNull()).select(
-        "batch_no",
-        F.col("pos").cast("bigint").alias("pos"),
-        *[c for c in S.BRONZE_COLUMNS if c != "ingestion_time"],
+        *[c for c in S.BRONZE_COLUMNS if c != "ingestion_time"]
     )
 
 
@@ -422,9 +426,7 @@ ORACLES: dict[str, str] = {
            {_SESSION} AS session_id, event_type
     FROM events""",
     "batch_arrays": f"""
-    SELECT event_id // {EVENTS_PER_BATCH_FILE} AS batch_no,
-           row_number() OVER (PARTITION BY event_id // {EVENTS_PER_BATCH_FILE} ORDER BY event_id) - 1 AS pos,
-           event_id, {_DATE_ID} AS date_id, user_id AS customer_id, {_PRODUCT} AS product_id,
+    SELECT event_id, {_DATE_ID} AS date_id, user_id AS customer_id, {_PRODUCT} AS product_id,
            {_SESSION} AS session_id, event_type
     FROM events""",
     "consumer_pull": f"""
