@@ -197,3 +197,24 @@ def test_rotation_formula(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 1, 1, 0, m),) for m in (0, 9, 10, 35, 59)], "ts timestamp_ntz")
     assert [r.s for r in df.select(SRC.rotation_slot(F.col("ts"), 10).alias("s")).collect()] == [1, 1, 2, 4, 6]
     assert [r.s for r in df.select(SRC.rotation_slot(F.col("ts"), 4).alias("s")).collect()] == [1, 1, 2, 4, 2]
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    arrivals = str(tmp_path / "arrivals")
+    write_lines(arrivals, "a.json", [json.dumps(canonical_event(i)) for i in range(3)])
+    out = str(tmp_path / "out")
+    query = ST.start_ingest(
+        ST.stream_source_lines(spark, arrivals),
+        ST.path_sink(f"{out}/bronze"),
+        ST.path_sink(f"{out}/dead"),
+        str(tmp_path / "ckpt"),
+        trigger="1 second",
+        query_name=f"ingest_{uuid.uuid4().hex[:6]}",
+    )
+    try:
+        query.processAllAvailable()
+        write_lines(arrivals, "b.json", [json.dumps(canonical_event(10 + i)) for i in range(2)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{out}/bronze").count() == 5
