@@ -131,7 +131,10 @@ def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return scan
     try:
         target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-        current = scan.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+        plan = scan._jdf.queryExecution().executedPlan()
+        if "Exchange" in plan.toString():  # already shuffled; counting could start jobs
+            return scan
+        current = plan.execute().getNumPartitions()  # split planning only, no job
+    except Exception:  # no JVM handle (e.g. a Spark Connect session): leave the scan as is
         return scan
     return scan.repartition(target) if current < target else scan
