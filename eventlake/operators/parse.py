@@ -56,53 +56,47 @@ def parse(
 
     # Stage 1: decode and parse once. Later stages refer to these columns by
     # name; Catalyst does not inline a non-trivial expression used many times.
+    # The member-wrapper parse only matters when the text holds a "]" that
+    # could close the array wrapper early; other texts skip it.
     text, utf8_ok = C.decode_utf8(F.col(value), is_binary)
-    as_element, as_member = C.json_wrappers(F.col("raw_message"))
+    as_element, as_member = C.json_wrappers(text)
+    closes_early = F.instr(text, "]") > 0
     decoded = df.select(
         (F.make_valid_utf8(text) if is_binary else text).alias("raw_message"),
         utf8_ok.alias("_utf8"),
         stamp.alias("ingestion_time"),
         now.alias("_now"),
+        as_element.alias("_array"),
+        F.when(closes_early, as_member.isNotNull()).otherwise(F.lit(True)).alias("_member_ok"),
+        C.is_json_object(text).alias("_object"),
         *keep_cols,
     )
-    # The member-wrapper parse only matters when the text holds a "]" that
-    # could close the array wrapper early; other texts skip it.
-    closes_early = F.instr(F.col("raw_message"), "]") > 0
-    decoded = _add(
-        decoded,
-        {
-            "_array": as_element,
-            "_member_ok": F.when(closes_early, as_member.isNotNull()).otherwise(F.lit(True)),
-        },
-    )
     doc = F.try_variant_get(F.col("_array"), "$[0]", "variant")
     single = F.try_variant_get(F.col("_array"), "$[1]", "variant").isNull()
-    decoded = _add(decoded, {"_doc": doc, "_single": single}).drop("_array")
-    decoded = _add(
-        decoded,
-        {
-            "_json": F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok"),
-            "_object": C.is_json_object(F.col("raw_message")),
-        },
-    )
+    decoded = _add(decoded, {"_doc": doc, "_single": single})
 
-    # Stage 2: look each member up once.
+    # Stage 2: well-formedness, and each member looked up once.
     members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
-    staged = _add(decoded, {f"_m_{m}": C.field(F.col("_doc"), m) for m in members}).drop("_doc")
+    lookups = {f"_m_{m}": C.field(F.col("_doc"), m) for m in members}
+    lookups["_json"] = F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok")
+    staged = _add(decoded, lookups)
     m = {name: F.col(f"_m_{name}") for name in members}
     int_names = ("event_id", "customer_id", "product_id")
     text_names = ("session_id", "event_type")
 
-    # Stage 3: read each member once as the types it may be coerced to.
+    # Stage 3: read each member once as the types it may be coerced to
+    # (together with the first timestamp step, which reads its member too).
+    ts_stages = C.timestamp_stages("_m_event_timestamp", "_now", iso_only=(mode == "drop"))
     readings = {f"_l_{n}": F.try_variant_get(m[n], "$", "bigint") for n in int_names}
     readings.update({f"_s_{n}": F.try_variant_get(m[n], "$", "string") for n in text_names})
     readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in text_names})
     if mode == "drop":
         readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in int_names})
+    readings.update(ts_stages[0])
     staged = _add(staged, readings)
 
-    # Stage 4+: the timestamp, one projection per step.
-    for stage in C.timestamp_stages("_m_event_timestamp", "_now", iso_only=(mode == "drop")):
+    # Stage 4+: the rest of the timestamp, one projection per step.
+    for stage in ts_stages[1:]:
         staged = _add(staged, stage)
 
     # Final stage: coerce and pick the first failure.
@@ -131,7 +125,7 @@ def parse(
         F.when(~F.col("_utf8"), F.lit(S.ERR_INVALID_UTF8))
         .when(~F.col("_json"), F.lit(S.ERR_INVALID_JSON))
         .when(~F.col("_object"), F.lit(S.ERR_NOT_AN_OBJECT))
-        .when(~F.col("_ts_ok"), F.lit(S.ERR_INVALID_TIMESTAMP))
+        .when(F.col("_ts_date").isNull(), F.lit(S.ERR_INVALID_TIMESTAMP))
     )
     for name in int_names:
         error = error.when(~ints[name][1], F.lit(S.ERR_INVALID_INT + name))
