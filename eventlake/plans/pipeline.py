@@ -130,6 +130,7 @@ def build_models(
     later join on the key read co-partitioned files without a shuffle.
     """
     TB.create_or_replace_view(spark, layout.silver, silver_sql(layout))
+    TB.analyze_sizes(spark, layout.bronze)  # sizes the gold buckets
     gold = M.gold(spark.table(layout.silver), transformed_at=transformed_at, method=method)
     TB.replace_table(gold, layout.gold, bucket_by="event_id", num_buckets=layout.gold_buckets)
 

@@ -156,11 +156,39 @@ def replace_table(
     """
     writer = df.write.mode("overwrite").format("parquet")
     if bucket_by:
-        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = num_buckets or bucket_count(df)
         writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)
 
 
+TARGET_BUCKET_BYTES = 256 * 1024 * 1024
+MAX_BUCKETS = 65536
+
+
+def bucket_count(df: DataFrame, target_bytes: int = TARGET_BUCKET_BYTES) -> int:
+    """Buckets for writing ``df``: about ``target_bytes`` each, from the optimizer's size estimate.
+
+    The estimate comes from file sizes and projections (no job runs). Never
+    fewer than ``spark.sql.shuffle.partitions``, never more than 65536.
+    """
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return floor
+    if size >= UNKNOWN_SIZE:  # no statistics (e.g. a catalog table never analysed)
+        return floor
+    return max(floor, min(MAX_BUCKETS, -(-size // target_bytes)))
+
+
+UNKNOWN_SIZE = 1 << 60  # Spark reports a missing estimate as Long.MaxValue
+
+
+def analyze_sizes(spark: SparkSession, name: str) -> None:
+    """Record a table's size in the catalog from its file listing (no data scan)."""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+
+
 # ---------------------------------------------------------------------------
 # Retention
 # ---------------------------------------------------------------------------

@@ -55,6 +55,9 @@ def test_pipeline_end_to_end(spark, tmp_path):
     # gold is bucketed on event_id: its unique test needs no shuffle
     plan = Q_plan(spark.table(layout.gold).groupBy("event_id").count())
     assert "Exchange" not in plan
+    # small table: bucket count falls to the shuffle-partition floor, not a runaway estimate
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {layout.gold}").collect()}
+    assert info["Num Buckets"] == spark.conf.get("spark.sql.shuffle.partitions")
 
 
 def Q_plan(df):
