@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -70,15 +70,30 @@ def path_sink(path: str, partition_source: str | None = "ingestion_time",
     return write
 
 
-def fan_out(bronze: Sink, deadletter: Sink) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` callback: one decode, two appends."""
+def fan_out(bronze: Sink, deadletter: Sink, totals: dict | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` callback: one decode, two appends.
+
+    With ``totals``, each write carries an ``Observation`` counting its rows,
+    and the counts are added to ``totals`` when the batch is done: exact over
+    any number of batches, and no extra pass over the data.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, dead = P.split(batch)
-            bronze(valid)
-            deadletter(dead)
+            if totals is None:
+                bronze(valid)
+                deadletter(dead)
+                return
+            seen_valid, seen_dead = Observation(), Observation()
+            bronze(valid.observe(seen_valid, F.count(F.lit(1)).alias("n")))
+            deadletter(dead.observe(seen_dead, F.count(F.lit(1)).alias("n")))
+            n_valid, n_dead = seen_valid.get["n"], seen_dead.get["n"]
+            totals["n_valid"] += n_valid
+            totals["n_deadletter"] += n_dead
+            totals["n_messages"] += n_valid + n_dead
+            totals["batches"] += 1
         finally:
             batch.unpersist()
 
@@ -94,6 +109,7 @@ def start_ingest(
     available_now: bool = False,
     query_name: str | None = None,
     min_partitions: int | None = None,
+    totals: dict | None = None,
 ) -> StreamingQuery:
     """Start the two-sink ingest of a streaming ``source`` (column ``value``).
 
@@ -108,7 +124,7 @@ def start_ingest(
         source = source.repartition(min_partitions)
     writer = (
         parsed_stream(source)
-        .writeStream.foreachBatch(fan_out(bronze, deadletter))
+        .writeStream.foreachBatch(fan_out(bronze, deadletter, totals))
         .option("checkpointLocation", checkpoint)
     )
     if query_name:
@@ -128,9 +144,11 @@ def run_available_now(
     timeout_sec: float | None = None,
     min_partitions: int | None = None,
 ) -> dict:
-    """Process what has arrived, stop, and return summed counters over the run."""
+    """Process what has arrived, stop, and return counters summed over all its batches."""
+    totals = {"n_messages": 0, "n_valid": 0, "n_deadletter": 0, "batches": 0}
     query = start_ingest(
-        source, bronze, deadletter, checkpoint, available_now=True, min_partitions=min_partitions
+        source, bronze, deadletter, checkpoint,
+        available_now=True, min_partitions=min_partitions, totals=totals,
     )
     query.awaitTermination(timeout_sec)
     if query.isActive:
@@ -138,14 +156,7 @@ def run_available_now(
         raise TimeoutError("ingest did not finish in time")
     if query.exception() is not None:
         raise query.exception()
-    totals = {"n_messages": 0, "n_valid": 0, "n_deadletter": 0, "batches": 0}
-    for progress in query.recentProgress:
-        metrics = (progress.observedMetrics or {}).get(METRICS)
-        if metrics is not None:
-            totals["batches"] += 1
-            for k in ("n_messages", "n_valid", "n_deadletter"):
-                totals[k] += metrics[k]
-    return totals
+    return dict(totals)
 
 
 def stream_source_lines(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
