@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import coerce as C
+from ..sources.files import spread
 
 MODES = ("deadletter", "fail", "drop")
 
@@ -37,6 +38,7 @@ def parse(
     now: Column | None = None,
     mode: str = "deadletter",
     keep: tuple[str, ...] = (),
+    spread_input: bool = True,
 ) -> DataFrame:
     """Decode the message column ``value`` of ``df``.
 
@@ -46,9 +48,15 @@ def parse(
     ``stamp`` is the ingestion time (default ``current_timestamp()``, which is
     fixed per query or micro-batch, so a replayed micro-batch keeps its stamp).
     ``now`` replaces a falsy event timestamp (default: the stamp).
+
+    Decoding is CPU-bound: with ``spread_input`` an unshuffled batch input
+    with fewer splits than the session has cores is first spread round-robin
+    (``sources.files.spread``; a no-op for large inputs and for streams).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if spread_input:
+        df = spread(df)
     stamp = F.current_timestamp() if stamp is None else stamp
     now = stamp if now is None else now
     is_binary = isinstance(df.schema[value].dataType, T.BinaryType)

@@ -221,3 +221,16 @@ def test_processing_time_trigger(spark, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(f"{out}/bronze").count() == 5
+
+
+def test_kafka_source_is_gated(spark):
+    with pytest.raises(Exception):
+        ST.stream_source_kafka(spark, "localhost:1", "events")
+
+
+def test_binary_messages_decode_like_text(spark):
+    msgs = [json.dumps(canonical_event(1)).encode(), b"\xff\xfe", b"not json"]
+    df = spark.createDataFrame([(bytearray(m),) for m in msgs], "value binary")
+    parsed = P.parse(df)
+    assert [r.event_id for r in P.valid_rows(parsed).collect()] == [1]
+    assert sorted(r.error for r in P.deadletter_rows(parsed).collect()) == ["INVALID_JSON", "INVALID_UTF8"]

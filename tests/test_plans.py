@@ -27,8 +27,13 @@ def test_no_python_no_cross_no_broadcast(spark, name):
 
 def test_parse_is_one_codegen_pipeline_and_filter_stays_on_top(spark):
     msgs = spark.read.parquet(f"{SF}/events.parquet").select(F.col("props").alias("value"), "ts")
-    plan = physical(P.valid_rows(P.parse(msgs, stamp=F.col("ts"))))
+    plan = physical(P.valid_rows(P.parse(msgs, stamp=F.col("ts"), spread_input=False)))
     assert "Exchange" not in plan
+    # a single-split input is spread before decoding; an input with enough splits is not
+    assert "RoundRobinPartitioning" in physical(P.parse(msgs, stamp=F.col("ts")))
+    many = msgs.repartition(64)
+    assert physical(P.parse(many, stamp=F.col("ts"))).count("RoundRobinPartitioning(64)") == 1
+    assert "RoundRobinPartitioning(4)" not in physical(P.parse(many, stamp=F.col("ts")))
     # the routing filter reads the computed reason; it was not pushed into the scan side
     assert "Filter isnull(error" in plan
     assert plan.count("parseJson") == 2  # the element parse and the guarded member parse, once each
