@@ -79,13 +79,22 @@ def parse(
         C.is_json_object(text).alias("_object"),
         *keep_cols,
     )
-    doc = F.try_variant_get(F.col("_array"), "$[0]", "variant")
-    single = F.try_variant_get(F.col("_array"), "$[1]", "variant").isNull()
-    decoded = _add(decoded, {"_doc": doc, "_single": single})
+    # Whole-value casts instead of path reads ("$[0]", "$.key"): one cast of
+    # the wrapper to an array and one of the document to a map, then plain
+    # element and key lookups (path navigation is the costly part of a read).
+    decoded = _add(decoded, {"_items": C.as_items(F.col("_array"))})
+    decoded = _add(
+        decoded,
+        {
+            "_doc": F.try_element_at(F.col("_items"), F.lit(1)),
+            "_single": F.coalesce(F.array_size(F.col("_items")) == 1, F.lit(False)),
+        },
+    )
+    decoded = _add(decoded, {"_fields": C.as_fields(F.col("_doc"))})
 
     # Stage 2: well-formedness, and each member looked up once.
     members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
-    lookups = {f"_m_{m}": C.field(F.col("_doc"), m) for m in members}
+    lookups = {f"_m_{m}": C.member(F.col("_fields"), m) for m in members}
     lookups["_json"] = F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok")
     staged = _add(decoded, lookups)
     m = {name: F.col(f"_m_{name}") for name in members}
