@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 import os
-import tempfile
 import uuid
 
 import pytest
