@@ -11,8 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -20,6 +19,7 @@ from ..operators import models as M
 from ..operators import parse as P
 from ..operators import quality as Q
 from ..sinks import tables as TB
+from ..streaming import ingest as ST
 
 
 @dataclass(frozen=True)
@@ -95,22 +95,21 @@ def ingest(
     dropped and only counted.
     """
     parsed = P.parse(messages, value=value, stamp=stamp, mode=mode)
-    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if mode == "drop":
-            valid, obs = P.drop_bad(parsed)
-            TB.append(spark, valid, layout.bronze, required=S.BRONZE_REQUIRED)
-            return dict(obs.get)
-        TB.append(spark, P.valid_rows(parsed), layout.bronze, required=S.BRONZE_REQUIRED)
-        if mode == "deadletter":
-            TB.append(spark, P.deadletter_rows(parsed), layout.deadletter, required=S.DEADLETTER_REQUIRED)
-        counts = parsed.agg(
-            F.count_if(F.col("error").isNull()).alias("n_valid"),
-            F.count_if(F.col("error").isNotNull()).alias("n_deadletter"),
-        )
-        return counts.first().asDict()
-    finally:
-        parsed.unpersist()
+    bronze = ST.table_sink(spark, layout.bronze, S.BRONZE_REQUIRED)
+    if mode == "deadletter":
+        # the same callback as a streaming micro-batch: decode once, two appends,
+        # row counts observed on the writes themselves
+        totals = {"n_messages": 0, "n_valid": 0, "n_deadletter": 0, "batches": 0}
+        deadletter = ST.table_sink(spark, layout.deadletter, S.DEADLETTER_REQUIRED)
+        ST.fan_out(bronze, deadletter, totals)(parsed, 0)
+        return {"n_valid": totals["n_valid"], "n_deadletter": totals["n_deadletter"]}
+    if mode == "drop":
+        valid, obs = P.drop_bad(parsed)
+        bronze(valid)
+        return dict(obs.get)
+    seen = Observation()
+    bronze(P.valid_rows(parsed).observe(seen, F.count(F.lit(1)).alias("n_valid")))
+    return dict(seen.get)
 
 
 def silver_sql(layout: Layout) -> str:
