@@ -79,6 +79,11 @@ def fan_out(bronze: Sink, deadletter: Sink, totals: dict | None = None) -> Calla
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # Only dead-letter rows need their raw text: drop it from valid rows
+        # before caching (the raw message is usually the widest column).
+        batch = batch.withColumn(
+            "raw_message", F.when(F.col("error").isNotNull(), F.col("raw_message"))
+        )
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, dead = P.split(batch)

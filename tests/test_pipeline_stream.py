@@ -152,6 +152,8 @@ def test_stream_into_catalog_tables(spark, tmp_path):
     )
     assert totals["n_valid"] == 5
     assert spark.table(layout.bronze).count() == 5 and spark.table(layout.deadletter).count() == 1
+    (dead,) = spark.table(layout.deadletter).collect()
+    assert (dead.raw_message, dead.error) == ("oops", "INVALID_JSON") and dead.ingestion_time is not None
 
 
 def test_publish_then_stream(spark, tmp_path):
