@@ -116,7 +116,11 @@ class QualityError(RuntimeError):
 
 def assert_suite(result: DataFrame) -> list:
     """Collect the (small, one row per test) suite result; raise if any test failed."""
-    rows = result.collect()
+    return check_rows(result.collect())
+
+
+def check_rows(rows: list) -> list:
+    """Raise :class:`QualityError` if any collected suite row failed; return the rows."""
     failed = [r for r in rows if r.status != "pass"]
     if failed:
         text = ", ".join(f"{r.model}.{r.column_name} {r.test}: {r.n_failed}" for r in failed)

@@ -122,28 +122,36 @@ def build_models(
     layout: Layout,
     method: str = "aggregate",
     transformed_at: Column | None = None,
+    gold_table: str | None = None,
 ) -> None:
     """Silver as a view over bronze, gold as a fully rebuilt table read from silver.
 
     Gold is written bucketed by ``event_id``, so its ``unique`` test and any
     later join on the key read co-partitioned files without a shuffle.
+    ``gold_table`` overrides the target (a staging table, see :func:`run`).
     """
     TB.create_or_replace_view(spark, layout.silver, silver_sql(layout))
     TB.analyze_sizes(spark, layout.bronze)  # sizes the gold buckets
     gold = M.gold(spark.table(layout.silver), transformed_at=transformed_at, method=method)
-    TB.replace_table(gold, layout.gold, bucket_by="event_id", num_buckets=layout.gold_buckets)
+    TB.replace_table(gold, gold_table or layout.gold, bucket_by="event_id", num_buckets=layout.gold_buckets)
 
 
-def models_of(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return {"silver": spark.table(layout.silver), "gold": spark.table(layout.gold)}
+def models_of(spark: SparkSession, layout: Layout, gold_table: str | None = None) -> dict[str, DataFrame]:
+    return {"silver": spark.table(layout.silver), "gold": spark.table(gold_table or layout.gold)}
 
 
-def test(spark: SparkSession, layout: Layout, raise_on_failure: bool = True) -> list:
+def test(spark: SparkSession, layout: Layout, raise_on_failure: bool = True, gold_table: str | None = None) -> list:
     """Run the 11 column tests; one row per test."""
-    result = Q.run_suite(models_of(spark, layout))
+    result = Q.run_suite(models_of(spark, layout, gold_table))
     return Q.assert_suite(result) if raise_on_failure else result.collect()
 
 
+def publish_staged(spark: SparkSession, staging: str, target: str) -> None:
+    """Replace ``target`` by the tested ``staging`` table (a catalog rename; no data copy)."""
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+
+
 def layer_counts(spark: SparkSession, layout: Layout) -> DataFrame:
     return Q.layer_counts(
         {
@@ -178,13 +186,31 @@ def run(
     raise_on_test_failure: bool = True,
     stamp: Column | None = None,
     expire_as_of=None,
+    test_before_publish: bool = False,
 ) -> RunResult:
-    """Setup -> ingest -> silver/gold -> tests -> validation (-> optional retention)."""
+    """Setup -> ingest -> silver/gold -> tests -> validation (-> optional retention).
+
+    By default gold is replaced first and tested after, so a failing test
+    leaves the new gold visible (the original order). With
+    ``test_before_publish`` gold is built into a staging table, tested there,
+    and renamed over the published gold only when every test passes.
+    """
     result = RunResult()
     setup(spark, layout)
     result.ingest = ingest(spark, messages, layout, mode=mode, stamp=stamp)
-    build_models(spark, layout, method=method)
-    result.tests = test(spark, layout, raise_on_failure=raise_on_test_failure)
+    if test_before_publish:
+        staging = f"{layout.gold}__staging"
+        build_models(spark, layout, method=method, gold_table=staging)
+        result.tests = test(spark, layout, raise_on_failure=False, gold_table=staging)
+        if all(r.status == "pass" for r in result.tests):
+            publish_staged(spark, staging, layout.gold)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            if raise_on_test_failure:
+                Q.check_rows(result.tests)
+    else:
+        build_models(spark, layout, method=method)
+        result.tests = test(spark, layout, raise_on_failure=raise_on_test_failure)
     result.layers = validate(spark, layout)
     if expire_as_of is not None:
         result.expired = expire(spark, layout, expire_as_of)

@@ -235,3 +235,18 @@ def test_binary_messages_decode_like_text(spark):
     parsed = P.parse(df)
     assert [r.event_id for r in P.valid_rows(parsed).collect()] == [1]
     assert sorted(r.error for r in P.deadletter_rows(parsed).collect()) == ["INVALID_JSON", "INVALID_UTF8"]
+
+
+def test_test_before_publish(spark, tmp_path):
+    layout = fresh_layout(tmp_path)
+    good = spark.createDataFrame(
+        [(json.dumps(canonical_event(i, et="view")),) for i in range(4)], "value string")
+    PL.run(spark, good, layout, test_before_publish=True)
+    assert spark.table(layout.gold).count() == 4
+    assert not spark.catalog.tableExists(f"{layout.gold}__staging")
+    # a batch that fails accepted_values: the published gold stays as it was
+    bad = spark.createDataFrame([(json.dumps(canonical_event(9, et="bogus")),)], "value string")
+    with pytest.raises(Exception, match="quality tests failed"):
+        PL.run(spark, bad, layout, test_before_publish=True)
+    assert sorted(r.event_id for r in spark.table(layout.gold).collect()) == [0, 1, 2, 3]
+    assert not spark.catalog.tableExists(f"{layout.gold}__staging")
