@@ -62,41 +62,94 @@ def parse(
     is_binary = isinstance(df.schema[value].dataType, T.BinaryType)
     keep_cols = [F.col(k) for k in keep]
 
-    # Stage 1: decode and parse once. Later stages refer to these columns by
-    # name; Catalyst does not inline a non-trivial expression used many times.
-    # The member-wrapper parse only matters when the text holds a "]" that
-    # could close the array wrapper early; other texts skip it.
+    first, stages, final = _decode_plan(df, mode, is_binary, value)
+    staged = df.select(*first, stamp.alias("ingestion_time"), now.alias("_now"), *keep_cols)
+    for stage in stages:
+        staged = staged.select("*", *stage)
+    coerced = staged.select(*final, *keep_cols)
+    if mode == "fail":
+        # The check rides on ``error`` (read by every filter on it) and on a
+        # REQUIRED column (read by every write of bronze rows), so no plan can
+        # prune it away; a failing job commits no files.
+        failure = F.raise_error(F.concat(F.lit("bad event: "), F.col("error")))
+        coerced = coerced.select(
+            *[
+                F.when(F.col("error").isNotNull(), failure.cast("bigint"))
+                .otherwise(F.col("event_id"))
+                .alias("event_id")
+                if c == "event_id"
+                else F.when(F.col("error").isNotNull(), failure.cast("string")).alias("error")
+                if c == "error"
+                else F.col(c)
+                for c in coerced.columns
+            ]
+        )
+    return coerced
+
+
+_PLANS: dict = {}
+
+
+def _decode_plan(df: DataFrame, mode: str, is_binary: bool, value: str):
+    """The decode's column expressions, built once per Spark application.
+
+    They depend only on the mode and the input column, so repeated parses (a
+    stream's micro-batches, many queries) reuse them instead of assembling
+    a few hundred expression objects each time.
+    """
+    try:
+        app = df.sparkSession.sparkContext.applicationId
+    except Exception:  # no SparkContext handle (e.g. Spark Connect): do not cache
+        return _build_plan(mode, is_binary, value)
+    key = (app, mode, is_binary, value)
+    if key not in _PLANS:
+        _PLANS[key] = _build_plan(mode, is_binary, value)
+    return _PLANS[key]
+
+
+def _aliased(stage: dict) -> list:
+    return [col.alias(name) for name, col in stage.items()]
+
+
+def _build_plan(mode: str, is_binary: bool, value: str):
+    """(first projection, later stages, final projection) of the decode.
+
+    Each stage becomes one projection; later stages refer to earlier columns
+    by name, and Catalyst does not inline a non-trivial expression that is
+    used several times, so every intermediate value is computed once per row.
+    """
+    # Stage 1: decode and parse once. The member-wrapper parse only matters
+    # when the text holds a "]" that could close the array wrapper early.
     text, utf8_ok = C.decode_utf8(F.col(value), is_binary)
     as_element, as_member = C.json_wrappers(text)
     closes_early = F.instr(text, "]") > 0
-    decoded = df.select(
+    first = [
         (F.make_valid_utf8(text) if is_binary else text).alias("raw_message"),
         utf8_ok.alias("_utf8"),
-        stamp.alias("ingestion_time"),
-        now.alias("_now"),
         as_element.alias("_array"),
         F.when(closes_early, as_member.isNotNull()).otherwise(F.lit(True)).alias("_member_ok"),
         C.is_json_object(text).alias("_object"),
-        *keep_cols,
-    )
+    ]
+    stages = []
     # Whole-value casts instead of path reads ("$[0]", "$.key"): one cast of
     # the wrapper to an array and one of the document to a map, then plain
     # element and key lookups (path navigation is the costly part of a read).
-    decoded = _add(decoded, {"_items": C.as_items(F.col("_array"))})
-    decoded = _add(
-        decoded,
-        {
-            "_doc": F.try_element_at(F.col("_items"), F.lit(1)),
-            "_single": F.coalesce(F.array_size(F.col("_items")) == 1, F.lit(False)),
-        },
+    stages.append(_aliased({"_items": C.as_items(F.col("_array"))}))
+    stages.append(
+        _aliased(
+            {
+                "_doc": F.try_element_at(F.col("_items"), F.lit(1)),
+                "_single": F.coalesce(F.array_size(F.col("_items")) == 1, F.lit(False)),
+            }
+        )
     )
-    decoded = _add(decoded, {"_fields": C.as_fields(F.col("_doc"))})
+    stages.append(_aliased({"_fields": C.as_fields(F.col("_doc"))}))
 
     # Stage 2: well-formedness, and each member looked up once.
     members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
     lookups = {f"_m_{m}": C.member(F.col("_fields"), m) for m in members}
     lookups["_json"] = F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok")
-    staged = _add(decoded, lookups)
+    stages.append(_aliased(lookups))
     m = {name: F.col(f"_m_{name}") for name in members}
     int_names = ("event_id", "customer_id", "product_id")
     text_names = ("session_id", "event_type")
@@ -110,11 +163,10 @@ def parse(
     if mode == "drop":
         readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in int_names})
     readings.update(ts_stages[0])
-    staged = _add(staged, readings)
+    stages.append(_aliased(readings))
 
     # Stage 4+: the rest of the timestamp, one projection per step.
-    for stage in ts_stages[1:]:
-        staged = _add(staged, stage)
+    stages.extend(_aliased(stage) for stage in ts_stages[1:])
 
     # Final stage: coerce and pick the first failure.
     if mode == "drop":
@@ -151,36 +203,18 @@ def parse(
         # A REQUIRED column cannot take a JSON null passed through.
         error = error.when(ints["event_id"][0].isNull(), F.lit("NULL_REQUIRED:event_id"))
 
-    coerced = staged.select(
+    final = [
         ints["event_id"][0].alias("event_id"),
         C.date_id(F.col("_ts_date")).alias("date_id"),
         ints["customer_id"][0].alias("customer_id"),
         ints["product_id"][0].alias("product_id"),
         session_col.alias("session_id"),
         etype_col.alias("event_type"),
-        "ingestion_time",
+        F.col("ingestion_time"),
         _fenced(error).alias("error"),
-        "raw_message",
-        *keep_cols,
-    )
-    if mode == "fail":
-        # The check rides on ``error`` (read by every filter on it) and on a
-        # REQUIRED column (read by every write of bronze rows), so no plan can
-        # prune it away; a failing job commits no files.
-        failure = F.raise_error(F.concat(F.lit("bad event: "), F.col("error")))
-        coerced = coerced.select(
-            *[
-                F.when(F.col("error").isNotNull(), failure.cast("bigint"))
-                .otherwise(F.col("event_id"))
-                .alias("event_id")
-                if c == "event_id"
-                else F.when(F.col("error").isNotNull(), failure.cast("string")).alias("error")
-                if c == "error"
-                else F.col(c)
-                for c in coerced.columns
-            ]
-        )
-    return coerced
+        F.col("raw_message"),
+    ]
+    return first, stages, final
 
 
 def _fenced(error: Column) -> Column:
@@ -197,10 +231,6 @@ def _fenced(error: Column) -> Column:
     return F.when(F.spark_partition_id() < 0, F.lit(None).cast("string")).otherwise(error)
 
 
-def _add(df: DataFrame, stage: dict) -> DataFrame:
-    return df.select("*", *[col.alias(name) for name, col in stage.items()])
-
-
 def _strict_int(value: Column, t: Column, as_long: Column, default: int) -> tuple[Column, Column]:
     """Pass-through integer: JSON integers and integer strings only; null stays NULL."""
     fits = (t == "VOID") | (((t == "BIGINT") | (t == "STRING")) & as_long.isNotNull())
