@@ -28,6 +28,7 @@ ROTATION_FILES = 10
 RETENTION_AS_OF = "2024-02-15"
 EVENTS_PER_BATCH_FILE = 50
 REDELIVERY_DELAY = "INTERVAL 1 HOUR"
+FIRST_EVENTS = 1000
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -270,6 +271,26 @@ def q_stream_split(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+def q_silver_view(spark, sf_dir):
+    return M.silver(bronze(spark, sf_dir))
+
+
+def q_first_events(spark, sf_dir):
+    """Publish only the first ``FIRST_EVENTS`` events in source order (the limit is the feature)."""
+    e = _events(spark, sf_dir)
+    objects = e.select(
+        "event_id",
+        "event_type",
+        F.col("user_id").alias("customer_id"),
+        CP.product_of(F.col("props")).alias("product_id"),
+        CP.session_of(F.col("user_id")).alias("session_id"),
+        F.col("ts").alias("event_timestamp"),
+    )
+    first = objects.orderBy("event_timestamp", "event_id").limit(FIRST_EVENTS)
+    rows = P.valid_rows(P.parse(K.encode(first, keep=("event_timestamp",)), stamp=F.col("event_timestamp")))
+    return rows.drop("ingestion_time")
+
+
 QUERIES: dict[str, QueryFn] = {
     "parse_events": q_parse_events,
     "deadletter": q_deadletter,
@@ -293,6 +314,8 @@ QUERIES: dict[str, QueryFn] = {
     "consumer_pull": q_consumer_pull,
     "stream_split": q_stream_split,
     "pipeline_run": q_pipeline_run,
+    "silver_view": q_silver_view,
+    "first_events": q_first_events,
 }
 
 
@@ -438,6 +461,12 @@ ORACLES: dict[str, str] = {
     FROM events WHERE event_type NOT IN ('error', 'purchase')""",
 }
 ORACLES["batch_ingest_strict"] = ORACLES["batch_arrays"]
+ORACLES["silver_view"] = _BRONZE_CTE + f"""
+SELECT {_COLS7} FROM bronze WHERE event_id IS NOT NULL"""
+ORACLES["first_events"] = f"""
+SELECT event_id, {_DATE_ID} AS date_id, user_id AS customer_id, {_PRODUCT} AS product_id,
+       {_SESSION} AS session_id, event_type
+FROM events ORDER BY ts, event_id LIMIT {FIRST_EVENTS}"""
 ORACLES["stream_split"] = """
 SELECT 'bronze' AS output, count(*) AS n_rows FROM events WHERE event_type <> 'error'
 UNION ALL
