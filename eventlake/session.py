@@ -62,17 +62,16 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, read from the session.
 
     Streaming checkpoints, lineage cuts and scratch tables go below it. Only a
-    local session (tests, bench) may fall back to a fresh temporary folder; a
-    cluster session without the setting is an error, because a machine-local
+    local session (tests, bench) without the setting gets a fresh temporary
+    folder; a cluster session without it is an error, because a machine-local
     folder is not visible to other executors and is lost with its host.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        jsc = spark.sparkContext._jsc
-        opt = jsc.sc().getCheckpointDir()
+        opt = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = opt.get() if opt.isDefined() else None
     if root:
         return root.rstrip("/")
@@ -81,25 +80,15 @@ def checkpoint_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; name a shared (distributed) folder for "
             "checkpoints and scratch tables"
         )
-    return ensure_checkpoint_dir(spark)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Set a checkpoint folder only where none is configured (local sessions)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        spark.sparkContext.setCheckpointDir(root)
-        return root.rstrip("/")
-    opt = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if opt.isDefined():
-        return opt.get().rstrip("/")
-    if not _is_local(spark):
-        raise RuntimeError("spark.checkpoint.dir is not set on a cluster session")
     root = tempfile.mkdtemp(prefix="eventlake-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+# Kept as the name session setup calls: resolve (and, locally, create) the root.
+ensure_checkpoint_dir = checkpoint_root
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root."""
     root = checkpoint_root(spark)
