@@ -160,6 +160,8 @@ def _build_plan(mode: str, is_binary: bool, value: str):
     readings = {f"_l_{n}": F.try_variant_get(m[n], "$", "bigint") for n in int_names}
     readings.update({f"_s_{n}": F.try_variant_get(m[n], "$", "string") for n in text_names})
     readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in text_names})
+    # Absent flags, so later stages need not carry (and copy) the member VARIANTs.
+    readings.update({f"_a_{n}": m[n].isNull() for n in int_names + text_names})
     if mode == "drop":
         readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in int_names})
     readings.update(ts_stages[0])
@@ -169,23 +171,24 @@ def _build_plan(mode: str, is_binary: bool, value: str):
     stages.extend(_aliased(stage) for stage in ts_stages[1:])
 
     # Final stage: coerce and pick the first failure.
+    a = {n: F.col(f"_a_{n}") for n in int_names + text_names}
     if mode == "drop":
-        ints = {n: _strict_int(m[n], F.col(f"_t_{n}"), F.col(f"_l_{n}"), 0) for n in int_names}
+        ints = {n: _strict_int(a[n], F.col(f"_t_{n}"), F.col(f"_l_{n}"), 0) for n in int_names}
         texts = {
-            n: _strict_text(m[n], F.col(f"_t_{n}"), F.col(f"_s_{n}"), d)
+            n: _strict_text(a[n], F.col(f"_t_{n}"), F.col(f"_s_{n}"), d)
             for n, d in (("session_id", S.DEFAULT_SESSION_ID), ("event_type", S.DEFAULT_EVENT_TYPE))
         }
         session_col, session_ok = texts["session_id"]
         etype_col, etype_ok = texts["event_type"]
         text_ok = session_ok & etype_ok
     else:
-        ints = {n: C.to_int(m[n], F.col(f"_l_{n}"), 0) for n in int_names}
+        ints = {n: C.to_int(a[n], F.col(f"_l_{n}"), 0) for n in int_names}
         session_col = C.to_text(
-            m["session_id"], F.col("_t_session_id"), F.col("_s_session_id"),
+            a["session_id"], F.col("_t_session_id"), F.col("_s_session_id"),
             S.DEFAULT_SESSION_ID, S.SESSION_ID_MAX,
         )
         etype_col = C.to_text(
-            m["event_type"], F.col("_t_event_type"), F.col("_s_event_type"),
+            a["event_type"], F.col("_t_event_type"), F.col("_s_event_type"),
             S.DEFAULT_EVENT_TYPE, S.EVENT_TYPE_MAX,
         )
         text_ok = F.lit(True)
@@ -231,17 +234,17 @@ def _fenced(error: Column) -> Column:
     return F.when(F.spark_partition_id() < 0, F.lit(None).cast("string")).otherwise(error)
 
 
-def _strict_int(value: Column, t: Column, as_long: Column, default: int) -> tuple[Column, Column]:
+def _strict_int(absent: Column, t: Column, as_long: Column, default: int) -> tuple[Column, Column]:
     """Pass-through integer: JSON integers and integer strings only; null stays NULL."""
     fits = (t == "VOID") | (((t == "BIGINT") | (t == "STRING")) & as_long.isNotNull())
-    result = F.when(value.isNull(), F.lit(default).cast("bigint")).otherwise(as_long)
-    return result, value.isNull() | fits
+    result = F.when(absent, F.lit(default).cast("bigint")).otherwise(as_long)
+    return result, absent | fits
 
 
-def _strict_text(value: Column, t: Column, as_text: Column, default: str) -> tuple[Column, Column]:
+def _strict_text(absent: Column, t: Column, as_text: Column, default: str) -> tuple[Column, Column]:
     """Pass-through string: JSON strings as they are; null stays NULL; no cut."""
-    result = F.when(value.isNull(), F.lit(default)).otherwise(as_text)
-    return result, value.isNull() | t.isin("STRING", "VOID")
+    result = F.when(absent, F.lit(default)).otherwise(as_text)
+    return result, absent | t.isin("STRING", "VOID")
 
 
 def valid_rows(parsed: DataFrame) -> DataFrame:
