@@ -143,12 +143,18 @@ def _build_plan(mode: str, is_binary: bool, value: str):
             }
         )
     )
-    stages.append(_aliased({"_fields": C.as_fields(F.col("_doc"))}))
+    stages.append(
+        _aliased(
+            {
+                "_fields": C.as_fields(F.col("_doc")),
+                "_json": F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok"),
+            }
+        )
+    )
 
-    # Stage 2: well-formedness, and each member looked up once.
+    # Stage 2: each member looked up once.
     members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
     lookups = {f"_m_{m}": C.member(F.col("_fields"), m) for m in members}
-    lookups["_json"] = F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok")
     stages.append(_aliased(lookups))
     m = {name: F.col(f"_m_{name}") for name in members}
     int_names = ("event_id", "customer_id", "product_id")
