@@ -35,6 +35,7 @@ def main():
            "static plan is shown; at run time AQE coalesces and splits shuffle partitions.\n"]
 
     def block(title, note, df):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # query functions re-enable it
         plan = df._jdf.queryExecution().executedPlan().toString()
         out.extend([f"## {title}\n", note + "\n", "```", plan.rstrip(), "```\n"])
 
