@@ -128,7 +128,6 @@ def _build_plan(mode: str, is_binary: bool, value: str):
         utf8_ok.alias("_utf8"),
         as_element.alias("_array"),
         F.when(closes_early, as_member.isNotNull()).otherwise(F.lit(True)).alias("_member_ok"),
-        C.is_json_object(text).alias("_object"),
     ]
     stages = []
     # Whole-value casts instead of path reads ("$[0]", "$.key"): one cast of
@@ -152,9 +151,11 @@ def _build_plan(mode: str, is_binary: bool, value: str):
         )
     )
 
-    # Stage 2: each member looked up once.
+    # Stage 2: each member looked up once. A well-formed value is an object
+    # exactly when its map cast succeeded (no text scan needed).
     members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
     lookups = {f"_m_{m}": C.member(F.col("_fields"), m) for m in members}
+    lookups["_object"] = F.col("_fields").isNotNull()
     stages.append(_aliased(lookups))
     m = {name: F.col(f"_m_{name}") for name in members}
     int_names = ("event_id", "customer_id", "product_id")
