@@ -25,7 +25,7 @@ def test_no_python_no_cross_no_broadcast(spark, name):
         assert op not in plan, (name, op)
 
 
-def test_parse_is_one_codegen_pipeline_and_filter_stays_on_top(spark):
+def test_parse_has_no_shuffle_and_filter_stays_on_top(spark):
     msgs = spark.read.parquet(f"{SF}/events.parquet").select(F.col("props").alias("value"), "ts")
     plan = physical(P.valid_rows(P.parse(msgs, stamp=F.col("ts"), spread_input=False)))
     assert "Exchange" not in plan
@@ -37,6 +37,8 @@ def test_parse_is_one_codegen_pipeline_and_filter_stays_on_top(spark):
     # the routing filter reads the computed reason; it was not pushed into the scan side
     assert "Filter isnull(error" in plan
     assert plan.count("parseJson") == 2  # the element parse and the guarded member parse, once each
+    # the counter that cuts the generated code in two sits between two fused stages
+    assert plan.count("CollectMetrics decoded_") == 1
 
 
 def test_gold_combines_before_the_shuffle(spark):
