@@ -143,13 +143,26 @@ def broken_message(e_id: Column, ts: Column, value: Column) -> Column:
 
 def mixed(e: DataFrame) -> DataFrame:
     """One encoding per supplied event type (see the module docstring)."""
+    return _frame(e, mixed_message(e))
+
+
+def mixed_message(e: DataFrame, product: Column | None = None) -> Column:
+    """The mixed-corpus message of each row; ``product`` overrides ``props.k``."""
     et = F.col("event_type")
-    view = canonical_event(e)
+    product = product_of(F.col("props")) if product is None else product
+    view = _obj(
+        event_id=F.col("event_id"),
+        event_type=et,
+        customer_id=F.col("user_id"),
+        product_id=product,
+        session_id=session_of(F.col("user_id")),
+        event_timestamp=iso_utc(F.col("ts")),
+    )
     purchase = _obj(
         event_id=F.col("event_id").cast("string"),
         event_type=et,
         customer_id=F.col("user_id").cast("string"),
-        product_id=product_of(F.col("props")).cast("string"),
+        product_id=product.cast("string"),
         session_id=session_of(F.col("user_id")),
         event_timestamp=epoch_seconds(F.col("ts")),
     )
@@ -164,18 +177,17 @@ def mixed(e: DataFrame) -> DataFrame:
         event_id=F.col("event_id"),
         event_type=et,
         customer_id=F.col("user_id"),
-        product_id=product_of(F.col("props")),
+        product_id=product,
         session_id=F.lit(None).cast("string"),
     )
     broken = broken_message(F.col("event_id"), F.col("ts"), F.col("value"))
-    message = (
+    return (
         F.when(et == "purchase", purchase)
         .when(et == "click", click)
         .when(et == "signup", signup)
         .when(et == "error", broken)
         .otherwise(view)
     )
-    return _frame(e, message)
 
 
 def truncation(e: DataFrame) -> DataFrame:

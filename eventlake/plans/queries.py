@@ -61,18 +61,19 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.valid_rows(P.parse(deliveries, stamp=F.col("arrival")))
 
 
-def _flipped_products(e: DataFrame) -> DataFrame:
-    k = CP.product_of(F.col("props"))
-    return e.withColumn("props", F.format_string('{"k": %d}', F.lit(99) - k))
-
-
 def bronze_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries in the same micro-batch (same hourly stamp); the copy carries ``99 - k``."""
+    """Two deliveries in the same micro-batch (same hourly stamp); the copy carries ``99 - k``.
+
+    Both versions of each message are exploded from one row and decoded in one pass.
+    """
     e = _events(spark, sf_dir)
-    stamp = F.date_trunc("hour", _ts()).cast("timestamp_ntz")
-    first = P.valid_rows(P.parse(CP.mixed(e), stamp=stamp))
-    again = P.valid_rows(P.parse(CP.mixed(_flipped_products(e)), stamp=stamp))
-    return M.append_all(first, again)
+    k = CP.product_of(F.col("props"))
+    versions = F.array(CP.mixed_message(e), CP.mixed_message(e, F.lit(99) - k))
+    deliveries = e.select(
+        F.explode(versions).alias("value"),
+        F.date_trunc("hour", _ts()).cast("timestamp_ntz").alias("arrival"),
+    )
+    return P.valid_rows(P.parse(deliveries, stamp=F.col("arrival")))
 
 
 # ---------------------------------------------------------------------------
