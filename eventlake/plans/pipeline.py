@@ -18,6 +18,7 @@ from .. import schemas as S
 from ..operators import models as M
 from ..operators import parse as P
 from ..operators import quality as Q
+from ..session import configure
 from ..sinks import tables as TB
 from ..streaming import ingest as ST
 
@@ -195,6 +196,7 @@ def run(
     ``test_before_publish`` gold is built into a staging table, tested there,
     and renamed over the published gold only when every test passes.
     """
+    configure(spark)
     result = RunResult()
     setup(spark, layout)
     result.ingest = ingest(spark, messages, layout, mode=mode, stamp=stamp)

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators import parse as P
+from ..session import configure
 from ..sinks import tables as TB
 
 METRICS = "ingest_counts"
@@ -125,6 +126,7 @@ def start_ingest(
     only for a source that yields fewer splits than cores (a few large files).
     A Kafka source has its own ``minPartitions`` option for the same purpose.
     """
+    configure(source.sparkSession)
     if min_partitions:
         source = source.repartition(min_partitions)
     writer = (
