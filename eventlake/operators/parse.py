@@ -153,8 +153,8 @@ def _build_plan(mode: str, is_binary: bool, value: str):
     ]
     stages = []
     # Whole-value casts instead of path reads ("$[0]", "$.key"): one cast of
-    # the wrapper to an array and one of the document to a map, then plain
-    # element and key lookups (path navigation is the costly part of a read).
+    # the wrapper to an array and one of the document to a struct of the
+    # members (path navigation is the costly part of a read).
     stages.append(_aliased({"_items": C.as_items(F.col("_array"))}))
     stages.append(
         _aliased(
@@ -164,18 +164,18 @@ def _build_plan(mode: str, is_binary: bool, value: str):
             }
         )
     )
+    members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
     stages.append(
         _aliased(
             {
-                "_fields": C.as_fields(F.col("_doc")),
+                "_fields": C.as_fields(F.col("_doc"), members),
                 "_json": F.col("_doc").isNotNull() & F.col("_single") & F.col("_member_ok"),
             }
         )
     )
 
-    # Stage 2: each member looked up once. A well-formed value is an object
-    # exactly when its map cast succeeded (no text scan needed).
-    members = ("event_timestamp", "event_id", "customer_id", "product_id", "session_id", "event_type")
+    # Stage 2: each member taken once. A well-formed value is an object
+    # exactly when its struct cast succeeded (no text scan needed).
     lookups = {f"_m_{m}": C.member(F.col("_fields"), m) for m in members}
     lookups["_object"] = F.col("_fields").isNotNull()
     stages.append(_aliased(lookups))

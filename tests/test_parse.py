@@ -116,6 +116,8 @@ EDGE = [
     ('1, 2', "INVALID_JSON"),
     ('{"a":1}, "b": 2', "INVALID_JSON"),
     ('1],[2', "INVALID_JSON"),
+    ('{"EVENT_ID":5,"Event_Type":"view"}', dict(event_id=0, event_type="unknown")),  # keys are case-sensitive
+    ('{"event_id":5,"extra":{"event_id":9}}', dict(event_id=5)),  # only top-level members
 ]
 
 
