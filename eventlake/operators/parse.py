@@ -1,9 +1,9 @@
 """Raw message -> typed bronze row, with routing of bad messages.
 
 A stack of projections of native expressions (decode, member lookup, typed
-readings, timestamp steps, coercion): no Python per row, no shuffle, one
-whole-stage-codegen pipeline, and the same code for a batch and a streaming
-DataFrame.
+readings, timestamp steps, coercion): no Python per row, no shuffle, two
+whole-stage-codegen stages (see :func:`_split_codegen`), and the same code for
+a batch and a streaming DataFrame.
 
 Modes (how a bad message is handled):
 
@@ -76,19 +76,13 @@ def parse(
         # The check rides on ``error`` (read by every filter on it) and on a
         # REQUIRED column (read by every write of bronze rows), so no plan can
         # prune it away; a failing job commits no files.
+        failing = F.col("error").isNotNull()
         failure = F.raise_error(F.concat(F.lit("bad event: "), F.col("error")))
-        coerced = coerced.select(
-            *[
-                F.when(F.col("error").isNotNull(), failure.cast("bigint"))
-                .otherwise(F.col("event_id"))
-                .alias("event_id")
-                if c == "event_id"
-                else F.when(F.col("error").isNotNull(), failure.cast("string")).alias("error")
-                if c == "error"
-                else F.col(c)
-                for c in coerced.columns
-            ]
-        )
+        checked = {
+            "event_id": F.when(failing, failure.cast("bigint")).otherwise(F.col("event_id")),
+            "error": F.when(failing, failure.cast("string")),
+        }
+        coerced = coerced.select(*[checked.get(c, F.col(c)).alias(c) for c in coerced.columns])
     return coerced
 
 
