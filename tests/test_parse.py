@@ -169,3 +169,19 @@ def test_drop_mode_pass_through(spark):
     assert rows[0].session_id is None
     assert rows[1].event_type == "x" * 80
     assert obs.get == {"n_valid": 2, "n_dropped": 3}
+
+
+def test_edge_messages_without_ansi(spark):
+    """Same answers when the session runs with ANSI mode off (a session we did not create)."""
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        rows = run(spark, [m for m, _ in EDGE])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    for (message, expected), row in zip(EDGE, rows):
+        if isinstance(expected, str):
+            assert row["error"] == expected, (message, row)
+        else:
+            assert row["error"] is None, (message, row)
+            for k, v in expected.items():
+                assert row[k] == v, (message, k, row)
