@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import coerce as C
+from ..session import configure
 from ..sources.files import spread
 
 MODES = ("deadletter", "fail", "drop")
@@ -54,9 +55,14 @@ def parse(
     Decoding is CPU-bound: with ``spread_input`` an unshuffled batch input
     with fewer splits than the session has cores is first spread round-robin
     (``sources.files.spread``; a no-op for large inputs and for streams).
+
+    The coercion rules depend on two session settings (duplicate JSON keys
+    keep the last value; dates are UTC), so the engine's settings are applied
+    to the session first (``session.configure``).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    configure(df.sparkSession)
     if spread_input:
         df = spread(df)
     stamp = F.current_timestamp() if stamp is None else stamp
