@@ -185,3 +185,13 @@ def test_edge_messages_without_ansi(spark):
             assert row["error"] is None, (message, row)
             for k, v in expected.items():
                 assert row[k] == v, (message, k, row)
+
+
+def test_parse_applies_the_settings_it_needs(spark):
+    """Duplicate keys keep the last value even if the session had them switched off."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    df = spark.createDataFrame([('{"event_id":1,"event_id":7}',)], "value string")
+    (row,) = P.parse(df).collect()
+    assert (row.error, row.event_id) == (None, 7)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
