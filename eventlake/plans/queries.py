@@ -214,7 +214,7 @@ def q_consumer_pull(spark, sf_dir):
 
 def _scratch_layout(spark, name):
     from ..session import scratch_path
-    from .pipeline import Layout
+    from .medallion import Layout
 
     root = scratch_path(spark, name)
     tag = root.rsplit("-", 1)[-1]
@@ -226,15 +226,15 @@ def _scratch_layout(spark, name):
     )
 
 
-def q_pipeline_run(spark, sf_dir):
+def q_medallion_run(spark, sf_dir):
     """Full medallion run over the mixed corpus into fresh tables; layer counts.
 
     The supplied event types include ``signup``/``click``, outside the
     accepted domain, so the run records (not raises) the failing tests.
     """
-    from . import pipeline as PL
+    from . import medallion as PL
 
-    layout = _scratch_layout(spark, "pipeline_run")
+    layout = _scratch_layout(spark, "medallion_run")
     PL.run(spark, CP.mixed(_events(spark, sf_dir)), layout, raise_on_test_failure=False)
     return PL.layer_counts(spark, layout)
 
@@ -314,7 +314,7 @@ QUERIES: dict[str, QueryFn] = {
     "batch_ingest_strict": q_batch_ingest_strict,
     "consumer_pull": q_consumer_pull,
     "stream_split": q_stream_split,
-    "pipeline_run": q_pipeline_run,
+    "medallion_run": q_medallion_run,
     "silver_view": q_silver_view,
     "first_events": q_first_events,
 }
@@ -472,7 +472,7 @@ ORACLES["stream_split"] = """
 SELECT 'bronze' AS output, count(*) AS n_rows FROM events WHERE event_type <> 'error'
 UNION ALL
 SELECT 'deadletter', count(*) FROM events WHERE event_type = 'error'"""
-ORACLES["pipeline_run"] = """
+ORACLES["medallion_run"] = """
 SELECT 'bronze' AS layer, count(*) AS total FROM events WHERE event_type <> 'error'
 UNION ALL SELECT 'deadletter', count(*) FROM events WHERE event_type = 'error'
 UNION ALL SELECT 'silver', count(*) FROM events WHERE event_type <> 'error'

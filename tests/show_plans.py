@@ -24,7 +24,7 @@ SHOW = [
 def main():
     from eventlake.session import build_session
     import __spark_entry__ as E
-    from eventlake.plans import pipeline as PL
+    from eventlake.plans import medallion as PL
     from eventlake.plans.queries import _scratch_layout
     from eventlake.plans import corpus as CP
     from eventlake.sinks import tables as TB

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventlake import schemas as S
 from eventlake.operators import parse as P
 from eventlake.plans import corpus as CP
-from eventlake.plans import pipeline as PL
+from eventlake.plans import medallion as PL
 from eventlake.sinks import publish as K
 from eventlake.sinks import tables as TB
 from eventlake.sources import files as SRC
@@ -30,7 +30,7 @@ def canonical_event(i, ts="2026-07-18T10:00:00Z", et="view"):
             "session_id": f"sess_{i:06d}", "event_timestamp": ts}
 
 
-def test_pipeline_end_to_end(spark, tmp_path):
+def test_medallion_end_to_end(spark, tmp_path):
     layout = fresh_layout(tmp_path)
     msgs = CP.mixed(CP.events(spark, SF))
     result = PL.run(spark, msgs, layout, raise_on_test_failure=False)
