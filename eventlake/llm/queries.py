@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import mixing, shards
+from .common import cut, table
+from .mixing import word_count
 from .substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +52,69 @@ FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+ranked AS (
+  SELECT source, source_size, source_size * 3 AS cap,
+    [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w FROM sizes),
+rest AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0) AS left_size,
+    sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS left_w
+  FROM ranked WINDOW before AS (
+    ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stopped AS (SELECT *, cap * left_w < w * left_size AS stop FROM rest),
+targets AS (
+  SELECT source, source_size, CASE WHEN stop OR cap = 0 THEN cap::DOUBLE ELSE
+    (sum(source_size) OVER () - sum(CASE WHEN stop THEN cap ELSE 0 END) OVER ())::DOUBLE * w
+    / (sum(CASE WHEN stop THEN 0 ELSE w END) OVER ())::DOUBLE END AS target FROM stopped),
+placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN t.target / t.source_size::DOUBLE ELSE 0 END AS rate,
+    ('0x' || substr(md5('mix' || coalesce(':' || d.source, '')), 1, 5))::BIGINT / 1048576.0::DOUBLE AS off,
+    row_number() OVER (PARTITION BY d.source ORDER BY length(bin(size)),
+      size >> greatest(0, length(bin(size)) - 7), substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 3), size, doc_id) AS place
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (size * least(3, floor(off + place * rate) - floor(off + (place - 1) * rate)))::BIGINT AS taken
+FROM placed
+"""
+
+
+@query("op2_mix_sources", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    narrow = cut(docs.select("doc_id", "source", word_count("text").alias("words")), "op2-sizes")
+    out = mixing.copies(narrow, F.col("words"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+OP8_SQL = f"""
+WITH RECURSIVE shards AS (
+  SELECT i, 'shard-' || lpad(i::VARCHAR, 2, '0') AS shard FROM range({len(shards.SHARDS)}) t(i)),
+prefer AS (
+  SELECT list(('0x' || substr(md5('offset:' || shard), 1, 15))::BIGINT % {shards.SIZE} ORDER BY i) AS offs,
+    list(('0x' || substr(md5('skip:' || shard), 1, 15))::BIGINT % {shards.SIZE - 1} + 1 ORDER BY i) AS skips FROM shards),
+claims AS (
+  SELECT 0 AS turn, list_transform(range({shards.SIZE}), lambda x: -1) AS owner FROM prefer
+  UNION ALL
+  SELECT turn + 1, owner[:slot] || [turn % {len(shards.SHARDS)}] || owner[slot + 2:] FROM (
+    SELECT turn, owner, list_filter(
+      list_transform(range({shards.SIZE}), lambda j: (offs[turn % {len(shards.SHARDS)} + 1] + j * skips[turn % {len(shards.SHARDS)} + 1]) % {shards.SIZE}),
+      lambda s: owner[s + 1] = -1)[1] AS slot
+    FROM claims, prefer WHERE turn < {shards.SIZE})),
+slots AS (
+  SELECT unnest(range({shards.SIZE})) AS slot, unnest(owner) AS i FROM claims WHERE turn = {shards.SIZE}),
+docs AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {shards.SIZE} AS slot FROM documents)
+SELECT d.doc_id, d.slot, h.shard FROM docs d JOIN slots s ON d.slot = s.slot JOIN shards h ON h.i = s.i
+"""
+
+
+@query("op8_shards", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents").select("doc_id"))
