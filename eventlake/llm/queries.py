@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, shards
+from . import language_id, mixing, shards
 from .common import cut, table
 from .mixing import word_count
 from .substring_dedup import substring_dedup
@@ -118,3 +118,12 @@ SELECT d.doc_id, d.slot, h.shard FROM docs d JOIN slots s ON d.slot = s.slot JOI
 @query("op8_shards", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents").select("doc_id"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = language_id.fit(docs.filter(part != 1))
+    out = language_id.predict(docs.select("doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "text"), model)
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score", "rejected")
