@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import language_id, mixing, shards
 from .common import cut, table
+from .line_quality import line_quality
 from .mixing import word_count
 from .substring_dedup import substring_dedup
 
@@ -127,3 +128,44 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.filter(part != 1))
     out = language_id.predict(docs.select("doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "text"), model)
     return out.select("row.doc_id", "row.held_out", "lang_pred", "score", "rejected")
+
+
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM docs WHERE len(w) > 2)),
+again AS (SELECT doc_id, p FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeated AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, p + unnest([0, 1, 2]) AS i FROM again) GROUP BY doc_id),
+all_lines AS (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS l FROM docs),
+lines AS (
+  SELECT doc_id, source, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+    regexp_replace(array_to_string(regexp_extract_all(lower(l), '[^\x20\x09-\x0D]+'), ' '), '[1-9]', '0', 'g') AS k
+  FROM all_lines WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id),
+hosts AS (SELECT source, count(*) AS docs FROM docs GROUP BY source),
+above AS (
+  SELECT l.source, l.k FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, l.k, h.docs HAVING count(DISTINCT doc_id) > greatest(20, h.docs * 0.02::DOUBLE)),
+removed AS (
+  SELECT l.doc_id, sum(l.n) AS n FROM lines l JOIN above a ON l.source IS NOT DISTINCT FROM a.source AND l.k = a.k
+  GROUP BY l.doc_id),
+stats AS (
+  SELECT d.doc_id, len(d.w)::BIGINT AS n_words,
+    length(regexp_replace(d.t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(d.t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(u.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(x.n, 0)::BIGINT AS n_removed_words
+  FROM docs d LEFT JOIN dups u USING (doc_id) LEFT JOIN repeated r USING (doc_id) LEFT JOIN removed x USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  n_words - n_removed_words < 0.3::DOUBLE * n_words AS depleted,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_words - n_removed_words < 0.3::DOUBLE * n_words) AS kept
+FROM stats
+"""
+
+
+@query("op6_line_quality", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality(table(spark, sf_dir, "documents"))
