@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, shards
+from . import language_id, mixing, shards, url_filter
 from .common import cut, table
 from .line_quality import line_quality
 from .mixing import word_count
@@ -169,3 +169,53 @@ FROM stats
 @query("op6_line_quality", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+WITH pages2 AS (
+  SELECT page_id, url, DATE '2024-01-01' + (page_id * 7919 % 365)::INT AS day,
+    regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '[?#].*$', '') AS c FROM pages),
+parts AS (
+  SELECT *, lower(regexp_replace(regexp_extract(c, '^([^/]*)', 1), '^.*@|:[0-9]*$', '')) AS host,
+    regexp_replace(regexp_extract(c, '^[^/]*(.*)$', 1), '/+$', '') AS path FROM pages2),
+keyed AS (
+  SELECT page_id, url, day, host, host || path AS canon, string_split(host, '.') AS labels FROM parts),
+keys AS (
+  SELECT page_id, day, unnest(list_distinct([canon] || list_transform(range(1, greatest(len(labels) - 1, 1) + 1),
+    lambda i: array_to_string(labels[i:], '.')))) AS key FROM keyed),
+entries AS (
+  SELECT CASE WHEN page_id % 5 = 0 THEN 'allow' ELSE 'block' END AS list,
+    CASE page_id % 3 WHEN 0 THEN canon WHEN 1 THEN host ELSE array_to_string(labels[greatest(len(labels) - 1, 1):], '.') END AS key,
+    CASE WHEN (page_id // 3) % 2 = 0 THEN 'add' ELSE 'remove' END AS action,
+    DATE '2024-01-01' + (page_id * 104729 % 365)::INT AS day, page_id AS seq FROM keyed),
+last_of_day AS (
+  SELECT list, key, day, arg_max(action, seq) AS action FROM entries GROUP BY list, key, day),
+steps AS (
+  SELECT *, coalesce(lead(day) OVER (PARTITION BY list, key ORDER BY day), DATE '9999-12-31') AS until FROM last_of_day),
+active AS (
+  SELECT k.page_id, s.list FROM keys k JOIN steps s
+  ON k.key = s.key AND s.action = 'add' AND s.day <= k.day AND k.day < s.until),
+counts AS (
+  SELECT page_id, count(*) FILTER (list = 'block') AS b, count(*) FILTER (list = 'allow') AS a FROM active GROUP BY page_id)
+SELECT p.page_id, p.url, strftime(p.day, '%Y-%m-%d') AS day, coalesce(b, 0)::BIGINT AS n_block, coalesce(a, 0)::BIGINT AS n_allow,
+  coalesce(b, 0) > 0 AND coalesce(a, 0) = 0 AS blocked
+FROM keyed p LEFT JOIN counts c USING (page_id)
+"""
+
+
+@query("op4_url_filter", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are the pages, dated by id; every page also contributes one dated list entry."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    dated = lambda factor: F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * factor % 365).cast("int"))
+    host = url_filter.host_of("url")
+    labels = F.split(host, r"\.")
+    domain = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
+    entries = pages.select(
+        F.when(F.col("page_id") % 5 == 0, "allow").otherwise("block").alias("list"),
+        F.when(F.col("page_id") % 3 == 0, url_filter.canonical("url")).when(F.col("page_id") % 3 == 1, host).otherwise(domain).alias("key"),
+        F.when(F.floor(F.col("page_id") / 3) % 2 == 0, "add").otherwise("remove").alias("action"),
+        dated(104729).alias("day"), F.col("page_id").alias("seq"),
+    )
+    out = url_filter.evaluate(pages.withColumn("day", dated(7919)), entries)
+    return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
