@@ -206,7 +206,17 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
     """Which of ``n`` positions lie in some span [start, start + length)."""
-    step = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, np.minimum(starts + lengths, n), -1)
+    step = np.bincount(starts, minlength=n + 1) - np.bincount(np.minimum(starts + lengths, n), minlength=n + 1)
     return np.cumsum(step[:n]) > 0
+
+
+def slices(n: int, window: int, size: int = PIECE) -> Iterator[tuple[int, int]]:
+    """Ranges of ``size`` window starts, each with the ``window - 1`` items that its last windows reach into."""
+    for lo in range(0, max(0, n - window + 1), size):
+        yield lo, min(n, lo + size + window - 1)
+
+
+def inside(first: np.ndarray, lo: int, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row of each window start (counted from ``lo``) and whether the window ends within that row."""
+    row = np.searchsorted(first, starts + lo, side="right") - 1
+    return row, first[row + 1] - lo - starts >= window

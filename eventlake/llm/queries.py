@@ -12,6 +12,7 @@ from .common import cut, table
 from .line_quality import line_quality
 from .mixing import word_count
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -219,3 +220,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = url_filter.evaluate(pages.withColumn("day", dated(7919)), entries)
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+OP3_SQL = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+windows AS (
+  SELECT doc_id, p, substr(h, 2 * p - 1, 100) AS s FROM (
+    SELECT doc_id, h, unnest(range(1, n - 48)) AS p FROM docs WHERE n >= 50)),
+repeats AS (SELECT doc_id, p FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY s)),
+gone AS (SELECT DISTINCT doc_id, p + unnest(range(0, 50)) AS i FROM repeats),
+runs AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before <> i - 1) AS n_spans FROM (
+    SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone) GROUP BY doc_id),
+kept AS (
+  SELECT b.doc_id, string_agg(x, '' ORDER BY b.i) AS k FROM (
+    SELECT doc_id, p AS i, substr(h, 2 * p - 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(1, n + 1)) AS p FROM docs)) b
+  ANTI JOIN gone g ON b.doc_id = g.doc_id AND b.i = g.i GROUP BY b.doc_id)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(r.n_removed, 0)::BIGINT AS n_removed,
+  coalesce(r.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.k, ''))) AS kept_sha256
+FROM docs d LEFT JOIN runs r ON d.doc_id = r.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@query("op3_suffix_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

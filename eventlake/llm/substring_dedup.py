@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import sketch
 from .common import (
-    ROLL_A, ROLL_B, U64, anchors, buffers, covered, mix, row_groups, runs, word_hashes,
+    ROLL_A, ROLL_B, U64, anchors, buffers, covered, inside, mix, row_groups, runs, slices, word_hashes,
 )
 from .spans import SPAN, apply_spans, keyed
 
@@ -52,30 +52,30 @@ OUT = "doc long, null_id boolean, n_words long, n_removed long, n_spans long, ke
 
 
 def _windows(text: pa.Array, window: int, gram: int) -> Iterator[tuple]:
-    """Per group of rows: first row, words' prefix arrays, row starts, window validity, marks, which grams are marks."""
+    """Per group of rows, sliced so that a very long text stays bounded: words, valid window starts, their row and
+    place in it, each start's mark, and the marks to count (a slice's edge may count one twice, never too few)."""
     raw, offsets = buffers(text)
     for lo, hi in row_groups(offsets):
         part = offsets[lo : hi + 1]
         words, first = word_hashes(raw[part[0] : part[-1]], part - part[0])
-        if len(words) < window:
-            yield lo, words, first, None, None, None
-            continue
-        ends = np.repeat(first[1:], np.diff(first))
-        start = np.arange(len(words) - window + 1)
-        valid = ends[: len(start)] - start >= window
-        prefix = ROLL_A.prefix(words)
-        at = np.arange(len(words) - gram + 1)
-        grams = ROLL_A.spans(prefix, at, at + gram)
-        least, marked = anchors(grams, valid, window - gram + 1)
-        yield lo, words, first, valid, least, grams[marked]
+        for at, end in slices(len(words), window):
+            piece = words[at:end]
+            start = np.arange(len(piece) - window + 1)
+            row, valid = inside(first, at, start, window)
+            if not valid.any():
+                continue
+            i = np.arange(len(piece) - gram + 1)
+            grams = ROLL_A.spans(ROLL_A.prefix(piece), i, i + gram)
+            least, marked = anchors(grams, valid, window - gram + 1)
+            start, row = start[valid], row[valid]
+            yield piece, start, lo + row, (start + at - first[row]).astype(np.int32), least[valid], grams[marked]
 
 
 def _marks(window: int, gram: int):
     def run(batches):
         for batch in batches:
             for *_, marks in _windows(batch.column("text"), window, gram):
-                if marks is not None and len(marks):
-                    yield marks
+                yield marks
 
     return run
 
@@ -145,23 +145,17 @@ def _suspects(bitmap, window: int, gram: int, bits: int, buckets: int):
             doc = batch.column("doc").to_numpy()
             tag = batch.column("tag").to_numpy()
             null = batch.column("null_id").to_numpy(zero_copy_only=False).astype(np.int8)
-            for lo, words, first, valid, least, _ in _windows(batch.column("text"), window, gram):
-                if valid is None:
-                    continue
-                hit = np.flatnonzero(valid)
-                hit = hit[sketch.repeated(bitmap.value, least[hit], bits)]
+            for words, start, row, at, least, _ in _windows(batch.column("text"), window, gram):
+                hit = np.flatnonzero(sketch.repeated(bitmap.value, least, bits))
                 if not len(hit):
                     continue
-                a = ROLL_A.spans(ROLL_A.prefix(words), hit, hit + window)
-                b = (ROLL_B.spans(ROLL_B.prefix(words), hit, hit + window) >> U64(32)).astype(np.uint32)
-                row = np.searchsorted(first, hit, side="right") - 1
+                begin, r = start[hit], row[hit]
+                a = ROLL_A.spans(ROLL_A.prefix(words), begin, begin + window)
+                b = (ROLL_B.spans(ROLL_B.prefix(words), begin, begin + window) >> U64(32)).astype(np.uint32)
                 bucket = (mix(least[hit]) % U64(buckets)).astype(np.int64)
-                for i in range(0, len(hit), BUFFER):
-                    j = slice(i, i + BUFFER)
-                    r = row[j]
-                    held.add(a[j], b[j], doc[lo + r], tag[lo + r], (hit[j] - first[r]).astype(np.int32), null[lo + r], bucket[j])
-                    if held.n >= BUFFER and (out := held.flush()) is not None:
-                        yield out
+                held.add(a, b, doc[r], tag[r], at[hit], null[r], bucket)
+                if held.n >= BUFFER and (out := held.flush()) is not None:
+                    yield out
         if (out := held.flush()) is not None:
             yield out
 
