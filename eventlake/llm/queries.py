@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import language_id, mixing, shards, url_filter
 from .common import cut, table
+from .decontaminate import contaminated
 from .line_quality import line_quality
 from .mixing import word_count
 from .substring_dedup import substring_dedup
@@ -246,3 +247,12 @@ FROM docs d LEFT JOIN runs r ON d.doc_id = r.doc_id LEFT JOIN kept k ON d.doc_id
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents, with the item found in them."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.when(~F.col("null_id"), F.col("doc")).alias("doc_id"), F.col("item").alias("item_id"), "windows", "item_windows", "shift"
+    )

@@ -59,8 +59,8 @@ def partials(batches: Iterator[np.ndarray], bits: int, depth: int) -> Iterator[p
         yield partial(np.concatenate(held), bits, depth)
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up the partial sketches of this task's blocks, one block's counters at a time in memory."""
+def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Add up the partial sketches of this task's blocks; a block takes 16 KB here, however many parts it has."""
     size = 1 << BLOCK_BITS
     seen: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # one bit per cell each: at least 1, at least 2
     for batch in batches:
@@ -76,18 +76,19 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             many = np.packbits(part, bitorder="little")
             twice |= many | (some & once)
             some |= once | many
-    for block, (_, twice) in seen.items():
-        if twice.any():
+    for block, bits in seen.items():
+        if bits[least - 1].any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([twice.tobytes()], pa.binary())],
+                [pa.array([block], pa.int64()), pa.array([bits[least - 1].tobytes()], pa.binary())],
                 names=["block", "bits"],
             )
 
 
-def build(docs: DataFrame, marks: Callable, bits: int, depth: int) -> np.ndarray:
-    """The merged bitmap (depth x 2**bits / 8 bytes) of the marks that ``marks(batches)`` yields."""
+def build(docs: DataFrame, marks: Callable, bits: int, depth: int, least: int = 2) -> np.ndarray:
+    """The merged bitmap (depth x 2**bits / 8 bytes): cells counted ``least`` (1 or 2) times, of the marks
+    that ``marks(batches)`` yields."""
     spread = docs.mapInArrow(lambda it: partials(marks(it), bits, depth), PARTIAL)
-    merged = spread.repartition("block").mapInArrow(_merge, MERGED)
+    merged = spread.repartition("block").mapInArrow(lambda it: _merge(it, least), MERGED)
     bitmap = np.zeros((depth, (1 << bits) // 8), dtype=np.uint8)
     step = (1 << BLOCK_BITS) // 8
     for row in merged.toLocalIterator():
@@ -97,7 +98,7 @@ def build(docs: DataFrame, marks: Callable, bits: int, depth: int) -> np.ndarray
 
 
 def repeated(bitmap: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
-    """Which marks the sketch estimates at two or more."""
+    """Which marks lie in set cells only: those the sketch estimates at ``least`` or more."""
     keep = np.ones(len(marks), dtype=bool)
     for row in range(bitmap.shape[0]):
         cell = _cells(marks, row, bits)
