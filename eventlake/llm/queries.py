@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language_id, mixing, shards, url_filter
 from .common import cut, table
 from .decontaminate import contaminated
+from .html_extract import html_extract
 from .line_quality import line_quality
 from .mixing import word_count
 from .substring_dedup import substring_dedup
@@ -256,3 +257,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.when(~F.col("null_id"), F.col("doc")).alias("doc_id"), F.col("item").alias("item_id"), "windows", "item_windows", "shift"
     )
+
+
+@query("op10_html_extract")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
