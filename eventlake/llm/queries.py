@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, shards, url_filter
+from . import language_id, mixing, near_dedup, shards, url_filter
 from .common import cut, table
 from .decontaminate import contaminated
 from .html_extract import html_extract
@@ -263,3 +263,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op7_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class (the smallest doc_id in it) and the number of documents in the class."""
+    out = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return out.select(F.when(~F.col("null_id"), F.col("doc")).alias("doc_id"), "class_id", "members")
