@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import ROLL_A, ROLL_B, U64, _BYTES, buffers, cut, inside, mix, row_groups, slices, text_tag, word_spans
-from .spans import keyed
+from .common import ROLL_A, ROLL_B, U64, _BYTES, buffers, cut, inside, mix, row_groups, slices, word_spans
+from .spans import KEY, keyed, with_key
 
 WINDOW = 8
 LITERALS = 4
@@ -201,7 +201,7 @@ def contaminated(
             yield batch.column("hash").to_numpy().view(np.uint64)
 
     filled = docs.sparkSession.sparkContext.broadcast(sketch.build(own.select("hash"), hashes, BITS, 1, least=1))
-    key = ["doc", "tag", "null_id"]
+    key = KEY
     found = keyed(docs, id_col, text_col).mapInArrow(_rows(lengths, literals, bitmap=filled), ROWS)
     total = own.groupBy(*key).agg(F.count(F.lit(1)).alias("item_windows"))
     item = own.join(total, key).select(
@@ -225,8 +225,5 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input rows without those that hold a benchmark item."""
-    bad = contaminated(docs, benchmark, id_col, text_col, **options).select("doc", "tag", "null_id").distinct()
-    bad = bad.select(*[F.col(c).alias(f"__{c}") for c in ("doc", "tag", "null_id")])
-    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
-    same = (F.coalesce(doc, F.lit(0)) == F.col("__doc")) & (text_tag(text) == F.col("__tag")) & (doc.isNull() == F.col("__null_id"))
-    return docs.join(bad, same, "left_anti")
+    bad = contaminated(docs, benchmark, id_col, text_col, **options).select(*KEY).distinct()
+    return with_key(docs, id_col, text_col).join(bad.hint("shuffle_hash"), KEY, "left_anti").select("row.*")

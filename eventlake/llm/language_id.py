@@ -15,7 +15,7 @@ letters are not rejected by distance.
 
 Defined results: a null id is never learned from and not held out; rows with a
 null language are never learned from; with nothing to learn every row is
-``und``; ties go to the first language in code-point order; repeated rows get
+``und`` and only texts without a letter are rejected; ties go to the first language in code-point order; repeated rows get
 equal results. The model's size is bounded by the number of languages; its
 clustering runs in one Spark task per language, on the bounded sample.
 """
@@ -183,6 +183,8 @@ def _predict(model, dim: int, min_letters: int, schema: pa.Schema):
         for batch in batches:
             texts = batch.column("text")
             pred, score, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
+            if not languages:  # nothing to be far from
+                rejected = [not any(map(str.isalpha, x or "")) for x in texts.to_pylist()]
             for lo in range(0, len(texts) if languages else 0, 256):
                 rows, letters = np.zeros((min(256, len(texts) - lo), dim), np.float32), []
                 for i, raw in enumerate(_texts(texts.slice(lo, 256))):

@@ -42,9 +42,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as WN
 
 from . import sketch
-from .common import ROLL_A, ROLL_B, U64, buffers, cut, mix, row_groups, text_tag
+from .common import ROLL_A, ROLL_B, U64, buffers, cut, mix, row_groups
 from .decontaminate import tokens
-from .spans import keyed
+from .spans import KEY, keyed, with_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -333,8 +333,5 @@ def classes(
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input rows, one document of each class: the one with the smallest id (one row of it, if it repeats)."""
     lead = classes(docs, id_col, text_col, **options).filter("leads").select("doc", "tag", "null_id").distinct()
-    lead = lead.select(*[F.col(c).alias(f"__{c}") for c in ("doc", "tag", "null_id")])
-    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
-    same = (F.coalesce(doc, F.lit(0)) == F.col("__doc")) & (text_tag(text) == F.col("__tag")) & (doc.isNull() == F.col("__null_id"))
-    kept = docs.join(lead, same, "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    kept = with_key(docs, id_col, text_col).join(lead.hint("shuffle_hash"), KEY, "left_semi")
+    return kept.dropDuplicates(KEY).select("row.*")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_tag
 
+KEY = ["doc", "tag", "null_id"]
 SPAN = "doc long, tag long, null_id boolean, at int, size int"
 
 
@@ -19,13 +20,17 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ``tag`` a checksum of the text, so rows that repeat an id with another text
     keep their own spans and identical rows share theirs.
     """
+    return docs.select(*_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+
+
+def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The whole input rows, packed as ``row`` so that no column can clash, under the same key."""
+    return docs.select(*_key(id_col, text_col), F.struct("*").alias("row"))
+
+
+def _key(id_col: str, text_col: str) -> list[Column]:
     doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
-    return docs.select(
-        F.coalesce(doc, F.lit(0)).alias("doc"),
-        text_tag(text).alias("tag"),
-        doc.isNull().alias("null_id"),
-        text.alias("text"),
-    )
+    return [F.coalesce(doc, F.lit(0)).alias("doc"), text_tag(text).alias("tag"), doc.isNull().alias("null_id")]
 
 
 def apply_spans(rows: DataFrame, spans: DataFrame, function: Callable, schema: str) -> DataFrame:
@@ -34,8 +39,7 @@ def apply_spans(rows: DataFrame, spans: DataFrame, function: Callable, schema: s
     A row's spans are bounded by its own length. The span side is the small,
     hashed one; the texts are shuffled once and never sorted.
     """
-    key = ["doc", "tag", "null_id"]
-    lists = spans.groupBy(*key).agg(F.collect_list(F.struct("at", "size")).alias("spans"))
-    lists = lists.select(*key, F.col("spans.at").alias("at"), F.col("spans.size").alias("size"))
-    joined = rows.join(lists.hint("shuffle_hash"), key, "left")
-    return joined.select(*key, "text", "at", "size").mapInArrow(function, schema)
+    lists = spans.groupBy(*KEY).agg(F.collect_list(F.struct("at", "size")).alias("spans"))
+    lists = lists.select(*KEY, F.col("spans.at").alias("at"), F.col("spans.size").alias("size"))
+    joined = rows.join(lists.hint("shuffle_hash"), KEY, "left")
+    return joined.select(*KEY, "text", "at", "size").mapInArrow(function, schema)
