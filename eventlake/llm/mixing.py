@@ -19,7 +19,7 @@ ranked in one task.
 Defined results: a null text or size counts 0; a null source is a source of
 its own, last in order; a source of size 0 has target 0 and takes nothing; an
 empty table gives an empty result; identical rows share the copies of their
-places in the order; input columns named like an added one are replaced; a null
+places in the order; ``copies`` replaces input columns named like an added one; a null
 id is hashed as the empty string. Reruns agree: all order comes from the data
 and all randomness from MD5 of the seed, the source and the id.
 """
@@ -76,16 +76,20 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIM
     ).select("__src", "__nul", "source_size", "target")
 
 
-def copies(
+def copies(docs: DataFrame, size: Column, **options) -> DataFrame:
+    """Every input row with its size, source_size, target and number of copies in the mix."""
+    kept = [F.col("__row")[c].alias(c) for c in docs.columns if c not in ADDED]
+    return _placed(docs, size, **options).select(*kept, *ADDED)
+
+
+def _placed(
     docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source",
     weights: Sequence[int] = WEIGHTS, limit: int = LIMIT, seed: str = SEED,
 ) -> DataFrame:
-    """Every input row with its size, source_size, target and number of copies in the mix."""
-    kept = [c for c in docs.columns if c not in ADDED]
     hashable = [F.col(f.name) for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     source, name = F.col(source_col), F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = docs.select(
-        F.struct(*kept).alias("__row"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"),
+        F.struct("*").alias("__row"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"),
         F.coalesce(source.cast("string"), F.lit("")).alias("__src"), source.isNull().alias("__nul"),
         F.substring(F.md5(name), 1, 3).alias("__bucket"), F.col(id_col).alias("__id"), F.xxhash64(*hashable).alias("__tie"),
     )
@@ -110,11 +114,11 @@ def copies(
     place = F.col("__base") + F.col("__in") + F.col("__rank")
     crossed = F.floor(offset + place * rate) - F.floor(offset + (place - 1) * rate)
     return ranked.select(
-        "__row.*", "size", "source_size", "target", F.least(crossed, F.lit(limit)).cast("long").alias("copies")
+        "__row", "size", "source_size", "target", F.least(crossed, F.lit(limit)).cast("long").alias("copies")
     )
 
 
 def mix(docs: DataFrame, size: Column, **options) -> DataFrame:
     """The mix itself: each document ``copies`` times, with the input's columns."""
-    out = copies(docs, size, **options).filter("copies > 0")
-    return out.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    out = _placed(docs, size, **options).filter("copies > 0")
+    return out.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")
