@@ -29,7 +29,6 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import coerce as C
 from ..session import configure
-from ..sources.files import spread
 
 MODES = ("deadletter", "fail", "drop")
 
@@ -41,7 +40,7 @@ def parse(
     now: Column | None = None,
     mode: str = "deadletter",
     keep: tuple[str, ...] = (),
-    spread_input: bool = True,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Decode the message column ``value`` of ``df``.
 
@@ -52,9 +51,9 @@ def parse(
     fixed per query or micro-batch, so a replayed micro-batch keeps its stamp).
     ``now`` replaces a falsy event timestamp (default: the stamp).
 
-    Decoding is CPU-bound: with ``spread_input`` an unshuffled batch input
-    with fewer splits than the session has cores is first spread round-robin
-    (``sources.files.spread``; a no-op for large inputs and for streams).
+    Decoding adds no shuffle, whatever the input's size. ``min_partitions``
+    (off by default) deals the messages round-robin to that many partitions
+    first: for a caller who knows that the input has too few splits.
 
     The coercion rules depend on two session settings (duplicate JSON keys
     keep the last value; dates are UTC), so the engine's settings are applied
@@ -63,8 +62,8 @@ def parse(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     configure(df.sparkSession)
-    if spread_input:
-        df = spread(df)
+    if min_partitions:
+        df = df.repartition(min_partitions)
     stamp = F.current_timestamp() if stamp is None else stamp
     now = stamp if now is None else now
     is_binary = isinstance(df.schema[value].dataType, T.BinaryType)
@@ -277,9 +276,9 @@ def _strict_text(absent: Column, t: Column, as_text: Column, default: str) -> tu
     return result, absent | t.isin("STRING", "VOID")
 
 
-def valid_rows(parsed: DataFrame) -> DataFrame:
-    """The success output: bronze columns of rows without an error."""
-    return parsed.where(F.col("error").isNull()).select(*S.BRONZE_COLUMNS)
+def valid_rows(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The success output: bronze columns (and ``keep``) of rows without an error."""
+    return parsed.where(F.col("error").isNull()).select(*S.BRONZE_COLUMNS, *keep)
 
 
 def deadletter_rows(parsed: DataFrame) -> DataFrame:
@@ -294,8 +293,8 @@ def deadletter_rows(parsed: DataFrame) -> DataFrame:
 def split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, deadletter) views of one parsed DataFrame.
 
-    Both read the same plan; when both are written, persist ``parsed`` first
-    (see ``streaming.ingest``) so messages are decoded once.
+    Both read the same plan; when both are written, write ``parsed`` once
+    first (see ``streaming.ingest``) so messages are decoded once.
     """
     return valid_rows(parsed), deadletter_rows(parsed)
 

@@ -19,7 +19,8 @@ one pass exercises every decoding branch:
               ``session_id`` is JSON ``null``
 ``error``     a broken message; which break depends on ``value``:
               < 10 unterminated object, < 25 non-numeric id,
-              < 50 impossible hour, otherwise an array root
+              < 50 impossible hour, otherwise an array root of over 600 code
+              points, half of them outside the BMP
 """
 
 from __future__ import annotations
@@ -119,6 +120,10 @@ def canonical(e: DataFrame) -> DataFrame:
     return _frame(e, canonical_event(e))
 
 
+# Two characters, one of them outside the Basic Multilingual Plane.
+OUTSIDE_BMP = "\U0001F600x"
+
+
 def broken_message(e_id: Column, ts: Column, value: Column) -> Column:
     sid = e_id.cast("string")
     return (
@@ -137,7 +142,7 @@ def broken_message(e_id: Column, ts: Column, value: Column) -> Column:
                 F.lit('T25:00:00Z"}'),
             ),
         )
-        .otherwise(F.concat(F.lit("["), sid, F.lit(', "error"]')))
+        .otherwise(F.concat(F.lit("["), sid, F.lit(f', "error", "{OUTSIDE_BMP * 300}"]')))
     )
 
 

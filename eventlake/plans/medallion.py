@@ -9,6 +9,7 @@ models: gold reads the silver view, which reads bronze.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,8 +19,9 @@ from .. import schemas as S
 from ..operators import models as M
 from ..operators import parse as P
 from ..operators import quality as Q
-from ..session import configure
+from ..session import checkpoint_root, configure
 from ..sinks import tables as TB
+from ..sources import files as SRC
 from ..streaming import ingest as ST
 
 
@@ -35,7 +37,7 @@ class Layout:
     deadletter_table: str = S.DEADLETTER_TABLE
     silver_view: str = S.SILVER_VIEW
     gold_table: str = S.GOLD_TABLE
-    gold_buckets: int | None = None  # None: spark.sql.shuffle.partitions
+    gold_buckets: int = 64  # of every gold version; choose it for the table's size, about 256 MB a bucket
 
     @property
     def bronze(self) -> str:
@@ -88,13 +90,23 @@ def ingest(
     mode: str = "deadletter",
     value: str = "value",
     stamp: Column | None = None,
+    load_id: str | None = None,
+    max_messages: int | None = None,
 ) -> dict:
     """Decode ``messages`` and append to bronze (and dead-letter); returns counts.
 
     ``mode='fail'`` (strict batch ingest): the first bad message fails the
-    bronze write, and nothing is appended. ``mode='drop'``: bad messages are
-    dropped and only counted.
+    bronze write, and nothing is appended. ``mode='drop'`` (the consumer): bad
+    messages are dropped and counted, rows that the table rejects are reported
+    and the rest is appended; ``max_messages`` bounds the pull.
+
+    ``load_id`` names the load: a load that failed on the way is run again
+    under its name and leaves every row once. A name must not be given to
+    other messages.
     """
+    load_id = load_id or uuid.uuid4().hex
+    if max_messages:
+        messages = SRC.bounded(messages, max_messages)
     parsed = P.parse(messages, value=value, stamp=stamp, mode=mode)
     bronze = ST.table_sink(spark, layout.bronze, S.BRONZE_REQUIRED)
     if mode == "deadletter":
@@ -102,17 +114,30 @@ def ingest(
         # row counts observed on the writes themselves
         totals = {"n_messages": 0, "n_valid": 0, "n_deadletter": 0, "batches": 0}
         deadletter = ST.table_sink(spark, layout.deadletter, S.DEADLETTER_REQUIRED)
-        ST.fan_out(bronze, deadletter, totals)(parsed, 0)
+        staging = f"{checkpoint_root(spark)}/loads"
+        ST.fan_out(bronze, deadletter, staging, totals, lambda: load_id)(parsed, 0)
         return {"n_valid": totals["n_valid"], "n_deadletter": totals["n_deadletter"]}
     if mode == "drop":
         valid, obs = P.drop_bad(parsed)
-        bronze(valid)
-        return dict(obs.get)
+        rejected = TB.append(spark, valid, layout.bronze, S.BRONZE_REQUIRED, on_reject="report", batch=load_id)
+        return {**obs.get, **rejected.get}
     seen = Observation()
-    bronze(P.valid_rows(parsed).observe(seen, F.count(F.lit(1)).alias("n_valid")))
+    bronze(P.valid_rows(parsed).observe(seen, F.count(F.lit(1)).alias("n_valid")), load_id)
     return dict(seen.get)
 
 
+def rotating_batch(spark: SparkSession, folder: str, at, layout: Layout, stamp: Column | None = None) -> dict:
+    """One scheduled batch run: the file whose number is the slot of ``at``, strictly parsed and appended.
+
+    Any bad event fails the run and appends nothing; a run repeated for one
+    file and day replaces its own append.
+    """
+    path = SRC.pick_batch(spark, folder, at)
+    events = SRC.explode_documents(SRC.read_documents(spark, path))
+    name = f"{path.rsplit('/', 1)[-1]}-{at:%Y%m%dT%H%M}"
+    return ingest(spark, events, layout, mode="fail", stamp=stamp, load_id=name)
+
+
 def silver_sql(layout: Layout) -> str:
     cols = ", ".join(S.BRONZE_COLUMNS)
     return f"SELECT {cols} FROM {layout.bronze} WHERE event_id IS NOT NULL"
@@ -123,18 +148,22 @@ def build_models(
     layout: Layout,
     method: str = "aggregate",
     transformed_at: Column | None = None,
-    gold_table: str | None = None,
-) -> None:
+    publish: bool = True,
+) -> str:
     """Silver as a view over bronze, gold as a fully rebuilt table read from silver.
 
-    Gold is written bucketed by ``event_id``, so its ``unique`` test and any
-    later join on the key read co-partitioned files without a shuffle.
-    ``gold_table`` overrides the target (a staging table, see :func:`run`).
+    Gold is built as a new version, bucketed by ``event_id`` (its ``unique``
+    test and later joins on the key read co-partitioned files), and then
+    published by one switch of the gold view: readers see the old version or
+    the new one, and a failed rebuild leaves the old one. Returns the version;
+    with ``publish=False`` the caller switches (see :func:`run`).
     """
     TB.create_or_replace_view(spark, layout.silver, silver_sql(layout))
-    TB.analyze_sizes(spark, layout.bronze)  # sizes the gold buckets
     gold = M.gold(spark.table(layout.silver), transformed_at=transformed_at, method=method)
-    TB.replace_table(gold, gold_table or layout.gold, bucket_by="event_id", num_buckets=layout.gold_buckets)
+    version = TB.build_version(gold, layout.gold, bucket_by="event_id", num_buckets=layout.gold_buckets)
+    if publish:
+        TB.publish_version(spark, layout.gold, version)
+    return version
 
 
 def models_of(spark: SparkSession, layout: Layout, gold_table: str | None = None) -> dict[str, DataFrame]:
@@ -147,12 +176,6 @@ def test(spark: SparkSession, layout: Layout, raise_on_failure: bool = True, gol
     return Q.assert_suite(result) if raise_on_failure else result.collect()
 
 
-def publish_staged(spark: SparkSession, staging: str, target: str) -> None:
-    """Replace ``target`` by the tested ``staging`` table (a catalog rename; no data copy)."""
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
-
-
 def layer_counts(spark: SparkSession, layout: Layout) -> DataFrame:
     return Q.layer_counts(
         {
@@ -188,32 +211,32 @@ def run(
     stamp: Column | None = None,
     expire_as_of=None,
     test_before_publish: bool = False,
+    load_id: str | None = None,
 ) -> RunResult:
-    """Setup -> ingest -> silver/gold -> tests -> validation (-> optional retention).
+    """Setup -> ingest -> retention -> silver/gold -> tests -> validation.
 
-    By default gold is replaced first and tested after, so a failing test
-    leaves the new gold visible (the original order). With
-    ``test_before_publish`` gold is built into a staging table, tested there,
-    and renamed over the published gold only when every test passes.
+    Days older than the retention at ``expire_as_of`` (default: now) are
+    dropped after the ingest; ``False`` keeps them. By default gold is
+    published first and tested after, so a failing test leaves the new gold
+    visible (the original order). With ``test_before_publish`` the new version
+    is tested before the switch and dropped when a test fails.
     """
     configure(spark)
     result = RunResult()
     setup(spark, layout)
-    result.ingest = ingest(spark, messages, layout, mode=mode, stamp=stamp)
+    result.ingest = ingest(spark, messages, layout, mode=mode, stamp=stamp, load_id=load_id)
+    if expire_as_of is not False:
+        result.expired = expire(spark, layout, expire_as_of)
+    version = build_models(spark, layout, method=method, publish=not test_before_publish)
     if test_before_publish:
-        staging = f"{layout.gold}__staging"
-        build_models(spark, layout, method=method, gold_table=staging)
-        result.tests = test(spark, layout, raise_on_failure=False, gold_table=staging)
+        result.tests = test(spark, layout, raise_on_failure=False, gold_table=version)
         if all(r.status == "pass" for r in result.tests):
-            publish_staged(spark, staging, layout.gold)
+            TB.publish_version(spark, layout.gold, version)
         else:
-            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            TB.drop_version(spark, version)
             if raise_on_test_failure:
                 Q.check_rows(result.tests)
     else:
-        build_models(spark, layout, method=method)
         result.tests = test(spark, layout, raise_on_failure=raise_on_test_failure)
     result.layers = validate(spark, layout)
-    if expire_as_of is not None:
-        result.expired = expire(spark, layout, expire_as_of)
     return result

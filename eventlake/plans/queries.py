@@ -29,6 +29,11 @@ RETENTION_AS_OF = "2024-02-15"
 EVENTS_PER_BATCH_FILE = 50
 REDELIVERY_DELAY = "INTERVAL 1 HOUR"
 FIRST_EVENTS = 1000
+# Fixture rows without a type (every tenth event's first arrival) and without an id.
+UNTYPED_EVERY = 10
+NO_ID_EVERY = 97
+# Every 23rd event is a document of its own, an object root.
+SINGLE_EVERY = 23
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +47,11 @@ def _ts() -> F.Column:
     return F.col("ts")
 
 
+def _parse(df: DataFrame, **options) -> DataFrame:
+    """Decode a frame made from the supplied ``events``, one file with one row group and so one split."""
+    return P.parse(df, min_partitions=df.sparkSession.sparkContext.defaultParallelism, **options)
+
+
 # ---------------------------------------------------------------------------
 # Bronze fixtures: what the ingest would have appended
 # ---------------------------------------------------------------------------
@@ -56,9 +66,16 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = _events(spark, sf_dir)
     deliveries = CP.mixed(e).select(
-        "value", F.explode(F.array(_ts(), _ts() + F.expr(REDELIVERY_DELAY))).alias("arrival")
+        "value", F.posexplode(F.array(_ts(), _ts() + F.expr(REDELIVERY_DELAY))).alias("copy", "arrival")
     )
-    return P.valid_rows(P.parse(deliveries, stamp=F.col("arrival")))
+    rows = P.valid_rows(_parse(deliveries, stamp=F.col("arrival"), keep=("copy",)), keep=("copy",))
+    # what other writers may leave in a table that enforces nothing: rows without an
+    # id, and first arrivals without a type (gold must fall back to the second)
+    untyped = (F.col("copy") == 0) & (F.col("event_id") % UNTYPED_EVERY == 3)
+    return rows.withColumns({
+        "event_type": F.when(~untyped, F.col("event_type")),
+        "event_id": F.when(F.col("event_id") % NO_ID_EVERY != 5, F.col("event_id")),
+    }).drop("copy")
 
 
 def bronze_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +90,7 @@ def bronze_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(versions).alias("value"),
         F.date_trunc("hour", _ts()).cast("timestamp_ntz").alias("arrival"),
     )
-    return P.valid_rows(P.parse(deliveries, stamp=F.col("arrival")))
+    return P.valid_rows(_parse(deliveries, stamp=F.col("arrival")))
 
 
 # ---------------------------------------------------------------------------
@@ -82,21 +99,21 @@ def bronze_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parse_events(spark, sf_dir):
-    return P.valid_rows(P.parse(CP.mixed(_events(spark, sf_dir)), stamp=_ts()))
+    return P.valid_rows(_parse(CP.mixed(_events(spark, sf_dir)), stamp=_ts()))
 
 
 def q_deadletter(spark, sf_dir):
-    return P.deadletter_rows(P.parse(CP.mixed(_events(spark, sf_dir)), stamp=_ts()))
+    return P.deadletter_rows(_parse(CP.mixed(_events(spark, sf_dir)), stamp=_ts()))
 
 
 def q_truncate_fields(spark, sf_dir):
-    rows = P.valid_rows(P.parse(CP.truncation(_events(spark, sf_dir)), stamp=_ts()))
+    rows = P.valid_rows(_parse(CP.truncation(_events(spark, sf_dir)), stamp=_ts()))
     return rows.select("event_id", "event_type", "session_id")
 
 
 def _date_ids(corpus_fn):
     def q(spark, sf_dir):
-        rows = P.valid_rows(P.parse(corpus_fn(_events(spark, sf_dir)), stamp=_ts()))
+        rows = P.valid_rows(_parse(corpus_fn(_events(spark, sf_dir)), stamp=_ts()))
         return rows.select("event_id", "date_id")
 
     return q
@@ -169,25 +186,34 @@ def q_json_roundtrip(spark, sf_dir):
         F.col("ts").alias("arrival"),
     )
     messages = K.encode(objects, keep=("arrival",))
-    rows = P.valid_rows(P.parse(messages, stamp=F.col("arrival")))
+    rows = P.valid_rows(_parse(messages, stamp=F.col("arrival")))
     return rows.drop("ingestion_time")
 
 
 def batch_documents(spark, sf_dir) -> DataFrame:
-    """Canonical messages packed into JSON-array documents of at most 50 events.
+    """Canonical messages packed into JSON documents: arrays of at most 50 events, and single objects.
+
+    Every array holds one element with a ``NaN`` member, which must cost no event.
 
     Chunks are runs of consecutive rows within one input partition
     (``monotonically_increasing_id`` is contiguous per partition), so no
     document grows past 50 events whatever the key distribution.
     """
     msgs = CP.canonical(_events(spark, sf_dir))
+    alone = F.col("event_id") % SINGLE_EVERY == 0
     chunk = F.floor(F.monotonically_increasing_id() / EVENTS_PER_BATCH_FILE)
-    grouped = msgs.groupBy(chunk.alias("batch_no")).agg(
+    grouped = msgs.where(~alone).groupBy(chunk.alias("batch_no")).agg(
         F.sort_array(F.collect_list(F.struct("event_id", "value"))).alias("items"),
         F.min("ts").alias("arrival"),
     )
-    text = F.concat(F.lit("[\n"), F.array_join(F.transform("items", lambda x: x["value"]), ",\n"), F.lit("\n]"))
-    return grouped.select("batch_no", "arrival", text.alias("value"))
+    # the first element of every document carries a member that is no strict JSON
+    first = F.regexp_replace(F.col("items")[0]["value"], r"\}$", ', "score": NaN}')
+    rest = F.transform(F.slice("items", 2, EVENTS_PER_BATCH_FILE), lambda x: x["value"])
+    body = F.array_join(F.concat(F.array(first), rest), ",\n")
+    text = F.concat(F.lit("[\n"), body, F.lit("\n]"))
+    arrays = grouped.select("batch_no", "arrival", text.alias("value"))
+    singles = msgs.where(alone).select(F.col("event_id").alias("batch_no"), F.col("ts").alias("arrival"), "value")
+    return arrays.unionByName(singles)
 
 
 def _batch_rows(spark, sf_dir, mode):
@@ -207,71 +233,11 @@ def q_batch_ingest_strict(spark, sf_dir):
 
 
 def q_consumer_pull(spark, sf_dir):
-    parsed = P.parse(CP.mixed(_events(spark, sf_dir)), stamp=_ts(), mode="drop")
+    parsed = _parse(CP.mixed(_events(spark, sf_dir)), stamp=_ts(), mode="drop")
     valid, _ = P.drop_bad(parsed)
     return valid
 
 
-def _scratch_layout(spark, name):
-    from ..session import scratch_path
-    from .medallion import Layout
-
-    root = scratch_path(spark, name)
-    tag = root.rsplit("-", 1)[-1]
-    return Layout(
-        root=root,
-        bronze_db=f"bronze_{tag}",
-        silver_db=f"silver_{tag}",
-        gold_db=f"gold_{tag}",
-    )
-
-
-def q_medallion_run(spark, sf_dir):
-    """Full medallion run over the mixed corpus into fresh tables; layer counts.
-
-    The supplied event types include ``signup``/``click``, outside the
-    accepted domain, so the run records (not raises) the failing tests.
-    """
-    from . import medallion as PL
-
-    layout = _scratch_layout(spark, "medallion_run")
-    PL.run(spark, CP.mixed(_events(spark, sf_dir)), layout, raise_on_test_failure=False)
-    return PL.layer_counts(spark, layout)
-
-
-def q_stream_split(spark, sf_dir):
-    """The supplied events replayed as a stream (availableNow), decoded, fanned out to two sinks.
-
-    Returns what each sink holds after the run: (output, n_rows).
-    """
-    from ..session import scratch_path
-    from ..streaming import ingest as ST
-
-    configure(spark)
-    root = scratch_path(spark, "stream_split")
-    schema = CP.events(spark, sf_dir).schema
-    source = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(sf_dir)
-    )
-    ST.run_available_now(
-        CP.mixed(source).select("value"),
-        ST.path_sink(f"{root}/bronze", clustering=S.BRONZE_CLUSTER_KEYS),
-        ST.path_sink(f"{root}/deadletter"),
-        checkpoint=f"{root}/_checkpoint",
-        # the supplied table is one file with one row group: one split
-        min_partitions=spark.sparkContext.defaultParallelism,
-    )
-    counts = [
-        spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(name).alias("output"), "n_rows")
-        for name in ("bronze", "deadletter")
-    ]
-    return counts[0].unionByName(counts[1])
-
-
 def q_silver_view(spark, sf_dir):
     return M.silver(bronze(spark, sf_dir))
 
@@ -287,7 +253,7 @@ def q_first_events(spark, sf_dir):
         CP.session_of(F.col("user_id")).alias("session_id"),
         F.col("ts").alias("event_timestamp"),
     )
-    first = objects.orderBy("event_timestamp", "event_id").limit(FIRST_EVENTS)
+    first = K.first_events(objects, FIRST_EVENTS, "event_timestamp", "event_id")
     rows = P.valid_rows(P.parse(K.encode(first, keep=("event_timestamp",)), stamp=F.col("event_timestamp")))
     return rows.drop("ingestion_time")
 
@@ -313,8 +279,6 @@ QUERIES: dict[str, QueryFn] = {
     "batch_arrays": q_batch_arrays,
     "batch_ingest_strict": q_batch_ingest_strict,
     "consumer_pull": q_consumer_pull,
-    "stream_split": q_stream_split,
-    "medallion_run": q_medallion_run,
     "silver_view": q_silver_view,
     "first_events": q_first_events,
 }
@@ -330,11 +294,11 @@ _DATE_ID = "CAST(strftime(ts, '%Y%m%d') AS BIGINT)"
 _ACCEPTED = ", ".join(f"'{v}'" for v in S.ACCEPTED_EVENT_TYPES)
 
 
-def _bronze_select(stamp: str, product: str = _PRODUCT) -> str:
-    """Valid rows of the mixed corpus delivered at ``stamp``."""
+def _bronze_select(stamp: str, product: str = _PRODUCT, now: str | None = None) -> str:
+    """Valid rows of the mixed corpus delivered at ``stamp`` (``now``: the fallback for no timestamp)."""
     return f"""
     SELECT event_id,
-           CASE WHEN event_type = 'signup' THEN CAST(strftime({stamp}, '%Y%m%d') AS BIGINT)
+           CASE WHEN event_type = 'signup' THEN CAST(strftime({now or stamp}, '%Y%m%d') AS BIGINT)
                 ELSE {_DATE_ID} END AS date_id,
            user_id AS customer_id,
            CASE WHEN event_type = 'click' THEN 0 ELSE {product} END AS product_id,
@@ -344,10 +308,17 @@ def _bronze_select(stamp: str, product: str = _PRODUCT) -> str:
     FROM events WHERE event_type <> 'error'"""
 
 
+def _delivered(stamp: str, untyped: str) -> str:
+    return f"""
+    SELECT CASE WHEN event_id % {NO_ID_EVERY} <> 5 THEN event_id END AS event_id, date_id, customer_id, product_id,
+           session_id, CASE WHEN NOT ({untyped}) THEN event_type END AS event_type, ingestion_time
+    FROM ({_bronze_select(stamp)}) AS d"""
+
+
 _BRONZE_CTE = f"""WITH bronze AS (
-    {_bronze_select('ts')}
+    {_delivered('ts', f'event_id % {UNTYPED_EVERY} = 3')}
     UNION ALL
-    {_bronze_select('ts + INTERVAL 1 HOUR')}
+    {_delivered('ts + INTERVAL 1 HOUR', 'false')}
 )"""
 
 _BRONZE_TIES_CTE = f"""WITH bronze AS (
@@ -395,16 +366,15 @@ SELECT model, column_name, test, n_failed,
 FROM results"""
 
 
-ORACLES: dict[str, str] = {
-    "parse_events": _bronze_select("ts"),
-    "deadletter": f"""
-    SELECT CASE
+# Code points 1 to 500 of the message; the longest ones hold characters outside the BMP.
+DEADLETTER_SQL = f"""
+    SELECT left(CASE
              WHEN value < 10 THEN '{{"event_id": ' || CAST(event_id AS VARCHAR) || ', "event_type": "error"'
              WHEN value < 25 THEN '{{"event_id": "id-' || CAST(event_id AS VARCHAR) || '", "event_type": "error"}}'
              WHEN value < 50 THEN '{{"event_id": ' || CAST(event_id AS VARCHAR)
                   || ', "event_type": "error", "event_timestamp": "' || strftime(ts, '%Y-%m-%d') || 'T25:00:00Z"}}'
-             ELSE '[' || CAST(event_id AS VARCHAR) || ', "error"]'
-           END AS raw_message,
+             ELSE '[' || CAST(event_id AS VARCHAR) || ', "error", "' || repeat('{CP.OUTSIDE_BMP}', 300) || '"]'
+           END, {S.DEADLETTER_TEXT_MAX}) AS raw_message,
            CASE
              WHEN value < 10 THEN 'INVALID_JSON'
              WHEN value < 25 THEN 'INVALID_INT:event_id'
@@ -412,7 +382,11 @@ ORACLES: dict[str, str] = {
              ELSE 'NOT_AN_OBJECT'
            END AS error,
            ts AS ingestion_time
-    FROM events WHERE event_type = 'error'""",
+    FROM events WHERE event_type = 'error'"""
+
+ORACLES: dict[str, str] = {
+    "parse_events": _bronze_select("ts"),
+    "deadletter": DEADLETTER_SQL,
     "truncate_fields": f"""
     SELECT event_id, left(repeat(event_type, 20), 50) AS event_type,
            left(repeat({_SESSION}, 30), 255) AS session_id
@@ -468,12 +442,8 @@ ORACLES["first_events"] = f"""
 SELECT event_id, {_DATE_ID} AS date_id, user_id AS customer_id, {_PRODUCT} AS product_id,
        {_SESSION} AS session_id, event_type
 FROM events ORDER BY ts, event_id LIMIT {FIRST_EVENTS}"""
-ORACLES["stream_split"] = """
-SELECT 'bronze' AS output, count(*) AS n_rows FROM events WHERE event_type <> 'error'
-UNION ALL
-SELECT 'deadletter', count(*) FROM events WHERE event_type = 'error'"""
-ORACLES["medallion_run"] = """
-SELECT 'bronze' AS layer, count(*) AS total FROM events WHERE event_type <> 'error'
-UNION ALL SELECT 'deadletter', count(*) FROM events WHERE event_type = 'error'
-UNION ALL SELECT 'silver', count(*) FROM events WHERE event_type <> 'error'
-UNION ALL SELECT 'gold', count(DISTINCT event_id) FROM events WHERE event_type <> 'error'"""
+
+from . import stored as _stored  # noqa: E402  its queries use the fixtures above
+
+QUERIES.update(_stored.QUERIES)
+ORACLES.update(_stored.ORACLES)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -89,10 +88,51 @@ def checkpoint_root(spark: SparkSession) -> str:
 ensure_checkpoint_dir = checkpoint_root
 
 
+_SCRATCH: list[str] = []
+_SCRATCH_DATABASES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    """A fresh, unique folder name below the checkpoint root (created by whoever writes to it)."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
     return path
+
+
+def scratch_database(name: str) -> str:
+    """Note a database to drop with the scratch folders."""
+    _SCRATCH_DATABASES.append(name)
+    return name
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through its own file system (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Drop the scratch databases and folders made so far; call it when their results have been read."""
+    while _SCRATCH_DATABASES:
+        spark.sql(f"DROP DATABASE IF EXISTS {_SCRATCH_DATABASES.pop()} CASCADE")
+    while _SCRATCH:
+        remove_path(spark, _SCRATCH.pop())
+
+
+def release_path_into(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the one data file that a writer left in ``folder`` to ``target``, a file name of the caller's."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(conf)
+    (part,) = [s.getPath() for s in fs.globStatus(path(f"{folder}/part-*"))]
+    fs.mkdirs(path(target).getParent())
+    if not fs.rename(part, path(target)):
+        raise OSError(f"could not move {folder} to {target}")

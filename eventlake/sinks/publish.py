@@ -18,17 +18,29 @@ def encode(df: DataFrame, columns: list[str] | None = None, keep: tuple[str, ...
     )
 
 
-def first_events(df: DataFrame, limit: int | None, order_by: str = "pos") -> DataFrame:
-    """The first ``limit`` events in source order; a falsy limit means all."""
-    return df.orderBy(order_by).limit(limit) if limit else df
+def first_events(df: DataFrame, limit: int | None, *order_by: str) -> DataFrame:
+    """The first ``limit`` events in source order; a falsy limit means all.
+
+    A DataFrame has no order of its own, so a limit needs the columns that hold
+    the source order (for a document's events, the ``pos`` that
+    ``sources.files.explode_documents`` gives).
+    """
+    if not limit:
+        return df
+    if not order_by:
+        raise ValueError("a limit needs order_by: the columns that hold the source order")
+    return df.orderBy(*order_by).limit(limit)
 
 
-def publish(df: DataFrame, path: str, limit: int | None = None, order_by: str | None = None) -> None:
+def publish(df: DataFrame, path: str, limit: int | None = None, order_by: tuple[str, ...] | str = (),
+            columns: list[str] | None = None) -> None:
     """Append the events of ``df`` as JSON lines under ``path`` (an arrival folder).
 
+    With ``limit`` the first events by ``order_by`` are sent. ``columns`` are
+    the members to encode (default: all but the ``order_by`` column ``pos``).
     A streaming reader of that folder (``sources.files.read_lines(stream=True)``)
     picks each new file up exactly once.
     """
-    if limit:
-        df = first_events(df, limit, order_by or df.columns[0])
-    encode(df).write.mode("append").text(path)
+    order = (order_by,) if isinstance(order_by, str) else tuple(order_by)
+    df = first_events(df, limit, *order)
+    encode(df, columns or [c for c in df.columns if c != "pos" or "pos" not in order]).write.mode("append").text(path)

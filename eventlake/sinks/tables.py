@@ -7,6 +7,11 @@ clustering keys inside each day, so row-group min/max statistics let scans on
 ``event_type``/``customer_id`` skip data. Appends add no shuffle: each task
 writes its own sorted files for the days it holds.
 
+Below its day every append has a partition of its own, ``ingestion_batch``,
+named by the load or micro-batch that wrote it. Appending a batch again
+replaces its partitions (dynamic partition overwrite), so a replay after a
+crash leaves each row once.
+
 Parquet tables do not enforce ``NOT NULL``; REQUIRED columns are checked in
 the write projection (``operators.quality.enforce_required``).
 """
@@ -14,6 +19,7 @@ the write projection (``operators.quality.enforce_required``).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +29,11 @@ from pyspark.sql import types as T
 from ..operators.quality import enforce_required
 
 PARTITION_COLUMN = "ingestion_date"
+BATCH_COLUMN = "ingestion_batch"
 _PROP_CLUSTER = "eventlake.cluster_by"
 _PROP_SOURCE = "eventlake.partition_source"
+_PROP_VERSION = "eventlake.version"
+_PROP_PREVIOUS = "eventlake.previous_version"
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -48,7 +57,8 @@ def create_table(
     """Create ``name`` if absent; an existing table is left untouched (no migration).
 
     ``partition_field`` (a timestamp column) adds the daily ``ingestion_date``
-    partition column. Returns True when the table was created.
+    partition column and the ``ingestion_batch`` below it. Returns True when
+    the table was created.
     """
     if spark.catalog.tableExists(name):
         return False
@@ -56,8 +66,9 @@ def create_table(
     clauses = []
     props = {}
     if partition_field:
-        cols.append(f"`{PARTITION_COLUMN}` DATE")
-        clauses.append(f"PARTITIONED BY ({PARTITION_COLUMN})")
+        cols += [f"`{PARTITION_COLUMN}` DATE", f"`{BATCH_COLUMN}` STRING"]
+        clauses.append("OPTIONS (partitionOverwriteMode 'dynamic')")
+        clauses.append(f"PARTITIONED BY ({PARTITION_COLUMN}, {BATCH_COLUMN})")
         props[_PROP_SOURCE] = partition_field
     clustering = list(clustering_fields)
     if clustering:
@@ -96,8 +107,9 @@ def prepare_append(
     name: str,
     required: Iterable[str] = (),
     on_reject: str = "raise",
+    batch: str | None = None,
 ):
-    """The frame an append to ``name`` writes: REQUIRED check, partition date, layout.
+    """The frame an append to ``name`` writes: REQUIRED check, partitions, layout.
 
     Returns ``(frame, observation_or_None)``.
     """
@@ -113,6 +125,7 @@ def prepare_append(
             raise ValueError(on_reject)
     if _PROP_SOURCE in props:
         df = with_partition_date(df, props[_PROP_SOURCE])
+        df = df.withColumn(BATCH_COLUMN, F.lit(batch or uuid.uuid4().hex))
     clustering = [c for c in props.get(_PROP_CLUSTER, "").split(",") if c]
     df = layout(df, clustering)
     target = spark.table(name).columns
@@ -125,15 +138,19 @@ def append(
     name: str,
     required: Iterable[str] = (),
     on_reject: str = "raise",
+    batch: str | None = None,
 ):
     """Append ``df`` to table ``name`` (bag semantics: duplicates are kept).
 
+    ``batch`` names the append: the same rows appended again under one name
+    replace the first ones. Without it every append is a batch of its own.
+
     ``on_reject='raise'``: a NULL in a REQUIRED column fails the job and
     nothing is committed. ``'report'``: such rows are skipped and counted;
     returns the Observation (``n_rejected``).
     """
-    frame, obs = prepare_append(spark, df, name, required, on_reject)
-    frame.write.insertInto(name)
+    frame, obs = prepare_append(spark, df, name, required, on_reject, batch)
+    frame.write.insertInto(name, overwrite=BATCH_COLUMN in frame.columns)
     return obs
 
 
@@ -142,46 +159,55 @@ def create_or_replace_view(spark: SparkSession, name: str, select_sql: str) -> N
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select_sql}")
 
 
-def replace_table(
-    df: DataFrame,
-    name: str,
-    bucket_by: str | None = None,
-    num_buckets: int | None = None,
-) -> None:
-    """A model materialised as a table, fully rebuilt on every run.
-
-    ``bucket_by`` writes the table bucketed and sorted on that key, so later
-    aggregations and joins on it (e.g. the ``unique`` test on ``event_id``)
-    read co-partitioned files instead of shuffling.
+def build_version(
+    df: DataFrame, name: str, bucket_by: str | None = None, num_buckets: int | None = None
+) -> str:
+    """Write ``df`` as a new version of ``name`` (``name__v...``) and return the version's name.
+
+    Readers of ``name`` are not affected until :func:`publish_version`; a build
+    that fails leaves the published version as it is. ``bucket_by`` writes the
+    version bucketed and sorted on that key, so later aggregations and joins on
+    it (e.g. the ``unique`` test on ``event_id``) read co-partitioned files
+    instead of shuffling. Rows are dealt by the key first, so every bucket is
+    one file.
     """
-    writer = df.write.mode("overwrite").format("parquet")
+    if bucket_by and not num_buckets:
+        raise ValueError("a bucketed table needs its number of buckets")
+    version = f"{name}__v{uuid.uuid4().hex[:12]}"
+    writer = df.repartition(num_buckets, bucket_by).write if bucket_by else df.write
     if bucket_by:
-        n = num_buckets or bucket_count(df)
-        writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(name)
+        writer = writer.bucketBy(num_buckets, bucket_by).sortBy(bucket_by)
+    try:
+        writer.format("parquet").saveAsTable(version)
+    except Exception:
+        drop_version(df.sparkSession, version)
+        raise
+    return version
 
 
-TARGET_BUCKET_BYTES = 256 * 1024 * 1024
-MAX_BUCKETS = 65536
+def publish_version(spark: SparkSession, name: str, version: str) -> None:
+    """Point the view ``name`` at ``version``: one catalog operation, readers see the old or the new.
 
+    The version shown before stays for readers that began before the switch;
+    the one before that is dropped.
+    """
+    shown = _props(spark, name) if spark.catalog.tableExists(name) else {}
+    previous, older = shown.get(_PROP_VERSION, ""), shown.get(_PROP_PREVIOUS, "")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_PROP_VERSION}' = '{version}', "
+        f"'{_PROP_PREVIOUS}' = '{previous}') AS SELECT * FROM {version}"
+    )
+    if older and older not in (version, previous):
+        drop_version(spark, older)
 
-def bucket_count(df: DataFrame, target_bytes: int = TARGET_BUCKET_BYTES) -> int:
-    """Buckets for writing ``df``: about ``target_bytes`` each, from the optimizer's size estimate.
 
-    The estimate comes from file sizes and projections (no job runs). Never
-    fewer than ``spark.sql.shuffle.partitions``, never more than 65536.
-    """
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return floor
-    if size >= UNKNOWN_SIZE:  # no statistics (e.g. a catalog table never analysed)
-        return floor
-    return max(floor, min(MAX_BUCKETS, -(-size // target_bytes)))
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The version that the view ``name`` shows, if it has been published."""
+    return _props(spark, name).get(_PROP_VERSION) if spark.catalog.tableExists(name) else None
 
 
-UNKNOWN_SIZE = 1 << 60  # Spark reports a missing estimate as Long.MaxValue
+def drop_version(spark: SparkSession, version: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {version}")
 
 
 def analyze_sizes(spark: SparkSession, name: str) -> None:
@@ -212,29 +238,40 @@ def unexpired(df: DataFrame, as_of, days: int) -> DataFrame:
     return df.where(F.col(PARTITION_COLUMN) > F.lit(cutoff))
 
 
-def partitions(spark: SparkSession, name: str) -> DataFrame:
-    """``(ingestion_date)`` for every partition of ``name`` (catalog metadata)."""
+def _partition_values(spark: SparkSession, name: str) -> DataFrame:
+    value = lambda key: F.regexp_extract("partition", f"{key}=([^/]*)", 1)
     return spark.sql(f"SHOW PARTITIONS {name}").select(
-        F.to_date(F.regexp_extract("partition", f"{PARTITION_COLUMN}=(.*)", 1)).alias(PARTITION_COLUMN)
+        F.to_date(value(PARTITION_COLUMN)).alias(PARTITION_COLUMN), value(BATCH_COLUMN).alias(BATCH_COLUMN)
     )
 
 
+def partitions(spark: SparkSession, name: str) -> DataFrame:
+    """``(ingestion_date)`` for every day of ``name`` (catalog metadata)."""
+    return _partition_values(spark, name).select(PARTITION_COLUMN).distinct()
+
+
 def expire_partitions(spark: SparkSession, name: str, as_of, days: int) -> list[dt.date]:
     """Drop the partitions of ``name`` that expired at ``as_of``; returns their days.
 
-    Spark's ``DROP PARTITION`` takes equality specs only, so expired days are
-    listed from the catalog (one row per day, bounded metadata) and dropped in
-    one statement.
+    Spark's ``DROP PARTITION`` takes equality specs only, so the batches of
+    expired days are listed from the catalog (metadata: one row per batch) and
+    dropped some hundreds at a time.
     """
     cutoff = _as_date(as_of) - dt.timedelta(days=days)
-    expired = [
-        r[PARTITION_COLUMN]
-        for r in partitions(spark, name).where(F.col(PARTITION_COLUMN) <= F.lit(cutoff)).collect()
-    ]
-    if expired:
-        specs = ", ".join(f"PARTITION ({PARTITION_COLUMN} = DATE'{d.isoformat()}')" for d in expired)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
-    return sorted(expired)
+    gone, specs = set(), []
+
+    def drop():
+        if specs:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs)}")
+            specs.clear()
+
+    for r in _partition_values(spark, name).where(F.col(PARTITION_COLUMN) <= F.lit(cutoff)).toLocalIterator():
+        gone.add(r[PARTITION_COLUMN])
+        specs.append(f"PARTITION ({PARTITION_COLUMN} = DATE'{r[PARTITION_COLUMN].isoformat()}', {BATCH_COLUMN} = '{r[BATCH_COLUMN]}')")
+        if len(specs) == 200:
+            drop()
+    drop()
+    return sorted(gone)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

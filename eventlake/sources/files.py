@@ -47,19 +47,32 @@ def read_documents(spark: SparkSession, path: str, glob: str | None = None) -> D
 def explode_documents(docs: DataFrame, value: str = "value", limit: int | None = None) -> DataFrame:
     """One row per event of each document: the input columns, ``pos`` and ``value``.
 
-    An array root yields its elements in order, each re-serialised as JSON
-    text; an object (or any other single value) root is a one-element list.
-    A document that is not JSON at all yields itself once, so the parser
-    dead-letters it (or fails, in ``fail`` mode).
+    An array root yields its elements in order, each as JSON text; an object
+    (or any other single value) root is a one-element list. A document that is
+    strict JSON is split as a VARIANT, so its elements keep their JSON types.
+    One that is not (a ``NaN`` or ``Infinity`` member somewhere) is split by
+    the JSON reader instead, which accepts those tokens: they come back as
+    strings in the one element that holds them, and cost no other event (an
+    object root with such a member is one message, and dead-letters). Text
+    that neither can read yields itself once, so the parser dead-letters it (or
+    fails, in ``fail`` mode). Either way elements are re-serialised, so
+    ``raw_message`` of a bad element is its JSON text, not its source bytes.
 
     ``limit`` keeps the first *n* events of each document; a falsy limit
     keeps all.
     """
-    doc = F.try_parse_json(F.col(value))
+    text = F.col(value)
+    doc = F.try_parse_json(text)
     items = F.try_variant_get(doc, "$", "array<variant>")
-    texts = F.when(doc.isNull(), F.array(F.col(value))).when(
-        items.isNull(), F.array(F.to_json(doc))
-    ).otherwise(F.transform(items, lambda x: F.to_json(x)))
+    lenient = F.when(doc.isNull(), F.from_json(text, "array<string>"))
+    # a NULL element is a JSON null; a reading without any element is no reading
+    lenient = F.transform(lenient, lambda x: F.coalesce(x, F.lit("null")))
+    loose = F.when(F.size(lenient) > 0, lenient).otherwise(F.array(text))
+    texts = (
+        F.when(doc.isNull(), loose)
+        .when(items.isNull(), F.array(F.to_json(doc)))
+        .otherwise(F.transform(items, lambda x: F.to_json(x)))
+    )
     others = [c for c in docs.columns if c != value]
     out = docs.select(*others, F.posexplode(texts).alias("pos", value))
     if limit:
@@ -83,58 +96,33 @@ def rotation_slot(ts: Column, n_files: Column | int) -> Column:
 
 
 def list_batches(spark: SparkSession, folder: str, glob: str = BATCH_GLOB) -> DataFrame:
-    """Batch files under ``folder`` sorted by name, numbered from 1: (batch_num, path).
+    """Batch files under ``folder`` with the number in their name: (batch_num, path).
 
     File contents are not read (only the ``path`` column of the binary-file
-    source is selected). Raises when the folder has no batch file.
+    source is selected), and the listing stays a DataFrame.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .load(folder)
-        .select("path")
-    )
-    names = sorted(r.path for r in files.collect())  # file listing: bounded metadata
-    if not names:
-        raise FileNotFoundError(f"no {glob} files under {folder}")
-    return spark.createDataFrame(list(enumerate(names, start=1)), "batch_num bigint, path string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
+    number = F.regexp_extract("path", r"_([0-9]+)\.[^/]*$", 1).try_cast("bigint")
+    return files.select(number.alias("batch_num"), "path").where(F.col("batch_num").isNotNull())
 
 
 def pick_batch(spark: SparkSession, folder: str, at, glob: str = BATCH_GLOB) -> str:
-    """Path of the batch file a run at ``at`` (a datetime) processes."""
+    """Path of the batch file a run at ``at`` (a datetime) processes: the one that carries the slot's number.
+
+    The slot rotates over as many numbers as there are files. Raises when the
+    folder has no batch file, or none with that number.
+    """
     listing = list_batches(spark, folder, glob)
     n = listing.count()
+    if not n:
+        raise FileNotFoundError(f"no {glob} files under {folder}")
     slot = (at.minute // SLOT_MINUTES) % n + 1
-    return listing.where(F.col("batch_num") == slot).first().path
+    found = listing.where(F.col("batch_num") == slot).agg(F.min("path")).first()[0]
+    if found is None:
+        raise FileNotFoundError(f"no batch file number {slot} under {folder}")
+    return found
 
 
 def bounded(df: DataFrame, max_messages: int | None) -> DataFrame:
     """A pull of at most ``max_messages`` messages (batch form of a bounded pull)."""
     return df.limit(max_messages) if max_messages else df
-
-
-# ---------------------------------------------------------------------------
-# Parallelism floor for CPU-heavy work on small inputs
-# ---------------------------------------------------------------------------
-
-
-def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a freshly read scan that has fewer splits than the session has cores.
-
-    Decoding is CPU-bound; a small file with one Parquet row group is a single
-    split, so one core would do all the work. A scan of a large table has far
-    more splits than cores, and then this is a no-op (no shuffle is added).
-    Only counts the scan's splits (file listing, no Spark job); call it on
-    ``spark.read...`` output, not on a plan with shuffles.
-    """
-    if scan.isStreaming:
-        return scan
-    try:
-        target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-        plan = scan._jdf.queryExecution().executedPlan()
-        if "Exchange" in plan.toString():  # already shuffled; counting could start jobs
-            return scan
-        current = plan.execute().getNumPartitions()  # split planning only, no job
-    except Exception:  # no JVM handle (e.g. a Spark Connect session): leave the scan as is
-        return scan
-    return scan.repartition(target) if current < target else scan

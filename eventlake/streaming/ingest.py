@@ -2,44 +2,45 @@
 
 The same :func:`eventlake.operators.parse.parse` runs on a streaming
 DataFrame (``readStream`` over an arrival folder, or any source with a
-``value`` column). Each micro-batch is written to two sinks by
-``foreachBatch``: valid rows to bronze, bad messages with their reason to the
-dead-letter table. The batch is persisted once, so messages are decoded once
-for both writes.
+``value`` column). Each micro-batch is decoded once into the shared scratch
+folder, and written from there to two sinks by ``foreachBatch``: valid rows to
+bronze, bad messages with their reason to the dead-letter table.
 
 Delivery: source offsets are committed to the checkpoint only after the batch
-callback returns, so no message is lost (a failed batch is replayed). A crash
-between the two writes replays the batch, which may append a bronze row twice:
-bronze is a bag by contract and gold keeps one row per event. The ingestion
-stamp is ``current_timestamp()`` *in the streaming plan*, i.e. the
-micro-batch's own timestamp, which a replay reuses: replayed copies are
-identical rows.
+callback returns, so no message is lost (a failed batch is replayed). Both
+sinks write a batch under its name (the query's id and the batch's number) and
+replace what that name wrote before, so a replay after a crash between or
+after the two writes leaves every row once in each. The ingestion stamp is
+``current_timestamp()`` *in the streaming plan*, i.e. the micro-batch's own
+timestamp, which a replay reuses: replayed rows fall into the same partitions.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators import parse as P
-from ..session import configure
+from ..session import configure, path_exists, remove_path
 from ..sinks import tables as TB
 
 METRICS = "ingest_counts"
 
 
-def parsed_stream(source: DataFrame, value: str = "value", mode: str = "deadletter") -> DataFrame:
+def parsed_stream(source: DataFrame, value: str = "value", mode: str = "deadletter",
+                  stamp: Column | None = None) -> DataFrame:
     """Decode a (streaming or batch) DataFrame and attach per-batch counters.
 
     The counters (``n_messages``, ``n_valid``, ``n_deadletter``) are reported
     in each micro-batch's progress (``observedMetrics``) at no extra pass.
     """
-    parsed = P.parse(source, value=value, mode=mode)
+    parsed = P.parse(source, value=value, mode=mode, stamp=stamp)
     return parsed.observe(
         METRICS,
         F.count(F.lit(1)).alias("n_messages"),
@@ -48,64 +49,72 @@ def parsed_stream(source: DataFrame, value: str = "value", mode: str = "deadlett
     )
 
 
-Sink = Callable[[DataFrame], None]
+# Appends a frame under the name of its batch; the same name again replaces the first append.
+Sink = Callable[[DataFrame, str], None]
 
 
 def table_sink(spark: SparkSession, name: str, required: tuple[str, ...]) -> Sink:
     """Append to a catalog table (REQUIRED columns checked in the write)."""
-    return lambda df: TB.append(spark, df, name, required=required)
+    return lambda df, batch: TB.append(spark, df, name, required=required, batch=batch)
 
 
 def path_sink(path: str, partition_source: str | None = "ingestion_time",
               clustering: tuple[str, ...] = ()) -> Sink:
-    """Append Parquet files under ``path``, day-partitioned, sorted by ``clustering``."""
+    """Append Parquet files under ``path``, partitioned by day and batch, sorted by ``clustering``."""
 
-    def write(df: DataFrame) -> None:
+    def write(df: DataFrame, batch: str) -> None:
+        keys = []
         if partition_source:
-            df = TB.with_partition_date(df, partition_source)
-            df = TB.layout(df, clustering)
-            df.write.mode("append").partitionBy(TB.PARTITION_COLUMN).parquet(path)
-        else:
-            TB.layout(df, clustering).write.mode("append").parquet(path)
+            df, keys = TB.with_partition_date(df, partition_source), [TB.PARTITION_COLUMN]
+        df = TB.layout(df, clustering).withColumn(TB.BATCH_COLUMN, F.lit(batch))
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*keys, TB.BATCH_COLUMN).parquet(path)
 
     return write
 
 
-def fan_out(bronze: Sink, deadletter: Sink, totals: dict | None = None) -> Callable[[DataFrame, int], None]:
+def fan_out(bronze: Sink, deadletter: Sink, staging: str, totals: dict | None = None,
+            source: Callable[[], str] = lambda: "load") -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` callback: one decode, two appends.
 
-    With ``totals``, each write carries an ``Observation`` counting its rows,
-    and the counts are added to ``totals`` when the batch is done: exact over
-    any number of batches, and no extra pass over the data.
+    The decoded batch is written once below ``staging`` (a shared folder),
+    partitioned by where it goes, and each sink reads its part; a replay finds
+    a finished decode and uses it again. The folder of a batch is removed when
+    both sinks have it. ``source`` names the stream.
+
+    With ``totals``, the counts of each write are added to ``totals`` when the
+    batch is done: exact over any number of batches, and no extra pass.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Only dead-letter rows need their raw text: drop it from valid rows
-        # before caching (the raw message is usually the widest column).
-        batch = batch.withColumn(
-            "raw_message", F.when(F.col("error").isNotNull(), F.col("raw_message"))
-        )
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            valid, dead = P.split(batch)
-            if totals is None:
-                bronze(valid)
-                deadletter(dead)
-                return
-            seen_valid, seen_dead = Observation(), Observation()
-            bronze(valid.observe(seen_valid, F.count(F.lit(1)).alias("n")))
-            deadletter(dead.observe(seen_dead, F.count(F.lit(1)).alias("n")))
+        spark, name = batch.sparkSession, f"{source()}-{batch_id}"
+        decoded = f"{staging}/decoded-{name}"
+        if not path_exists(spark, f"{decoded}/_SUCCESS"):
+            # Only dead-letter rows need their raw text (usually the widest column).
+            bad = F.col("error").isNotNull()
+            routed = batch.withColumn("raw_message", F.when(bad, F.col("raw_message"))).withColumn("bad", bad)
+            routed.write.mode("overwrite").partitionBy("bad").parquet(decoded)
+        stored = spark.read.schema(_decoded_schema(batch)).parquet(decoded)
+        valid = P.valid_rows(stored.where("NOT bad"))
+        dead = P.deadletter_rows(stored.where("bad"))
+        seen_valid, seen_dead = Observation(), Observation()
+        bronze(valid.observe(seen_valid, F.count(F.lit(1)).alias("n")), name)
+        deadletter(dead.observe(seen_dead, F.count(F.lit(1)).alias("n")), name)
+        if totals is not None:
             n_valid, n_dead = seen_valid.get["n"], seen_dead.get["n"]
             totals["n_valid"] += n_valid
             totals["n_deadletter"] += n_dead
             totals["n_messages"] += n_valid + n_dead
             totals["batches"] += 1
-        finally:
-            batch.unpersist()
+        remove_path(spark, decoded)
 
     return write_batch
 
 
+def _decoded_schema(batch: DataFrame) -> T.StructType:
+    return T.StructType([*batch.schema.fields, T.StructField("bad", T.BooleanType())])
+
+
 def start_ingest(
     source: DataFrame,
     bronze: Sink,
@@ -116,6 +125,7 @@ def start_ingest(
     query_name: str | None = None,
     min_partitions: int | None = None,
     totals: dict | None = None,
+    stamp: Column | None = None,
 ) -> StreamingQuery:
     """Start the two-sink ingest of a streaming ``source`` (column ``value``).
 
@@ -129,9 +139,15 @@ def start_ingest(
     configure(source.sparkSession)
     if min_partitions:
         source = source.repartition(min_partitions)
+    started, query = threading.Event(), []
+
+    def name() -> str:  # of the query that the checkpoint belongs to, the same after a restart
+        started.wait()
+        return str(query[0].id)
+
     writer = (
-        parsed_stream(source)
-        .writeStream.foreachBatch(fan_out(bronze, deadletter, totals))
+        parsed_stream(source, stamp=stamp)
+        .writeStream.foreachBatch(fan_out(bronze, deadletter, f"{checkpoint}/decoded", totals, name))
         .option("checkpointLocation", checkpoint)
     )
     if query_name:
@@ -140,7 +156,9 @@ def start_ingest(
         writer = writer.trigger(availableNow=True)
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    query.append(writer.start())
+    started.set()
+    return query[0]
 
 
 def run_available_now(
@@ -150,12 +168,13 @@ def run_available_now(
     checkpoint: str,
     timeout_sec: float | None = None,
     min_partitions: int | None = None,
+    stamp: Column | None = None,
 ) -> dict:
     """Process what has arrived, stop, and return counters summed over all its batches."""
     totals = {"n_messages": 0, "n_valid": 0, "n_deadletter": 0, "batches": 0}
     query = start_ingest(
         source, bronze, deadletter, checkpoint,
-        available_now=True, min_partitions=min_partitions, totals=totals,
+        available_now=True, min_partitions=min_partitions, totals=totals, stamp=stamp,
     )
     query.awaitTermination(timeout_sec)
     if query.isActive:

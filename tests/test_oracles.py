@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from eventlake.plans.queries import ORACLES, QUERIES
+from eventlake.session import release_scratch
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+    r = compare(spark, con, name, QUERIES[name], ORACLES[name], SF)
+    release_scratch(spark)
     assert r["columns_match"], (r["spark_cols"], r["oracle_cols"])
     assert r["rows"] == r["oracle_rows"]
     assert r["match"]

@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 def fresh_layout(tmp_path):
     tag = uuid.uuid4().hex[:8]
-    return PL.Layout(root=str(tmp_path), bronze_db=f"b_{tag}", silver_db=f"s_{tag}", gold_db=f"g_{tag}")
+    return PL.Layout(root=str(tmp_path), bronze_db=f"b_{tag}", silver_db=f"s_{tag}", gold_db=f"g_{tag}", gold_buckets=8)
 
 
 def canonical_event(i, ts="2026-07-18T10:00:00Z", et="view"):
@@ -54,9 +54,9 @@ def test_medallion_end_to_end(spark, tmp_path):
     # gold is bucketed on event_id: its unique test needs no shuffle
     plan = Q_plan(spark.table(layout.gold).groupBy("event_id").count())
     assert "Exchange" not in plan
-    # small table: bucket count falls to the shuffle-partition floor, not a runaway estimate
-    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {layout.gold}").collect()}
-    assert info["Num Buckets"] == spark.conf.get("spark.sql.shuffle.partitions")
+    version = TB.current_version(spark, layout.gold)
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {version}").collect()}
+    assert info["Num Buckets"] == str(layout.gold_buckets)
 
 
 def Q_plan(df):
@@ -126,7 +126,7 @@ def test_stream_equals_batch_and_restart(spark, tmp_path):
         source, ST.path_sink(f"{out}/bronze"), ST.path_sink(f"{out}/dead"), ckpt
     )
     assert totals == {"n_messages": 44, "n_valid": 40, "n_deadletter": 4, "batches": 2}
-    stream_rows = spark.read.parquet(f"{out}/bronze").drop("ingestion_time", "ingestion_date")
+    stream_rows = spark.read.parquet(f"{out}/bronze").drop("ingestion_time", "ingestion_date", "ingestion_batch")
     batch_rows = P.valid_rows(P.parse(SRC.read_lines(spark, arrivals))).drop("ingestion_time")
     assert stream_rows.exceptAll(batch_rows).count() == 0 and batch_rows.exceptAll(stream_rows).count() == 0
     dead = spark.read.parquet(f"{out}/dead")
@@ -182,12 +182,16 @@ def test_json_array_documents(spark, tmp_path):
     first_two = SRC.explode_documents(SRC.read_documents(spark, str(folder), glob="batch_*.json"), limit=2)
     assert first_two.count() == 6 and sorted({r.pos for r in first_two.collect()}) == [0, 1]
     listing = SRC.list_batches(spark, str(folder))
-    assert [r.batch_num for r in listing.collect()] == [1, 2, 3]
+    assert sorted(r.batch_num for r in listing.collect()) == [1, 2, 3]
     assert SRC.pick_batch(spark, str(folder), dt.datetime(2026, 7, 18, 10, 25)).endswith("batch_03.json")
     assert SRC.pick_batch(spark, str(folder), dt.datetime(2026, 7, 18, 10, 31)).endswith("batch_01.json")
     assert SRC.pick_batch(spark, str(folder), dt.datetime(2026, 7, 18, 10, 15)).endswith("batch_02.json")
     with pytest.raises(FileNotFoundError):
-        SRC.list_batches(spark, str(tmp_path))
+        SRC.pick_batch(spark, str(tmp_path), dt.datetime(2026, 7, 18, 10, 15))
+    (folder / "batch_01.json").unlink()  # by number, not by position
+    assert SRC.pick_batch(spark, str(folder), dt.datetime(2026, 7, 18, 10, 15)).endswith("batch_02.json")
+    with pytest.raises(FileNotFoundError, match="number 1"):
+        SRC.pick_batch(spark, str(folder), dt.datetime(2026, 7, 18, 10, 25))
 
 
 def test_non_json_document_dead_letters(spark, tmp_path):
@@ -243,10 +247,92 @@ def test_test_before_publish(spark, tmp_path):
         [(json.dumps(canonical_event(i, et="view")),) for i in range(4)], "value string")
     PL.run(spark, good, layout, test_before_publish=True)
     assert spark.table(layout.gold).count() == 4
-    assert not spark.catalog.tableExists(f"{layout.gold}__staging")
+    published = TB.current_version(spark, layout.gold)
     # a batch that fails accepted_values: the published gold stays as it was
     bad = spark.createDataFrame([(json.dumps(canonical_event(9, et="bogus")),)], "value string")
     with pytest.raises(Exception, match="quality tests failed"):
         PL.run(spark, bad, layout, test_before_publish=True)
     assert sorted(r.event_id for r in spark.table(layout.gold).collect()) == [0, 1, 2, 3]
-    assert not spark.catalog.tableExists(f"{layout.gold}__staging")
+    assert TB.current_version(spark, layout.gold) == published
+
+
+def test_failed_rebuild_keeps_gold(spark, tmp_path):
+    layout = fresh_layout(tmp_path)
+    good = spark.createDataFrame([(json.dumps(canonical_event(i)),) for i in range(4)], "value string")
+    PL.run(spark, good, layout)
+    with pytest.raises(Exception, match="no build"):
+        PL.build_models(spark, layout, transformed_at=F.raise_error(F.lit("no build")).cast("timestamp"))
+    assert sorted(r.event_id for r in spark.table(layout.gold).collect()) == [0, 1, 2, 3]
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("after", ["bronze", "deadletter"])
+@pytest.mark.parametrize("kind", ["stream-paths", "stream-tables", "load"])
+def test_replay_leaves_every_message_once(spark, tmp_path, kind, after):
+    """A crash right after either append, then the same work again."""
+    layout = fresh_layout(tmp_path)
+    PL.setup(spark, layout)
+    arrivals = str(tmp_path / "arrivals")
+    write_lines(arrivals, "a.json", [json.dumps(canonical_event(i)) for i in range(6)] + ["bad one", "bad two"])
+    out = str(tmp_path / "out")
+    if kind == "stream-paths":
+        sinks = {"bronze": ST.path_sink(f"{out}/bronze"), "deadletter": ST.path_sink(f"{out}/deadletter")}
+        read = lambda name: spark.read.parquet(f"{out}/{name}")
+    else:
+        sinks = {"bronze": ST.table_sink(spark, layout.bronze, S.BRONZE_REQUIRED),
+                 "deadletter": ST.table_sink(spark, layout.deadletter, S.DEADLETTER_REQUIRED)}
+        read = lambda name: spark.table(getattr(layout, name))
+
+    def crashing(df, batch):
+        sinks[after](df, batch)
+        raise Crash("after the append")
+
+    broken = {**sinks, after: crashing}
+    if kind == "load":
+        parsed = P.parse(SRC.read_lines(spark, arrivals))
+        for s in (broken, sinks):
+            try:
+                ST.fan_out(s["bronze"], s["deadletter"], str(tmp_path / "staging"), None, lambda: "load-7")(parsed, 0)
+            except Crash:
+                assert s is broken
+    else:
+        source = lambda: ST.stream_source_lines(spark, arrivals)
+        with pytest.raises(Exception, match="after the append"):
+            ST.run_available_now(source(), broken["bronze"], broken["deadletter"], str(tmp_path / "ckpt"))
+        ST.run_available_now(source(), sinks["bronze"], sinks["deadletter"], str(tmp_path / "ckpt"))
+        # a further batch is appended, not replaced
+        write_lines(arrivals, "b.json", [json.dumps(canonical_event(6))])
+        ST.run_available_now(source(), sinks["bronze"], sinks["deadletter"], str(tmp_path / "ckpt"))
+    assert sorted(r.event_id for r in read("bronze").collect()) == list(range(6 if kind == "load" else 7))
+    assert sorted(r.raw_message for r in read("deadletter").collect()) == ["bad one", "bad two"]
+
+
+def test_named_load_run_again(spark, tmp_path):
+    layout = fresh_layout(tmp_path)
+    PL.setup(spark, layout)
+    msgs = spark.createDataFrame([(json.dumps(canonical_event(i)), dt.datetime(2024, 1, 1)) for i in range(3)], "value string, at timestamp")
+    for name in ("monday", "monday", "tuesday"):
+        PL.ingest(spark, msgs, layout, stamp=F.col("at"), load_id=name)
+    assert spark.table(layout.bronze).count() == 6
+
+
+def test_nan_costs_no_other_event(spark, tmp_path):
+    text = '[{"event_id": 1}, {"event_id": 2, "score": NaN, "session_id": 7}, {"event_id": 3, "x": -Infinity}]'
+    (tmp_path / "nan.json").write_text(text)
+    (tmp_path / "one.json").write_text('{"event_id": 4, "score": NaN}')
+    (tmp_path / "cut.json").write_text('[{"event_id": 5}, {"event_id"')
+    parsed = P.parse(SRC.explode_documents(SRC.read_documents(spark, str(tmp_path))))
+    assert sorted(r.event_id for r in P.valid_rows(parsed).collect()) == [1, 2, 3]
+    # an object root is one message, and NaN is no strict JSON; text cut off is none at all
+    assert [r.error for r in P.deadletter_rows(parsed).collect()] == ["INVALID_JSON"] * 2
+
+
+def test_run_expires_by_default(spark, tmp_path):
+    layout = fresh_layout(tmp_path)
+    old = dt.datetime.now() - dt.timedelta(days=90)
+    msgs = spark.createDataFrame([(json.dumps(canonical_event(1)), old), (json.dumps(canonical_event(2)), dt.datetime.now())], "value string, at timestamp")
+    result = PL.run(spark, msgs, layout, stamp=F.col("at"))
+    assert result.expired == [old.date()] and [r.event_id for r in spark.table(layout.gold).collect()] == [2]

@@ -3,13 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from eventlake.operators import models as M
 from eventlake.operators import parse as P
 from eventlake.plans import queries as QQ
+from eventlake.plans import stored
 
 SF = "/root/testdata/sf0.001"
-LAZY = sorted(set(E.queries()) - {"stream_split", "medallion_run"})  # these two run writes when called
+WRITES = set(stored.QUERIES) | {"dq_suite", "layer_counts"}  # these write when called
+LAZY = sorted(set(QQ.QUERIES) - (WRITES - {"binary_messages"}))
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
              "BroadcastExchange", "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -20,20 +21,20 @@ def physical(df):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_no_cross_no_broadcast(spark, name):
-    plan = physical(E.queries()[name](spark, SF))
+    plan = physical(QQ.QUERIES[name](spark, SF))
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
 
 
 def test_parse_has_no_shuffle_and_filter_stays_on_top(spark):
     msgs = spark.read.parquet(f"{SF}/events.parquet").select(F.col("props").alias("value"), "ts")
-    plan = physical(P.valid_rows(P.parse(msgs, stamp=F.col("ts"), spread_input=False)))
+    plan = physical(P.valid_rows(P.parse(msgs, stamp=F.col("ts"))))
+    # no exchange by default, whatever the number of splits; only a caller asks for one
+    for parts in (1, 3, 64):
+        df = spark.range(0, 100, 1, parts).select(F.lit("{}").alias("value"))
+        assert "Exchange" not in physical(P.valid_rows(P.parse(df)))
+        assert physical(P.parse(df, min_partitions=5)).count("RoundRobinPartitioning(5)") == 1
     assert "Exchange" not in plan
-    # a single-split input is spread before decoding; an input with enough splits is not
-    assert "RoundRobinPartitioning" in physical(P.parse(msgs, stamp=F.col("ts")))
-    many = msgs.repartition(64)
-    assert physical(P.parse(many, stamp=F.col("ts"))).count("RoundRobinPartitioning(64)") == 1
-    assert "RoundRobinPartitioning(4)" not in physical(P.parse(many, stamp=F.col("ts")))
     # the routing filter reads the computed reason; it was not pushed into the scan side
     assert "Filter isnull(error" in plan
     assert plan.count("parseJson") == 2  # the element parse and the guarded member parse, once each
@@ -54,5 +55,5 @@ def test_gold_combines_before_the_shuffle(spark):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = physical(E.queries()["batch_rotation"](spark, SF))
+    plan = physical(QQ.QUERIES["batch_rotation"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
