@@ -192,6 +192,16 @@ def _build_plan(mode: str, is_binary: bool, value: str):
     readings.update({f"_a_{n}": m[n].isNull() for n in int_names + text_names})
     if mode == "drop":
         readings.update({f"_t_{n}": F.schema_of_variant(m[n]) for n in int_names})
+    else:
+        readings.update({f"_l_{n}": F.coalesce(readings[f"_l_{n}"], C.underscored(m[n])) for n in int_names})
+        readings.update({
+            f"_f_{n}": F.when(C.is_float(F.schema_of_variant(m[n])), F.try_variant_get(m[n], "$", "double"))
+            for n in text_names
+        })
+        # the text of floats takes three steps, beside those of the timestamp
+        for n in text_names:
+            for stage, more in zip(ts_stages[1:], C.float_stages(n), strict=False):
+                stage.update(more)
     readings.update(ts_stages[0])
     stages.append(_aliased(readings))
     stages.append(_SPLIT)
@@ -214,11 +224,11 @@ def _build_plan(mode: str, is_binary: bool, value: str):
         ints = {n: C.to_int(a[n], F.col(f"_l_{n}"), 0) for n in int_names}
         session_col = C.to_text(
             a["session_id"], F.col("_t_session_id"), F.col("_s_session_id"),
-            S.DEFAULT_SESSION_ID, S.SESSION_ID_MAX,
+            S.DEFAULT_SESSION_ID, S.SESSION_ID_MAX, F.col("_p_session_id"),
         )
         etype_col = C.to_text(
             a["event_type"], F.col("_t_event_type"), F.col("_s_event_type"),
-            S.DEFAULT_EVENT_TYPE, S.EVENT_TYPE_MAX,
+            S.DEFAULT_EVENT_TYPE, S.EVENT_TYPE_MAX, F.col("_p_event_type"),
         )
         text_ok = F.lit(True)
 

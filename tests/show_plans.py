@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF = "/root/testdata/sf0.01"
 SHOW = [
-    ("parse_events", "decode: one pipeline, no exchange unless the scan is a single split"),
+    ("parse_events", "decode: one pipeline; the only exchange is the one that this query asks for, as the supplied table is one split"),
     ("deadletter", "routing: the filter reads the computed reason above the decode"),
     ("gold_dedup_agg", "gold, aggregate form: partial aggregate per map task, one exchange on event_id"),
     ("gold_dedup", "gold, window form: partial WindowGroupLimit, one exchange on event_id"),
@@ -25,7 +25,7 @@ def main():
     from eventlake.session import build_session
     import __spark_entry__ as E
     from eventlake.plans import medallion as PL
-    from eventlake.plans.queries import _scratch_layout
+    from eventlake.plans.stored import _layout
     from eventlake.plans import corpus as CP
     from eventlake.sinks import tables as TB
 
@@ -42,9 +42,9 @@ def main():
     for name, note in SHOW:
         block(name, note, E.queries()[name](spark, SF))
 
-    layout = _scratch_layout(spark, "plans")
+    layout = _layout(spark, "plans")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    PL.run(spark, CP.mixed(CP.events(spark, SF)), layout, raise_on_test_failure=False)
+    PL.run(spark, CP.mixed(CP.events(spark, SF)), layout, raise_on_test_failure=False, expire_as_of=False)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     block("retention on the bronze table", "partition pruning on the derived day column",
           TB.unexpired(spark.table(layout.bronze), "2024-02-15", 30).groupBy("event_type").count())

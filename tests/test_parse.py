@@ -109,6 +109,12 @@ EDGE = [
     ('{"event_id":1,"event_timestamp":" 2026-07-18"}', "INVALID_TIMESTAMP"),
     ('{"event_id":1,"event_timestamp":"2026-07-18T10:0000"}', "INVALID_TIMESTAMP"),
     ('  {"event_id":5}  ', dict(event_id=5)),
+    ('{"event_id":"1_000","customer_id":" -2_0 "}', dict(event_id=1000, customer_id=-20)),
+    ('{"event_id":"1__0"}', "INVALID_INT:event_id"),
+    ('{"event_id":1,"session_id":1.0,"event_type":1e20}', dict(session_id="1.0", event_type="1e+20")),
+    ('{"event_id":1,"session_id":-0.00001,"event_type":12345678.25}', dict(session_id="-1e-05", event_type="12345678.25")),
+    ('{"event_id":1,"session_id":1e16,"event_type":0.0001}', dict(session_id="1e+16", event_type="0.0001")),
+    ('{"event_id":1,"session_id":18446744073709551616}', dict(session_id="18446744073709551616")),
     ('1, 2', "INVALID_JSON"),
     ('{"a":1}, "b": 2', "INVALID_JSON"),
     ('1],[2', "INVALID_JSON"),
