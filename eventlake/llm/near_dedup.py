@@ -15,15 +15,15 @@ both (common ones once), is at least ``similarity``.
    shingles accepts, and what is left goes through a banded alignment, whose
    band follows from the similarity asked for.
 4. Verified links become classes by label propagation with pointer jumping.
-5. Pairs that the stars left open - members of one bucket in different classes
-   whose signatures agree on ``AGREE`` elements - are verified in rounds, the
-   best agreeing first and four times as many per text each round, until none
-   is left. Large buckets are split by length first (a pair of the similarity
-   differs by a fifth in length at most), and compared in blocks.
+5. Pairs that the stars left open - members of one bucket in different classes -
+   are compared within the group of all texts that share a hub. There common
+   shingles are counted exactly, pairs that reach the similarity as multisets
+   are aligned, and a link is reported only where it joins two classes. Groups
+   of more than ``GROUP_WORDS`` words are dealt into blocks, one task for each
+   pair of blocks; no pair is left out and no list of pairs is made.
 
 Every class gets the smallest id in it. A pair of similarity 0.8 shares a
-bucket with probability over 0.9999 and agrees on ``AGREE`` elements with about
-as much. Node ids are 64-bit hashes.
+bucket with probability over 0.9999. Node ids are 64-bit hashes.
 
 Defined results: texts without a word, null texts among them, are classes of
 their own; a null id sorts after all ids and stays null; rows that repeat an id
@@ -42,16 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as WN
 
 from . import sketch
-from .common import ROLL_A, ROLL_B, U64, buffers, cut, mix, row_groups
-from .decontaminate import tokens
+from .common import ROLL_A, ROLL_B, SEPARATORS, U64, buffers, cut, mix, row_groups, word_hashes
 from .spans import KEY, keyed, with_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
 ELEMENTS = 32
-AGREE = 11
+GROUP_WORDS = 400_000  # words of a group that one task compares with each other
 BITS = 27  # bitmap of the nodes whose words are needed again: 16 MB
-NO_UNITS = np.empty(0, np.uint64)
 
 SIGNED = "doc long, tag long, null_id boolean, node long, words int, sig binary"
 
@@ -65,21 +63,36 @@ def _signature(shingles: np.ndarray, elements: int) -> np.ndarray:
     nth[order] = np.arange(len(shingles)) - np.flatnonzero(new)[np.cumsum(new) - 1]
     labelled = mix(shingles + nth * U64(0x9E3779B97F4A7C15))
     out = np.empty(elements, np.uint64)
-    step = max(1, (1 << 21) // len(labelled))
+    step = max(1, (1 << 18) // len(labelled))
     for lo in range(0, elements, step):
-        seeds = _SEEDS[lo : min(elements, lo + step)]
-        values = (labelled[None, :] ^ seeds[:, None]) * U64(0xD6E8FEB86659FD93)
-        values ^= values >> U64(32)
-        values *= U64(0xD6E8FEB86659FD93)
-        if len(labelled) > 2:
-            two = np.sort(np.argpartition(values, 1, axis=1)[:, :2], axis=1)
-        else:
-            two = np.tile(np.array([0, len(labelled) - 1]), (len(seeds), 1))
-        out[lo : lo + len(seeds)] = mix(shingles[two[:, 0]] * U64(0xA24BAED4963EE407) + mix(shingles[two[:, 1]]))
+        # values of well-mixed shingles times odd factors: their high bits decide the order
+        values = labelled[None, :] * _FACTORS[lo : min(elements, lo + step), None]
+        each = np.arange(len(values))
+        one = values.argmin(axis=1)
+        values[each, one] = U64(0xFFFFFFFFFFFFFFFF)
+        two = values.argmin(axis=1) if len(labelled) > 1 else one
+        early, late = shingles[np.minimum(one, two)], shingles[np.maximum(one, two)]
+        out[lo : lo + len(values)] = mix(early * U64(0xA24BAED4963EE407) + mix(late))
     return out
 
 
-_SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * U64(0x5851F42D4C957F2D))
+_FACTORS = mix(np.arange(1, 257, dtype=np.uint64) * U64(0x5851F42D4C957F2D)) | U64(1)
+_PUNCTUATION = bytes(b for b in range(128) if not (chr(b).isalnum() or b in SEPARATORS))
+
+
+def _words(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Per group of rows: the rows, their words' hashes without case and punctuation, and each row's first word."""
+    raw, offsets = buffers(batch.column("text"))
+    for lo, hi in row_groups(offsets):
+        texts = []
+        for i in range(lo, hi):
+            text = raw[offsets[i] : offsets[i + 1]].tobytes()
+            text = text.lower() if text.isascii() else text.decode().lower().encode()
+            texts.append(text.translate(None, _PUNCTUATION))
+        ends = np.cumsum([0, *map(len, texts)])
+        words, first = word_hashes(np.frombuffer(b"".join(texts), np.uint8), ends)
+        yield lo, hi, words, first
+
 
 
 def _nodes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -93,10 +106,8 @@ def _nodes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _sign(shingle: int, elements: int):
     def run(batches):
         for batch in batches:
-            raw, offsets = buffers(batch.column("text"))
             nodes, counts, sigs = [], [], []
-            for lo, hi in row_groups(offsets):
-                words, _, _, first = tokens(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], NO_UNITS)
+            for lo, hi, words, first in _words(batch):
                 nodes.append(_nodes(words, first))
                 counts.append(np.diff(first))
                 for i in range(hi - lo):
@@ -135,9 +146,7 @@ def _sequences(wanted):
 
     def run(batches):
         for batch in batches:
-            raw, offsets = buffers(batch.column("text"))
-            for lo, hi in row_groups(offsets):
-                words, _, _, first = tokens(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], NO_UNITS)
+            for _, _, words, first in _words(batch):
                 node = _nodes(words, first)
                 hit = np.flatnonzero(sketch.repeated(wanted.value, node.view(np.uint64), BITS) & (node != 0))
                 _, once = np.unique(node[hit], return_index=True)
@@ -228,47 +237,88 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _open_pairs(most: int, agree: int, elements: int):
-    """In one bucket: the best agreeing pairs of different classes that have not been tried, at most ``most`` per member."""
-
-    def run(members: pa.Table, tried: pa.Table) -> pa.Table:
-        node, label, words = (members.column(c).to_numpy() for c in ("node", "label", "words"))
-        order = np.lexsort((node, words))
-        node, label, words = node[order], label[order], words[order]
-        sigs = np.frombuffer(b"".join(members.column("sig").to_pylist()), np.uint64).reshape(-1, elements)[order]
-        done: dict[int, set] = {}
-        for x, y in zip(tried.column("a").to_pylist(), tried.column("b").to_pylist(), strict=True):
-            done.setdefault(x, set()).add(y)
-            done.setdefault(y, set()).add(x)
-        found: set[tuple[int, int]] = set()
-        for i in range(len(node)):
-            # members after this one in length, up to a quarter longer, in blocks
-            end = int(np.searchsorted(words, words[i] * 1.25 + SHINGLE, side="right"))
-            scores = [np.empty(0, np.int64)]
-            for lo in range(i + 1, end, 4096):
-                scores.append((sigs[lo : min(end, lo + 4096)] == sigs[i]).sum(axis=1))
-            score = np.concatenate(scores)
-            hit = np.flatnonzero((score >= agree) & (label[i + 1 : end] != label[i]))
-            hit = hit[np.argsort(-score[hit], kind="stable")]
-            mine, n = int(node[i]), 0
-            for other in node[i + 1 + hit].tolist():
-                if n == most:
-                    break
-                if other not in done.get(mine, ()):
-                    found.add((min(mine, other), max(mine, other)))
-                    n += 1
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _open_links(label: np.ndarray, node: np.ndarray, seqs: list[bytes], first: np.ndarray, second: np.ndarray,
+                block: np.ndarray, shingle: int, similarity: float) -> Iterator[tuple[int, int]]:
+    """Links between members of different classes in one group, as many as it takes to join what can be joined.
+
+    Common shingles are counted exactly through an inverted index, so a pair is aligned only when its
+    shingles reach the similarity as multisets. With ``first != second`` only pairs across those two
+    blocks count.
+    """
+    ids = [_ids(x, shingle) for x in seqs]
+    sizes = np.array([len(x) for x in ids])
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    token = np.concatenate(ids)
+    order = np.lexsort((owner, token))
+    new = np.concatenate([[True], (np.diff(token[order]) != 0) | (np.diff(owner[order]) != 0)])
+    nth = np.arange(len(token)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    labelled = np.empty_like(token)  # the n-th occurrence of a shingle in its text
+    labelled[order] = mix(token[order] + nth.astype(np.uint64) * U64(0x9E3779B97F4A7C15))
+    _, token, often = np.unique(labelled, return_inverse=True, return_counts=True)
+    posting = owner[np.argsort(token, kind="stable")]
+    begin = np.cumsum(often) - often
+    ends = np.cumsum(sizes)
+    least = similarity / (1 + similarity)
+    across = first[0] != second[0]
+    label = label.copy()
+    for i in range(len(ids)):
+        mine = token[ends[i] - sizes[i] : ends[i]]
+        mine = mine[often[mine] > 1]
+        if not len(mine):
+            continue
+        n = often[mine]
+        at = np.arange(int(n.sum())) + np.repeat(begin[mine] - (np.cumsum(n) - n), n)
+        common = np.bincount(posting[at], minlength=len(ids))
+        hit = (common >= np.ceil(least * (sizes + sizes[i]) - 1e-9)) & (label != label[i])
+        if across:
+            hit &= block != block[i]
+        hit[: i + 1] = False
+        for j in np.flatnonzero(hit).tolist():
+            if label[j] != label[i] and similar(ids[i], ids[j], similarity):
+                yield int(node[i]), int(node[j])
+                label[label == label[j]] = label[i]
+
+
+def _open_groups(shingle: int, similarity: float):
+    """Rows of a partition sorted by group: one group in memory at a time."""
+
+    def run(batches):
+        rest: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
+            key = table.column("group").to_numpy()
+            done = len(key) - int(np.searchsorted(key[::-1] != key[-1], True))  # the last group may go on
+            yield _opened(table.slice(0, done), shingle, similarity)
+            rest = table.slice(done)
+        if rest is not None:
+            yield _opened(rest, shingle, similarity)
 
     return run
 
 
+def _opened(table: pa.Table, shingle: int, similarity: float) -> pa.RecordBatch:
+    found: list[tuple[int, int]] = []
+    if table.num_rows:
+        key, node, label, first, second, block = (
+            table.column(c).to_numpy() for c in ("group", "node", "label", "first", "second", "block")
+        )
+        seqs = table.column("seq").to_pylist()
+        edges = np.flatnonzero(np.diff(key)) + 1
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(key)], strict=True):
+            if (label[lo:hi] != label[lo]).any():
+                s = slice(lo, hi)
+                found += _open_links(label[s], node[s], seqs[s], first[s], second[s], block[s], shingle, similarity)
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    shingle: int = SHINGLE, similarity: float = SIMILARITY, elements: int = ELEMENTS, agree: int = AGREE,
+    shingle: int = SHINGLE, similarity: float = SIMILARITY, elements: int = ELEMENTS,
 ) -> DataFrame:
     """One row per input row: doc, tag, null_id, node, the class's smallest id and whether the row is that document."""
-    if not 2 <= elements <= len(_SEEDS):
+    if not 2 <= elements <= len(_FACTORS):
         raise ValueError("elements must lie between 2 and 256")
     rows = keyed(docs, id_col, text_col)
     signed = cut(rows.mapInArrow(_sign(shingle, elements), SIGNED), "signatures")
@@ -297,27 +347,21 @@ def classes(
     pairs = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     tried = verified(pairs)
     label = components(tried.filter("good"))
-    most = 4
-    while True:  # what the stars left open
-        named = members.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-        sig = signed.filter("node <> 0").select("node", "words", "sig").dropDuplicates(["node"])
-        left = named.join(mixed, "key").join(sig, "node")
-        band = F.floor(F.log(F.greatest(F.col("words"), F.lit(1)).cast("double") + SHINGLE) / np.log(1 / similarity)).cast("int")
-        left = left.select("key", "node", "label", "words", "sig", F.explode(F.array(band, band + 1)).alias("band"))
-        failed = tried.filter("NOT good").select("a", "b")
-        places = named.join(mixed, "key").select("key", "node")
-        known = failed.join(places.select("key", F.col("node").alias("a")), "a").join(places.select("key", F.col("node").alias("b")), ["key", "b"])
-        known = known.join(left.select("key", F.col("node").alias("a"), "band"), ["key", "a"]).select("key", "band", "a", "b").toDF("at_key", "at_band", "a", "b")
-        new = left.groupBy("key", "band").cogroup(known.groupBy("at_key", "at_band")).applyInArrow(_open_pairs(most, agree, elements), "a long, b long")
-        new = cut(new.distinct(), "open-pairs")
-        if new.isEmpty():
-            break
-        fresh = verified(new)
-        tried = tried.union(fresh)
-        if not fresh.filter("good").isEmpty():
-            label = components(tried.filter("good"))
-        most *= 4
+    # What the stars left open: two members of a bucket are both members of its hub's group. A large
+    # group is dealt into blocks, and each pair of blocks is a task of its own.
+    group = star.select("hub", "node").union(star.select("hub", F.col("hub").alias("node"))).distinct()
+    named = group.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = cut(named.join(seqs.select("node", (F.octet_length("seq") / 2).alias("words")), "node"), "groups")
+    mixed = named.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("words").alias("all"))
+    mixed = mixed.filter("lo <> hi").select("hub", F.ceil(F.col("all") / GROUP_WORDS).cast("int").alias("blocks"))
+    dealt = named.join(mixed, "hub").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sides = dealt.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+    sides = sides.select(F.xxhash64("hub", "first", "second").alias("group"), "node", "label", "first", "second", "block").join(seqs, "node")
+    sides = sides.repartition("group").sortWithinPartitions("group")
+    more = cut(sides.mapInArrow(_open_groups(shingle, similarity), "a long, b long"), "open-links")
+    if not more.isEmpty():
+        label = components(tried.filter("good").select("a", "b").union(more))
     key = signed.select("doc", "tag", "null_id", "node", "words")
     whole = key.join(label, "node", "left").withColumn("label", F.when(F.col("node") != 0, F.coalesce("label", "node")))
     first = whole.filter("node <> 0").groupBy("label").agg(F.min(F.struct("null_id", "doc", "tag")).alias("first"), F.count(F.lit(1)).alias("members"))

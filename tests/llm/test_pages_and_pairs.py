@@ -222,6 +222,13 @@ def test_group_without_a_hub(spark):
     assert got_classes(frame(spark, data, 4)) == brute_classes(data)
 
 
+def test_large_groups_in_blocks(spark, monkeypatch):
+    base = words(81, 120)
+    data = rows([edited(base, i, 2 + i % 9) for i in range(60)] + [words(82, 30) + " " + words(900 + i, 40) for i in range(20)])
+    monkeypatch.setattr(near_dedup, "GROUP_WORDS", 1500)
+    assert got_classes(frame(spark, data, 4)) == brute_classes(data)
+
+
 def test_alignment():
     rng = random.Random(6)
     for _ in range(300):
