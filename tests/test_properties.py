@@ -69,8 +69,8 @@ def test_json_numbers_truncate_like_python_int(spark, values):
             assert got.error == "INVALID_INT:event_id", (v, got)
 
 
-# up to 15 digits: every Java prints those as Python does
-plain_floats = st.tuples(st.integers(-(10**15), 10**15).filter(bool), st.integers(-30, 30)).map(lambda t: float(f"{t[0]}e{t[1]}"))
+# a few digits near one: Java before 19 prints more digits than needed for some larger and smaller doubles
+plain_floats = st.tuples(st.integers(-(10**7), 10**7).filter(bool), st.integers(-9, 6)).map(lambda t: float(f"{t[0]}e{t[1]}"))
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
