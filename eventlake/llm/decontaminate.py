@@ -192,7 +192,7 @@ def contaminated(
 ) -> DataFrame:
     """Found (document, item) pairs: doc, tag, null_id, item, windows matched, windows of the item, shift."""
     items = keyed(benchmark, item_col, item_text_col)
-    short = items.mapInArrow(_lengths(window), "size int").distinct().toLocalIterator()
+    short = items.mapInArrow(_lengths(window), "size int").distinct().collect()
     lengths = sorted({window, *(r.size for r in short)})
     own = cut(items.mapInArrow(_rows(lengths, literals, window), ROWS), "benchmark-windows")
 

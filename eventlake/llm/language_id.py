@@ -146,7 +146,7 @@ def fit(
     """Learns from rows with an id, a text and a language; at most ``per_language`` of each language."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.dropna(subset=["id", "text", "lang"]).withColumn("place", F.abs(F.xxhash64("id") % (1 << 30)))
-    count = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+    count = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not count:
         return Model([], np.zeros(0), np.zeros((0, dim), np.float32), np.zeros(dim, np.float32))
     # A hash range that surely holds the sample of each language, then the exact least hashes of it.
@@ -154,15 +154,15 @@ def fit(
     order = WN.Window.partitionBy("lang").orderBy("place", "id")
     ids = rows.select("id", "lang", "place").filter(F.col("place") <= _of_language(near))
     chosen = ids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language)
-    last = {r.lang: r.place for r in chosen.groupBy("lang").agg(F.max("place").alias("place")).toLocalIterator()}
+    last = {r.lang: r.place for r in chosen.groupBy("lang").agg(F.max("place").alias("place")).collect()}
     sample = rows.filter(F.col("place") <= _of_language(last)).select("lang", "text")
     vectors = cut(sample.mapInArrow(_vectors(dim), "lang string, vector binary"), "language-sample")
     df, n = np.zeros(dim, np.int64), 0
-    for part in vectors.mapInArrow(_frequencies(dim), "n long, df binary").toLocalIterator():
+    for part in vectors.mapInArrow(_frequencies(dim), "n long, df binary").collect():
         df, n = df + np.frombuffer(part.df, np.int64), n + part.n
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     fitted = vectors.groupBy("lang").applyInArrow(_cluster(idf, k, rounds, quantile), "lang string, least double, centroids binary")
-    found = sorted(((r.lang, r.least, np.frombuffer(r.centroids, np.float32).reshape(-1, dim)) for r in fitted.toLocalIterator()), key=lambda x: x[0])
+    found = sorted(((r.lang, r.least, np.frombuffer(r.centroids, np.float32).reshape(-1, dim)) for r in fitted.collect()), key=lambda x: x[0])
     if not found:
         return Model([], np.zeros(0), np.zeros((0, dim), np.float32), idf)
     return Model(

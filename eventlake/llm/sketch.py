@@ -91,7 +91,7 @@ def build(docs: DataFrame, marks: Callable, bits: int, depth: int, least: int =
     merged = spread.repartition("block").mapInArrow(lambda it: _merge(it, least), MERGED)
     bitmap = np.zeros((depth, (1 << bits) // 8), dtype=np.uint8)
     step = (1 << BLOCK_BITS) // 8
-    for row in merged.toLocalIterator():
+    for row in merged.collect():  # of fixed size, see above
         at = (row.block & 0xFFFFFFFF) * step
         bitmap[row.block >> 32, at : at + step] = np.frombuffer(row.bits, np.uint8)
     return bitmap
