@@ -236,10 +236,11 @@ runs AS (
     SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone) GROUP BY doc_id),
 kept AS (
   SELECT b.doc_id, string_agg(x, '' ORDER BY b.i) AS k FROM (
-    SELECT doc_id, p AS i, substr(h, 2 * p - 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(1, n + 1)) AS p FROM docs)) b
+    SELECT doc_id, p AS i, substr(h, 2 * p - 1, 2) AS x FROM (
+      SELECT doc_id, h, unnest(range(1, n + 1)) AS p FROM docs SEMI JOIN runs USING (doc_id))) b
   ANTI JOIN gone g ON b.doc_id = g.doc_id AND b.i = g.i GROUP BY b.doc_id)
 SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(r.n_removed, 0)::BIGINT AS n_removed,
-  coalesce(r.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.k, ''))) AS kept_sha256
+  coalesce(r.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.k, CASE WHEN r.doc_id IS NULL THEN d.h ELSE '' END))) AS kept_sha256
 FROM docs d LEFT JOIN runs r ON d.doc_id = r.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
