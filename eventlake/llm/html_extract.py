@@ -253,9 +253,10 @@ class _Reference:
 
     def __init__(self, root: Node):
         self.root, self.pages = root, 0
-        self.texts: dict[int, list] = {}  # of a node: [key, count, path]
+        self.texts: dict[int, dict[str, int]] = {}  # of a node: its texts and their keys
+        self.counts: dict[int, int] = {}  # of a key: the pages that show it
         for path, text, node, _ in blocks(root):
-            self.texts.setdefault(id(node), []).append([node_key(path, text), text, 0])
+            self.texts.setdefault(id(node), {})[text] = node_key(path, text)
         self.mass: dict[str, int] = {}
 
     def align(self, root: Node) -> None:
@@ -264,21 +265,24 @@ class _Reference:
         for path, text, node, line in blocks(root):
             own.setdefault(id(node), []).append((path, text, line))
         partner = {id(b): id(a) for a, b in match(self.root, root)[1]}
+        shown: set[int] = set()
         for node, found in own.items():
-            known = self.texts.get(partner.get(node), ())
+            known = self.texts.get(partner.get(node), {})
             for path, text, line in found:
-                same = next((x for x in known if x[1] == text), None)
+                same = text in known
                 if same:
-                    same[2] += 1
+                    shown.add(known[text])
                 if not line[-1].furniture and (self.pages == 1 or not same):
                     inside = next((i for i, n in enumerate(line) if n.tag in ("article", "main")), None)
                     at = line[1 : inside + 1] if inside else line[1:-1] or line[1:]
                     where = "".join(f"/{n.label}" for n in at)
                     self.mass[where] = self.mass.get(where, 0) + len(text)
+        for key in shown:  # a page counts once, however often it repeats a text on one path
+            self.counts[key] = self.counts.get(key, 0) + 1
 
     def rows(self, host: str) -> Iterator[tuple[str, int, int, str, int]]:
         yield host, 0, self.pages, "", 0
-        for key, _, count in (x for known in self.texts.values() for x in known):
+        for key, count in self.counts.items():
             yield host, key, count, "", 0
         for path, size in self.mass.items():
             yield host, 0, 0, path, size

@@ -66,6 +66,14 @@ def test_wrapper_without_semantic_tags(spark):
     assert html_extract.html_extract(df.limit(0)).collect() == []
 
 
+def test_repeated_cell_counts_once_per_page(spark):
+    """A minority of pages that repeat one text on one path does not make it a template."""
+    page = lambda i: f"<body><article>{'<p>* * *</p>' * 10 if i < 10 else ''}<p>{words(i, 20)}</p></article></body>"
+    df = spark.createDataFrame([(i, "http://cells.example/", page(i)) for i in range(100)], "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.text for r in html_extract.html_extract(df).collect()}
+    assert all(got[i] == "\n\n".join(["* * *"] * 10 * (i < 10) + [words(i, 20)]) for i in range(100))
+
+
 def brute_match(a, b):
     if a.label != b.label:
         return 0
