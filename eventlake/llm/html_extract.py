@@ -50,19 +50,22 @@ HOSTS = 500  # hosts whose reference a task keeps at a time; the counts of older
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|math|object|select)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-z][^\s/>]*+)([^>]*+)(?:>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
+# Content that is not markup, up to its end tag; without one the first three run to the end of the page, as in
+# browsers, and of the others nothing is skipped.
+_RAW = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*+>", re.I) for x in ("script", "style", "textarea", "noscript", "template", "iframe")}
+_TO_END = frozenset("script style textarea".split())
 _MARKED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark math object q s samp select small span "
+    "strike strong sub sup svg time tt u var wbr".split()
 )
-FURNITURE = frozenset("nav footer aside form button dialog menu fieldset title".split())
+FURNITURE = frozenset("nav footer aside form button dialog menu fieldset title svg select".split())
 _FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banners?|promos?|sponsor(?:ed|s)?|sidebars?|menus?|nav|navbar|navigation|"
     r"breadcrumbs?|cookies?|consent|notices?|alerts?|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|"
@@ -73,13 +76,21 @@ _FURNITURE = re.compile(
 HEAD = frozenset("base link meta title".split())
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = frozenset("ul ol dl table article section div main body html aside nav footer header form blockquote".split())
+# Drawings and formulas hold elements of their own; these HTML elements end one that was left open.
+FOREIGN = frozenset("svg math".split())
+_INTEGRATION = frozenset("foreignobject annotation-xml".split())
+_BREAKOUT = frozenset(
+    "article aside blockquote body center dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr li main "
+    "menu nav ol p pre section table tbody td tfoot th thead tr ul".split()
+)
+_CHOICE = frozenset("option optgroup hr button selectedcontent".split())  # what keeps an open select open, beside inline elements
 
 
 class Node:
-    __slots__ = ("label", "tag", "kids", "items", "furniture", "shape")
+    __slots__ = ("label", "tag", "kids", "items", "furniture", "inline", "shape")
 
-    def __init__(self, tag: str, label: str, furniture: bool):
-        self.tag, self.label, self.furniture = tag, label, furniture
+    def __init__(self, tag: str, label: str, furniture: bool, inline: bool = False):
+        self.tag, self.label, self.furniture, self.inline = tag, label, furniture, inline
         self.kids: list[Node] = []  # elements
         self.items: list = []  # elements and texts, in order
         self.shape = None
@@ -101,26 +112,46 @@ def _attributes(text: str) -> tuple[str, str]:
 def parse(page: str) -> Node:
     """DOM tree of a page, forgiving as browsers are: implied end tags, stray end tags, unclosed elements."""
     root = Node("#page", "#page", False)
-    stack, last = [root], 0
-    for m in _MARKUP.finditer(page):
+    stack, last, unclosed = [root], 0, set()
+    while m := _MARKUP.search(page, last):
         if m.start() > last:
             stack[-1].items.append(page[last : m.start()])
         last = m.end()
-        tag = m[3] or m[6]
+        tag = m[2] or m[5]
         if not tag:
             continue
         tag = tag.lower()
-        if m[2] or m[5]:  # an end tag closes down to its element, if that is open
+        closed = (m[3] or "").endswith("/")
+        if tag in _RAW and not (m[1] or m[4]) and (tag in _TO_END or not closed and tag not in unclosed):
+            if after := _RAW[tag].search(page, last):
+                last = after.end()
+                continue
+            if tag in _TO_END:
+                last = len(page)
+                break
+            unclosed.add(tag)
+        if m[1] or m[4]:  # an end tag closes down to its element, if that is open
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
-                if tag in INLINE and stack[i].tag not in INLINE or tag == "p" and stack[i].tag in _SCOPE:
+                if tag in INLINE and not stack[i].inline or tag == "p" and stack[i].tag in _SCOPE:
                     break
             continue
-        if tag not in HEAD and (head := next((i for i, x in enumerate(stack) if x.tag == "head"), 0)):
+        foreign = next((i for i, x in enumerate(stack) if x.tag in FOREIGN), 0)
+        if foreign and tag in _BREAKOUT and not any(x.tag in _INTEGRATION for x in stack[foreign:]):
+            del stack[foreign:]
+            foreign = 0
+        choice = next((i for i, x in enumerate(stack) if x.tag == "select"), 0)
+        if choice and tag in _CHOICE:
+            if tag in ("option", "optgroup", "hr") and stack[-1].tag == "option":
+                stack.pop()
+        elif choice and tag not in INLINE:
+            del stack[choice:]
+            choice = 0
+        if not foreign and tag not in HEAD and (head := next((i for i, x in enumerate(stack) if x.tag == "head"), 0)):
             del stack[head:]
-        if tag not in INLINE:
+        if tag not in INLINE and not foreign and not choice:
             ends = _ENDS.get(tag, ("p",)) if tag not in ("html", "head", "body") else ()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in ends or stack[i].tag == "p" and tag != "td":
@@ -128,15 +159,15 @@ def parse(page: str) -> Node:
                     break
                 if stack[i].tag in _SCOPE:
                     break
-        name, marks = _attributes(m[4] or m[7] or "")
+        name, marks = _attributes(m[3] or m[6] or "")
         inside = stack[-1].furniture
         own = tag in FURNITURE or bool(marks) and tag not in ("html", "body", "main", "article") and bool(_FURNITURE.search(marks))
         if tag == "header" and not any(x.tag in ("article", "main") for x in stack):
             own = True
-        node = Node(tag, f"{tag}.{name}" if name else tag, inside or own)
+        node = Node(tag, f"{tag}.{name}" if name else tag, inside or own, tag in INLINE or foreign > 0 or choice > 0)
         stack[-1].items.append(node)
         stack[-1].kids.append(node)
-        if tag not in VOID and not (m[4] or "").endswith("/") and len(stack) < DEEPEST:
+        if tag not in VOID and not closed and len(stack) < DEEPEST:
             stack.append(node)
     if last < len(page):
         stack[-1].items.append(page[last:])
@@ -171,9 +202,10 @@ def blocks(root: Node) -> Iterator[tuple[str, str, Node, list[Node]]]:
             _, owner, path, line = item
             continue
         node, at, above = item
-        if node.tag in INLINE:
+        if node.inline:
             if node.furniture and not owner.furniture:  # an advert or notice inside a line
-                parts.append(" ")
+                if node.tag != "svg":
+                    parts.append(" ")
                 continue
             if node.tag in ("br", "wbr", "img", "input"):
                 parts.append(" ")

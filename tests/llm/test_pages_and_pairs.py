@@ -38,6 +38,22 @@ def test_extract(page, text):
     assert html_extract.extract(page, None, frozenset()) == text
 
 
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        ("<svg-icon a=b></svg-icon><p>two</p>", "one\n\ntwo"), ("<svg class='i'/><p>two</p>", "one\n\ntwo"),
+        ("<object-x></object-x><template-y></template-y><p>two</p>", "one\n\ntwo"), ("<select><option>a<p>two</p>", "one\n\ntwo"),
+        ("<object data=x><p>two</p>", "one\n\ntwo"), ("<template><p>two</p>", "one\n\ntwo"), ("<svg><path d='1'/><p>two</p>", "one\n\ntwo"),
+        ("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p><p>two</p>", "one\n\na x=2 b\n\ntwo"),
+        ("<p>a<object data=x>b</object> c</p>", "one\n\nab c"), ("<p>a<svg><title>t</title><g><text>s</text></g></svg>b</p>", "one\n\nab"),
+        ("<p>a <select><option>x<option>y</select> b</p>", "one\n\na b"), ("<iframe>x</iframe><noscript>n</noscript ><p>two", "one\n\ntwo"),
+        ("<script>'<p>x</p>'</script\n><style>p{}</style><p>two<textarea>z", "one\n\ntwo"),
+    ],
+)
+def test_extract_raw_and_foreign(inner, text):
+    assert html_extract.extract(f"<article><p>one</p>{inner}</article>", None, frozenset()) == text
+
+
 def test_pages_like_their_articles(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
