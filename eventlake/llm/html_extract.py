@@ -1,10 +1,10 @@
 """HTML extraction by wrapper induction.
 
-Pages of one host are aligned with each other by simple tree matching: each
-task takes the first page it sees of a host as the reference, matches every
-other page's DOM tree with it (the order-preserving matching with most nodes),
-and counts for each reference node how many pages matched it and how many of
-those hold the same text there. The counts of all tasks are added up per host.
+Every page of a host is aligned by simple tree matching (the order-preserving
+matching with most nodes) with the host's reference pages: up to ``REFERENCES``
+distinct pages chosen by their hash, so that the result does not depend on file
+order or splits. A page shows a reference's text if its partner of that node
+holds the same text. Tasks count the pages that show it; the counts of all tasks are added up per host.
 Nodes whose text is constant on at least ``share`` of the host's pages (with
 ``least_pages`` pages or more) become the template; the other nodes are slots
 whose content varies. The element path that holds most of the varying text,
@@ -17,8 +17,8 @@ notices, adverts, forms, reader comments, scripts and styles. Character
 references are decoded, white space inside a block is one space, blocks are
 joined by an empty line.
 
-Wrappers come back to the pages by a join on the host; the wrapper table is
-written first, so Spark broadcasts it only when its size is below the
+References and wrappers come to the pages by a join on the host; both tables
+are written first, so Spark broadcasts one only when its size is below the
 session's limit, and otherwise splits the rows of a hot host.
 
 Defined results: a null or empty page gives an empty text; markup cut off
@@ -32,11 +32,13 @@ are read.
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,9 @@ from .url_filter import host_of
 SHARE = 0.8
 LEAST_PAGES = 5
 DEEPEST = 150
-HOSTS = 500  # hosts whose reference a task keeps at a time; the counts of older ones are sent on
+HOSTS = 500  # hosts whose references a task keeps at a time; the counts of older ones are sent on
+REFERENCES = 5  # pages of a host that all its pages are aligned with
+SLOTS = 16
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -281,34 +285,43 @@ def node_key(path: str, text: str) -> int:
 
 
 class _Reference:
-    """A task's reference page of a host and what the pages aligned with it showed."""
+    """A reference page: its tree, and of a node its texts and their keys."""
 
-    def __init__(self, root: Node):
-        self.root, self.pages = root, 0
-        self.texts: dict[int, dict[str, int]] = {}  # of a node: its texts and their keys
-        self.counts: dict[int, int] = {}  # of a key: the pages that show it
-        for path, text, node, _ in blocks(root):
+    def __init__(self, page: str):
+        self.page, self.root = page, parse(page)
+        self.texts: dict[int, dict[str, int]] = {}
+        for path, text, node, _ in blocks(self.root):
             self.texts.setdefault(id(node), {})[text] = node_key(path, text)
+
+
+class _Host:
+    """A host's reference pages and what the task's pages aligned with them showed."""
+
+    def __init__(self, references: list[str]):
+        self.references, self.pages = [_Reference(x) for x in references], 0
+        self.counts: dict[int, int] = {}  # of a key: the pages that show it
         self.mass: dict[str, int] = {}
 
-    def align(self, root: Node) -> None:
+    def align(self, page: str) -> None:
         self.pages += 1
-        own: dict[int, list] = {}
-        for path, text, node, line in blocks(root):
-            own.setdefault(id(node), []).append((path, text, line))
-        partner = {id(b): id(a) for a, b in match(self.root, root)[1]}
+        root = parse(page)
+        found = list(blocks(root))
         shown: set[int] = set()
-        for node, found in own.items():
-            known = self.texts.get(partner.get(node), {})
-            for path, text, line in found:
-                same = text in known
-                if same:
-                    shown.add(known[text])
-                if not line[-1].furniture and (self.pages == 1 or not same):
-                    inside = next((i for i, n in enumerate(line) if n.tag in ("article", "main")), None)
-                    at = line[1 : inside + 1] if inside else line[1:-1] or line[1:]
-                    where = "".join(f"/{n.label}" for n in at)
-                    self.mass[where] = self.mass.get(where, 0) + len(text)
+        constant: set[int] = set()  # blocks that another page has at the same place
+        for ref in self.references:
+            partner = {id(b): id(a) for a, b in match(ref.root, root)[1]}
+            for i, (_, text, node, _) in enumerate(found):
+                key = ref.texts.get(partner.get(id(node)), {}).get(text)
+                if key is not None:
+                    shown.add(key)
+                    if ref.page != page:
+                        constant.add(i)
+        for i, (_, text, _, line) in enumerate(found):
+            if not line[-1].furniture and i not in constant:
+                inside = next((k for k, n in enumerate(line) if n.tag in ("article", "main")), None)
+                at = line[1 : inside + 1] if inside else line[1:-1] or line[1:]
+                where = "".join(f"/{n.label}" for n in at)
+                self.mass[where] = self.mass.get(where, 0) + len(text)
         for key in shown:  # a page counts once, however often it repeats a text on one path
             self.counts[key] = self.counts.get(key, 0) + 1
 
@@ -324,30 +337,51 @@ COUNTS = "host string, key long, pages long, path string, mass long"
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: dict[str, _Reference] = {}
+    kept: dict[str, _Host] = {}
+    unpack = zstandard.ZstdDecompressor().decompress
 
-    def sent(refs):
-        rows = [r for host, ref in refs for r in ref.rows(host)]
+    def sent(hosts):
+        rows = [r for host, seen in hosts for r in seen.rows(host)]
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in COUNTS.split(", ")])
 
     for batch in batches:
-        for host, page in zip(batch.column("host"), batch.column("html"), strict=True):
-            root = parse(page.as_py() or "")
+        for host, page, packed in zip(batch.column("host"), batch.column("html"), batch.column("packed"), strict=True):
             host = host.as_py()
-            ref = kept.pop(host, None) or _Reference(root)
-            kept[host] = ref  # the latest used come last
-            ref.align(root)
+            seen = kept.pop(host, None) or _Host(json.loads(unpack(packed.as_py())))
+            kept[host] = seen  # the latest used come last
+            seen.align(page.as_py() or "")
             if len(kept) > HOSTS:
                 oldest = next(iter(kept))
                 yield sent([(oldest, kept.pop(oldest))])
     yield sent(kept.items())
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor().compress
+    for batch in batches:
+        packed = [pack(json.dumps(x).encode()) for x in batch.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(packed, pa.binary())], names=["host", "packed"])
+
+
+def references(pages: DataFrame) -> DataFrame:
+    """Per host its reference pages: the distinct pages with the least hashes, one of each of ``SLOTS`` hash classes.
+
+    Both aggregates are bounded (a hash per host and class, then at most ``SLOTS`` per host).
+    """
+    hashed = pages.select("host", F.coalesce("html", F.lit("")).alias("html")).withColumn("hash", F.xxhash64("html"))
+    least = hashed.groupBy("host", F.pmod("hash", F.lit(SLOTS)).alias("slot")).agg(F.min("hash").alias("hash"))
+    few = F.slice(F.sort_array(F.collect_list("hash")), 1, REFERENCES)
+    chosen = cut(least.groupBy("host").agg(few.alias("few")).select("host", F.explode("few").alias("hash")), "wrapper-chosen")
+    texts = hashed.join(chosen, ["host", "hash"]).groupBy("host", "hash").agg(F.min("html").alias("html"))
+    lists = texts.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("hash", "html"))).alias("list"))
+    return cut(lists.select("host", F.col("list.html").alias("html")).mapInArrow(_pack, "host string, packed binary"), "wrapper-references")
+
+
 def induce(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Wrappers of ``host, html`` pages: host, content path, and the keys of its template's texts."""
-    rows = pages.mapInArrow(_align, COUNTS)
+    rows = pages.join(references(pages), "host").select("host", "html", "packed").mapInArrow(_align, COUNTS)
     total = cut(rows.groupBy("host", "key", "path").agg(F.sum("pages").alias("pages"), F.sum("mass").alias("mass")), "wrapper-counts")
     hosts = total.filter("key = 0 AND path = ''").select("host", F.col("pages").alias("of"))
     constant = total.filter("key <> 0").join(hosts, "host").filter((F.col("pages") >= F.col("of") * share) & (F.col("of") >= least_pages))
