@@ -12,8 +12,10 @@ covers is removed.
 2. Windows whose mark is estimated at two or more are grouped exactly by a
    96-bit hash of their words. Windows that repeat within one task's buffer
    are settled there and sent once, so a very frequent passage costs a row per
-   buffer. Windows with the same mark meet in the same bucket; the number of
-   buckets follows the number of windows.
+   buffer. Windows with the same mark meet in the same bucket, but those of a
+   mark that a sample shows as hot are spread by their own hash, as many
+   different windows may share it. The number of buckets follows the number
+   of windows.
 3. Spans go back to their documents in one shuffle of the texts.
 
 Defined results: a null or empty text has no words and stays empty; texts of
@@ -136,8 +138,8 @@ class _Buffer:
 ROUTED_NAMES = [x.split()[0] for x in ROUTED.split(", ")]
 
 
-def _suspects(bitmap, window: int, gram: int, bits: int, buckets: int):
-    """Second pass: windows whose mark the sketch estimates at two or more, routed by mark."""
+def _suspects(bitmap, hot, window: int, gram: int, bits: int, buckets: int):
+    """Second pass: windows whose mark the sketch estimates at two or more, routed by mark, or by their own hash where the mark is hot."""
 
     def run(batches):
         held = _Buffer(buckets)
@@ -152,7 +154,8 @@ def _suspects(bitmap, window: int, gram: int, bits: int, buckets: int):
                 begin, r = start[hit], row[hit]
                 a = ROLL_A.spans(ROLL_A.prefix(words), begin, begin + window)
                 b = (ROLL_B.spans(ROLL_B.prefix(words), begin, begin + window) >> U64(32)).astype(np.uint32)
-                bucket = (mix(least[hit]) % U64(buckets)).astype(np.int64)
+                spread = sketch.repeated(hot.value, least[hit], sketch.HOT_BITS)
+                bucket = (np.where(spread, a, mix(least[hit])) % U64(buckets)).astype(np.int64)
                 held.add(a, b, doc[r], tag[r], at[hit], null[r], bucket)
                 if held.n >= BUFFER and (out := held.flush()) is not None:
                     yield out
@@ -226,7 +229,7 @@ OUT_ARROW = pa.schema([
 
 def substring_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    window: int = WINDOW, gram: int = GRAM, bits: int = BITS, depth: int = DEPTH,
+    window: int = WINDOW, gram: int = GRAM, bits: int = BITS, depth: int = DEPTH, hot_rate: float = sketch.HOT_RATE,
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, n_spans and the kept text."""
     if not 0 < gram <= window:
@@ -237,7 +240,8 @@ def substring_dedup(
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(1 << 30, max(64, chars // 6 // PER_BUCKET)))
     bitmap = spark.sparkContext.broadcast(sketch.build(texts, _marks(window, gram), bits, depth))
-    routed = rows.mapInArrow(_suspects(bitmap, window, gram, bits, buckets), ROUTED)
+    hot = spark.sparkContext.broadcast(sketch.hot(texts, _marks(window, gram), hot_rate))
+    routed = rows.mapInArrow(_suspects(bitmap, hot, window, gram, bits, buckets), ROUTED)
     spans = routed.groupBy("bucket").applyInArrow(_exact, SPAN)
     out = apply_spans(rows, spans, _remove(window), OUT)
     return out.select(

@@ -7,6 +7,10 @@ import re
 import numpy as np
 import pytest
 
+from eventlake.llm import sketch
+from eventlake.llm import substring_dedup as substring_dedup_module
+from eventlake.llm import suffix_dedup as suffix_dedup_module
+from eventlake.llm.spans import keyed
 from eventlake.llm.substring_dedup import substring_dedup
 from eventlake.llm.suffix_dedup import deep_shallow_sort, suffix_dedup
 
@@ -126,3 +130,26 @@ def test_hashing_in_pieces():
     finally:
         common.PIECE = old
     assert (first == first_again).all() and (whole == again).all()
+
+
+@pytest.mark.parametrize("kind", ["words", "bytes"])
+def test_hot_mark_is_spread_over_buckets(spark, kind):
+    """A stock phrase with other surroundings in every text: results as by brute force, and no bucket holds most windows."""
+    phrase = words(3, 9)
+    data = rows([f"{words(10 + i, 30)} {phrase} {words(900 + i, 30)}" for i in range(120)] + [words(11, 30) + " " + phrase + " " + words(901, 30)])
+    df = frame(spark, data)
+    texts = df.select("text")
+    if kind == "words":
+        assert words_of(substring_dedup(df, hot_rate=1.0)) == brute_words(data, 35)
+        run, marks = substring_dedup_module._suspects, substring_dedup_module._marks(35, 8)
+        settings, held = (35, 8, 20, 64), lambda r: len(r.at) // 4
+    else:
+        assert bytes_of(suffix_dedup(df, hot_rate=1.0)) == brute_bytes(data, 50)
+        run, marks = suffix_dedup_module._segments, suffix_dedup_module._marks(50, 24)
+        settings, held = (50, 24, 20, 64), lambda r: r.n
+    every, hot = (spark.sparkContext.broadcast(x) for x in (sketch.build(texts, marks, 20, 1), sketch.hot(texts, marks, 1.0)))
+    schema = substring_dedup_module.ROUTED if kind == "words" else suffix_dedup_module.ROUTED
+    size = collections.Counter()
+    for r in keyed(df, "doc_id", "text").mapInArrow(run(every, hot, *settings), schema).collect():
+        size[r.bucket] += held(r)
+    assert max(size.values()) < 0.2 * sum(size.values())
