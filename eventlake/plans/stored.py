@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import parse as P
-from ..session import configure, release_path_into, scratch_database, scratch_path
+from ..session import configure, scratch_database, scratch_path
 from ..sinks import publish as K
 from ..sinks import tables as TB
 from ..sources import files as SRC
@@ -145,19 +145,17 @@ def q_retention_drop(spark, sf_dir):
 
 
 def q_rotating_batch(spark, sf_dir):
-    """Ten numbered batch files; a run at 10:25 strictly loads the third."""
+    """Ten numbered batch folders of documents of at most 50 events; a run at 10:25 strictly loads the third."""
     layout = _layout(spark, "rotating_batch")
     PL.setup(spark, layout)
     folder = scratch_path(spark, "batch_files")
     events = CP.canonical(CP.events(spark, sf_dir))
     number = F.col("event_id") % QQ.ROTATION_FILES + 1
-    texts = events.groupBy(number.alias("n")).agg(F.array_join(F.collect_list("value"), ",\n").alias("body"))
-    texts = texts.select("n", F.concat(F.lit("["), "body", F.lit("]")).alias("value"))
-    for n in range(1, QQ.ROTATION_FILES + 1):  # the writers choose file names, the contract has its own
-        made = scratch_path(spark, "batch_file")
-        texts.where(F.col("n") == n).select("value").coalesce(1).write.text(made)
-        release_path_into(spark, made, f"{folder}/batch_{n:02d}.json")
-    PL.rotating_batch(spark, folder, BATCH_AT, layout, stamp=_fixed_stamp())
+    chunk = F.floor(F.monotonically_increasing_id() / QQ.EVENTS_PER_BATCH_FILE)  # runs of rows, as in batch_documents
+    for n in range(1, QQ.ROTATION_FILES + 1):
+        texts = events.where(number == n).groupBy(chunk.alias("chunk")).agg(F.array_join(F.collect_list("value"), ",").alias("body"))
+        texts.select(F.concat(F.lit("["), "body", F.lit("]")).alias("value")).write.text(f"{folder}/batch_{n:02d}")
+    PL.rotating_batch(spark, folder, BATCH_AT, layout, stamp=_fixed_stamp(), folders=True)
     return _stored(spark.table(layout.bronze), "bronze", S.BRONZE_COLUMNS).select(*S.BRONZE_COLUMNS)
 
 

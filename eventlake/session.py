@@ -124,15 +124,3 @@ def release_scratch(spark: SparkSession) -> None:
         spark.sql(f"DROP DATABASE IF EXISTS {_SCRATCH_DATABASES.pop()} CASCADE")
     while _SCRATCH:
         remove_path(spark, _SCRATCH.pop())
-
-
-def release_path_into(spark: SparkSession, folder: str, target: str) -> None:
-    """Move the one data file that a writer left in ``folder`` to ``target``, a file name of the caller's."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(conf)
-    (part,) = [s.getPath() for s in fs.globStatus(path(f"{folder}/part-*"))]
-    fs.mkdirs(path(target).getParent())
-    if not fs.rename(part, path(target)):
-        raise OSError(f"could not move {folder} to {target}")

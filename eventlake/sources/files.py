@@ -123,6 +123,20 @@ def pick_batch(spark: SparkSession, folder: str, at, glob: str = BATCH_GLOB) ->
     return found
 
 
+def pick_batch_folder(spark: SparkSession, folder: str, at, glob: str = "batch_*") -> str:
+    """As :func:`pick_batch` where a batch is a folder of files (``batch_03``) with a JSON document a line."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.globStatus(path(f"{folder}/{glob}")) or [] if s.isDirectory()]
+    numbers = {int(n.rsplit("_", 1)[1]): n for n in sorted(names, reverse=True) if n.rsplit("_", 1)[1].isdigit()}
+    if not numbers:
+        raise FileNotFoundError(f"no {glob} folders under {folder}")
+    slot = (at.minute // SLOT_MINUTES) % len(numbers) + 1
+    if slot not in numbers:
+        raise FileNotFoundError(f"no batch folder number {slot} under {folder}")
+    return f"{folder}/{numbers[slot]}"
+
+
 def bounded(df: DataFrame, max_messages: int | None) -> DataFrame:
     """A pull of at most ``max_messages`` messages (batch form of a bounded pull)."""
     return df.limit(max_messages) if max_messages else df

@@ -336,3 +336,17 @@ def test_run_expires_by_default(spark, tmp_path):
     msgs = spark.createDataFrame([(json.dumps(canonical_event(1)), old), (json.dumps(canonical_event(2)), dt.datetime.now())], "value string, at timestamp")
     result = PL.run(spark, msgs, layout, stamp=F.col("at"))
     assert result.expired == [old.date()] and [r.event_id for r in spark.table(layout.gold).collect()] == [2]
+
+
+def test_rotating_batch_documents_are_bounded(spark, monkeypatch):
+    """No document of the written batches holds more than 50 events, and the slot's batch is loaded whole."""
+    from eventlake.plans import stored
+    from eventlake.session import release_scratch
+
+    seen = []
+    explode = SRC.explode_documents
+    monkeypatch.setattr(SRC, "explode_documents", lambda docs, *a, **k: seen.append(docs) or explode(docs, *a, **k))
+    rows = stored.q_rotating_batch(spark, "/root/testdata/sf0.001").count()
+    held = [len(json.loads(r.value)) for r in seen[0].select("value").collect()]
+    assert sum(held) == rows > 50 and max(held) <= 50
+    release_scratch(spark)
