@@ -3,18 +3,20 @@
 Words lose punctuation and case, and typed placeholders replace numbers
 (``12``), quantities (``5kg``), units after a number (``5 kg``) and
 capitalised words (names; sentence-initial words too, so a question that starts
-with another name still matches). A template window is ``window`` consecutive
-tokens (an item shorter than that is one window). Windows with fewer than
-``literals`` plain words say too little as templates and are compared word by
-word.
+with another name still matches). A run of names is one placeholder, and so is
+a number with its unit. A template window is ``window`` consecutive
+tokens (an item shorter than that is one window); those with fewer than
+``literals`` plain words say too little. Beside them the windows of the plain
+words are compared, so that copies in another case are found.
 
 Windows of the benchmark fill a bitmap of fixed size (2 MB), broadcast; document
 windows that hit it are joined with the benchmark's windows by hash. Matches of
-one document and item that lie on one alignment (same shift) are checked for
+one document and item that lie on one alignment (same shift, or neighbouring
+shifts, as a name of more words moves what follows it) are checked for
 slot consistency: every slot value of the item must stand for one value in the
 document, allowing a fifth of the slot pairs to disagree. An item is found in a
-document when one alignment has at least ``least`` consistent windows (or all
-windows of a shorter item).
+document when one alignment has at least ``least`` consistent windows at different places of the
+item (or all windows of a shorter item).
 
 Defined results: null or empty texts and items match nothing; a null id is kept
 as null; rows that repeat id and text give one result; repeated items each
@@ -37,6 +39,7 @@ WINDOW = 8
 LITERALS = 4
 LEAST = 6
 DISAGREE = 0.2
+SHIFTS = 8  # shifts no further apart than this are always in one band
 BITS = 24
 NUM, QUANTITY, UNIT, NAME = 1, 2, 3, 4
 
@@ -71,7 +74,7 @@ def _hashes(folded: np.ndarray, keep: np.ndarray, starts: np.ndarray, ends: np.n
 
 
 def tokens(raw: np.ndarray, offsets: np.ndarray, units: np.ndarray | None = None):
-    """Per token: plain hash, template hash, slot value (0: a plain word); and each row's first token."""
+    """Per word: hash and kind of slot (0: a plain word); and each row's first word."""
     plain, kinds, places = [], [], []
     units = _unit_hashes() if units is None else units
     for lo, hi, starts, ends in word_spans(raw, offsets):
@@ -103,15 +106,31 @@ def tokens(raw: np.ndarray, offsets: np.ndarray, units: np.ndarray | None = None
         places.append(starts + lo)
     if not plain:
         none = np.empty(0, np.uint64)
-        return none, none, none, np.zeros(len(offsets), np.int64)
+        return none, none.astype(np.int64), np.zeros(len(offsets), np.int64)
     h, kind, place = np.concatenate(plain), np.concatenate(kinds), np.concatenate(places)
     first = np.searchsorted(place, offsets).astype(np.int64)
     unit = np.flatnonzero(np.isin(h, units))
     unit = unit[(unit > 0) & ~np.isin(unit, first)]
     kind[unit[kind[unit - 1] == NUM]] = UNIT
-    template = np.where(kind > 0, mix(kind.astype(np.uint64)), h)
-    slot = np.where(kind > 0, mix(h + kind.astype(np.uint64)) | U64(1), U64(0))
-    return h, template, slot, first
+    return h, kind, first
+
+
+def templates(h: np.ndarray, kind: np.ndarray, first: np.ndarray):
+    """Per template token: hash, slot value (0: a plain word) and first word; and each row's first token.
+
+    A run of names is one token, and so is a number with its unit, so that a longer name or ``5kg`` for ``5 kg`` moves
+    nothing.
+    """
+    joined = np.zeros(len(h), bool)
+    joined[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) | (kind[1:] == UNIT) & (kind[:-1] == NUM)
+    joined[first[first < len(h)]] = False
+    starts = np.flatnonzero(~joined)
+    ends = np.append(starts[1:], len(h)).astype(np.int64)
+    of = np.where((kind[starts] == NUM) & (ends - starts > 1), QUANTITY, kind[starts]).astype(np.uint64)
+    value = ROLL_A.spans(ROLL_A.prefix(h), starts, ends[: len(starts)])
+    template = np.where(of > 0, mix(of), h[starts])
+    slot = np.where(of > 0, mix(value + of) | U64(1), U64(0))
+    return template, slot, starts, np.searchsorted(starts, first).astype(np.int64)
 
 
 def _unit_hashes() -> np.ndarray:
@@ -122,6 +141,9 @@ def _unit_hashes() -> np.ndarray:
 def _windows(text: pa.Array, lengths: list[int], literals: int, whole: int = 0):
     """Per slice and window length: hash, row, place and slots of every window inside one row.
 
+    Windows of plain words, whatever their case and without slots, and windows of template tokens that have a slot and
+    enough plain words. Places are in words.
+
     ``whole``: benchmark items shorter than it are one window of their own length, and longer
     ones have windows of that length only.
     """
@@ -129,23 +151,25 @@ def _windows(text: pa.Array, lengths: list[int], literals: int, whole: int = 0):
     units = _unit_hashes()
     for lo, hi in row_groups(offsets):
         part = offsets[lo : hi + 1] - offsets[lo]
-        plain, template, slot, first = tokens(raw[offsets[lo] : offsets[hi]], part, units)
-        for size in lengths:
-            for at, end in slices(len(plain), size):
+        plain, kind, words = tokens(raw[offsets[lo] : offsets[hi]], part, units)
+        template, slots, starts, heads = templates(plain, kind, words)
+        streams = ((ROLL_B, plain, np.zeros(len(plain), np.uint64), np.arange(len(plain)), words), (ROLL_A, template, slots, starts, heads))
+        for size, (roll, values, slot, place, first) in ((x, y) for x in lengths for y in streams):
+            for at, end in slices(len(values), size):
                 start = np.arange(end - at - size + 1)
                 row, valid = inside(first, at, start, size)
                 if whole:
                     count = (first[1:] - first[:-1])[row]
                     valid &= (count == size) | ((size == whole) & (count > size))
+                if roll is ROLL_A:
+                    free = np.concatenate([[0], np.cumsum(slot[at:end] == 0)])
+                    n = free[start + size] - free[start]
+                    valid &= (n >= literals) & (n < size)
                 start, row = start[valid], row[valid]
                 if not len(start):
                     continue
-                free = np.concatenate([[0], np.cumsum(slot[at:end] == 0)])
-                weak = free[start + size] - free[start] < literals
-                h = ROLL_A.spans(ROLL_A.prefix(template[at:end]), start, start + size)
-                exact = ROLL_B.spans(ROLL_B.prefix(plain[at:end]), start, start + size)
-                h = np.where(weak, exact, h) + U64(size)
-                yield size, h, lo + row, start + at - first[row], start + at, slot
+                h = roll.spans(roll.prefix(values[at:end]), start, start + size) + U64(size)
+                yield size, h, lo + row, place[start + at] - words[row], start + at, slot
 
 
 def _rows(lengths: list[int], literals: int, whole: int = 0, bitmap=None):
@@ -178,8 +202,9 @@ def _lengths(window: int):
         found = set()
         for batch in batches:
             raw, offsets = buffers(batch.column("text"))
-            count = np.diff(tokens(raw, offsets)[3])
-            found |= set(count[(count > 0) & (count < window)].tolist())
+            h, kind, words = tokens(raw, offsets)
+            for count in (np.diff(words), np.diff(templates(h, kind, words)[3])):
+                found |= set(count[(count > 0) & (count < window)].tolist())
         yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int32())], names=["size"])
 
     return run
@@ -203,14 +228,18 @@ def contaminated(
     filled = docs.sparkSession.sparkContext.broadcast(sketch.build(own.select("hash"), hashes, BITS, 1, least=1))
     key = KEY
     found = keyed(docs, id_col, text_col).mapInArrow(_rows(lengths, literals, bitmap=filled), ROWS)
-    total = own.groupBy(*key).agg(F.count(F.lit(1)).alias("item_windows"))
+    total = own.groupBy(*key).agg(F.count_distinct("at").alias("item_windows"))
     item = own.join(total, key).select(
         "hash", "size", F.struct(*key).alias("item"), "item_windows", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")
     )
     match = found.join(item, ["hash", "size"]).withColumn("shift", F.col("at") - F.col("item_at"))
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"] != 0)
-    lined = match.groupBy(*key, "item", "item_windows", "shift").agg(
-        F.count_distinct("item_at").alias("windows"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+    # one shift, and two bands of neighbouring shifts: a change in the number of words moves what follows it
+    band = F.floor(F.col("shift") / SHIFTS)
+    line = F.array(*(F.struct(F.lit(k).alias("kind"), no.cast("long").alias("no")) for k, no in ((0, F.col("shift")), (1, band), (1, band + 1))))
+    match = match.withColumn("line", F.explode(line))
+    lined = match.groupBy(*key, "item", "item_windows", "line").agg(
+        F.min("shift").alias("shift"), F.count_distinct("item_at").alias("windows"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     values = F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"])))
     good = (F.size("pairs") - values) <= F.lit(disagree) * F.size("pairs")

@@ -154,6 +154,18 @@ def test_reparameterised_and_consistent(spark):
     assert found(spark, texts) == {(0, 0), (1, 1), (3, 2), (7, 1)}
 
 
+def test_copies_in_other_case_and_with_longer_names(spark):
+    items = [
+        "Then Maria told Peter that Lena would meet Oskar near Berlin before Anna saw Bruno leave for Madrid with Clara",
+        "Tom walked past the old mill with Eva and then sold 5 kg of apples to the tall man for 3 coins",
+    ]
+    texts = [f(i) for i in items for f in (str.lower, str.upper, lambda x: words(5, 20).lower() + " " + x.lower())]
+    texts += [items[1].replace("Eva", "Mary Ann Lee"), items[1].replace("Tom", "Mary Ann").replace("5 kg", "5kg"), words(6, 60)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc, r["item"]) for r in contaminated(frame(spark, rows(texts)), bench).collect()}
+    assert got == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (6, 1), (7, 1)}
+
+
 def test_inconsistent_slots_do_not_match(spark):
     item = "If Anna gives Anna 3 and Anna takes 3 then Anna has 3 more than Anna had before 3 new ones came"
     good = item.replace("Anna", "Otto").replace("3", "8")
