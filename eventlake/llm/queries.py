@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language_id, mixing, near_dedup, shards, url_filter
-from .common import cut, table
+from .common import WORD, cut, table
 from .decontaminate import contaminated
+from .hard_negatives import hard_negatives
 from .html_extract import html_extract
 from .line_quality import line_quality
 from .mixing import word_count
+from .periodic_runs import periodic_runs
+from .personal_data import KINDS, personal_data
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -271,3 +274,120 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class (the smallest doc_id in it) and the number of documents in the class."""
     out = near_dedup.classes(table(spark, sf_dir, "documents"))
     return out.select(F.when(~F.col("null_id"), F.col("doc")).alias("doc_id"), "class_id", "members")
+
+
+OP11_SQL = r"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS tab),
+base AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w0,
+    xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM documents, crc_table),
+dealt AS (
+  SELECT doc_id, w0, len(w0) AS n, coalesce(h % 10 = 0, false) AND len(w0) > 0 AS planted, h // 10 AS g FROM base),
+cuts AS (SELECT *, CASE WHEN planted THEN g % n ELSE n END AS a FROM dealt),
+words AS (
+  SELECT doc_id, n, CASE WHEN planted THEN
+    w0[:a] || list_transform(range(0, n - a), lambda t: w0[a + 1 + t % (1 + (n - a) // (3 + g % 8))]) ELSE w0 END AS w
+  FROM cuts),
+places AS (SELECT doc_id, n, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM words),
+pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM places a JOIN places b
+  ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs),
+long AS (
+  SELECT doc_id, q AS period, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, k
+  HAVING count(*) + q >= greatest(6, 4 * q)),
+found AS (
+  SELECT * FROM long r WHERE NOT EXISTS (
+    SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.period < r.period
+    AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+tops AS (
+  SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+lists AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s FROM found GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM found),
+kept AS (
+  SELECT p.doc_id, string_agg(x, ' ' ORDER BY p.i) AS k FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i
+  GROUP BY p.doc_id)
+SELECT w.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, t.start::BIGINT AS start, t.length::BIGINT AS length,
+  t.period::BIGINT AS period, (1000 * t.length // t.period)::BIGINT AS exponent_milli,
+  sha256(coalesce(l.s, '')) AS runs_sha256, sha256(coalesce(k.k, '')) AS collapsed_sha256
+FROM words w LEFT JOIN lists l ON w.doc_id = l.doc_id LEFT JOIN tops t ON w.doc_id = t.doc_id
+LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where every tenth document by id hash repeats the first words of its tail to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"))
+    hit = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w")
+    cuts = hit.select("*", n.alias("n"), F.when(n > 0, F.col("g") % n).cast("int").alias("a"))
+    tail = F.col("n") - F.col("a")
+    period = (F.lit(1) + F.floor(tail / (3 + F.col("g") % 8))).cast("int")
+    times = F.ceil(tail / period).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, period), times)), 1, tail)
+    changed = F.array_join(F.concat(F.slice("w", 1, F.col("a")), again), " ")
+    return cuts.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of documents, some of which first get a periodic tail."""
+    out = periodic_runs(repeated_tails(table(spark, sf_dir, "documents")))
+    line = lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    return out.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+OP13_SQL = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+  s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are every hundredth row by id; every seventh row has the next label."""
+    scaled = lambda x: 256 * x.cast("double")
+    # floor() gives a long; what does not fit one is whole already, or not finite and has to stay so
+    whole = lambda x: F.when(F.abs(scaled(x)) < 2.0**53, F.floor(scaled(x)).cast("double")).otherwise(scaled(x))
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", whole).alias("vector"),
+    )
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the strict spans, and all spans with those that the method adds."""
+    out = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    strict = F.filter("spans", lambda s: s["strict"])
+    counts = [F.size(F.filter(strict, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select("row.doc_id", *counts, F.sha2(listed(strict), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))

@@ -14,8 +14,8 @@ def con():
     return duck(SF)
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
@@ -26,7 +26,7 @@ def test_like_sql(spark, con, name):
     assert r["rows"] == r["oracle_rows"] and r["match"]
 
 
-@pytest.mark.parametrize("name, source", [("op7_near_dedup", "documents"), ("op9_language_id", "documents"), ("op10_html_extract", "pages")])
+@pytest.mark.parametrize("name, source", [("op7_near_dedup", "documents"), ("op9_language_id", "documents"), ("op10_html_extract", "pages"), ("op12_personal_data", "documents")])
 def test_a_row_for_every_row(spark, name, source):
     assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{source}.parquet").count()
 
@@ -39,6 +39,9 @@ def test_contract_columns(spark):
         "op6_line_quality": "doc_id long n_words long word_chars long n_symbols long n_dup_lines long n_repeat_words long base_failed boolean kept boolean",
         "op9_language_id": "doc_id long held_out boolean lang_pred string score double",
         "op10_html_extract": "page_id long url string text string n_chars long",
+        "op11_periodic_runs": "doc_id long n_runs long start long length long period long exponent_milli long runs_sha256 string collapsed_sha256 string",
+        "op12_personal_data": "doc_id long n_email long n_ip long n_card long n_phone long base_sha256 string spans string",
+        "op13_hard_negatives": "anchor_id long positive_id long rank integer negative_id long positive_score long negative_score long",
     }
     for name, columns in want.items():
         kinds = {f.name: f.dataType.typeName() for f in QUERIES[name](spark, SF).schema}
