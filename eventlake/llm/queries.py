@@ -389,5 +389,6 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     strict = F.filter("spans", lambda s: s["strict"])
-    counts = [F.size(F.filter(strict, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of = lambda kind: F.filter(strict, lambda s: s["kind"] == kind)
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return out.select("row.doc_id", *counts, F.sha2(listed(strict), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))

@@ -1,5 +1,6 @@
 """Periodic runs, personal data and hard negatives against brute force, and their awkward inputs."""
 
+import hashlib
 import random
 import re
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from eventlake.llm import hard_negatives as H
 from eventlake.llm import periodic_runs as R
 from eventlake.llm import personal_data as D
+from eventlake.llm.queries import QUERIES
 
 from .helpers import SCHEMA, awkward, frame, rows, words
 
@@ -197,6 +199,20 @@ def test_em_rates_labelers():
     assert np.mean([(by_row[p] > 0.5) == t for p, t in zip((votes @ 3 ** np.arange(7)).tolist(), truth)]) > 0.93
 
 
+def test_registered_query_digests(spark):
+    """The query's columns from the strict spans, over a whole table."""
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = QUERIES["op12_personal_data"](spark, sf).collect()
+    assert {r.doc_id for r in got} == set(texts)
+    for r in got:
+        want = brute_spans(texts[r.doc_id] or "")
+        listed = ",".join(f"{D.KINDS[k]}:{s}:{e}" for s, e, k in want)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for _, _, k in want) for n in range(4)]
+        assert set(filter(None, listed.split(","))) <= set(r.spans.split(","))
+
+
 def test_personal_data_of_awkward_documents(spark):
     data = awkward() + rows(["a@b.co " * 2000, "1.2.3.4"])
     got = D.personal_data(frame(spark, data))
