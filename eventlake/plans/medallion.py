@@ -21,6 +21,7 @@ from ..operators import parse as P
 from ..operators import quality as Q
 from ..session import checkpoint_root, configure
 from ..sinks import tables as TB
+from ..sources import arrays as ARR
 from ..sources import files as SRC
 from ..streaming import ingest as ST
 
@@ -126,17 +127,17 @@ def ingest(
     return dict(seen.get)
 
 
-def rotating_batch(spark: SparkSession, folder: str, at, layout: Layout, stamp: Column | None = None, folders: bool = False) -> dict:
+def rotating_batch(spark: SparkSession, folder: str, at, layout: Layout, stamp: Column | None = None, folders: bool = False, **ranges) -> dict:
     """One scheduled batch run: the file whose number is the slot of ``at``, strictly parsed and appended.
 
-    With ``folders`` a batch is a folder of any number of files with a JSON document a line, for more events than one
-    document should hold.
+    A file is one JSON array, read by ranges where it is large. With ``folders`` a batch is a folder of any number of
+    files with a JSON document a line.
 
     Any bad event fails the run and appends nothing; a run repeated for one
     file and day replaces its own append.
     """
     path = SRC.pick_batch_folder(spark, folder, at) if folders else SRC.pick_batch(spark, folder, at)
-    events = SRC.explode_documents(SRC.read_lines(spark, path) if folders else SRC.read_documents(spark, path))
+    events = SRC.explode_documents(SRC.read_lines(spark, path)) if folders else ARR.read_arrays(spark, path, **ranges)
     name = f"{path.rsplit('/', 1)[-1]}-{at:%Y%m%dT%H%M}"
     return ingest(spark, events, layout, mode="fail", stamp=stamp, load_id=name)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -18,6 +18,7 @@ from ..operators import parse as P
 from ..session import configure, scratch_database, scratch_path
 from ..sinks import publish as K
 from ..sinks import tables as TB
+from ..sources import arrays as ARR
 from ..sources import files as SRC
 from ..streaming import ingest as ST
 from . import corpus as CP
@@ -27,6 +28,7 @@ from . import queries as QQ
 # The stamp of loads whose messages carry none, and the run's retention.
 STAMP = "2024-06-01 00:00:00"
 PULLED = 500
+RANGE_BYTES = 64 << 10  # of the ranges that an array file is read by
 BATCH_AT = dt.datetime(2024, 6, 1, 10, 25)  # slot 3
 
 
@@ -151,14 +153,36 @@ def q_rotating_batch(spark, sf_dir):
     folder = scratch_path(spark, "batch_files")
     events = CP.canonical(CP.events(spark, sf_dir))
     number = F.col("event_id") % QQ.ROTATION_FILES + 1
-    chunk = F.floor(F.monotonically_increasing_id() / QQ.EVENTS_PER_BATCH_FILE)  # runs of rows, as in batch_documents
-    for n in range(1, QQ.ROTATION_FILES + 1):
-        texts = events.where(number == n).groupBy(chunk.alias("chunk")).agg(F.array_join(F.collect_list("value"), ",").alias("body"))
-        texts.select(F.concat(F.lit("["), "body", F.lit("]")).alias("value")).write.text(f"{folder}/batch_{n:02d}")
+    chunk = F.floor(F.monotonically_increasing_id() / (QQ.ROTATION_FILES * QQ.EVENTS_PER_BATCH_FILE))
+    # by residue, so of 500 consecutive rows; a run without gaps in its ids gives 50 a document, others are cut to it
+    place = F.floor((F.row_number().over(Window.partitionBy("batch", "chunk").orderBy("event_id")) - 1) / QQ.EVENTS_PER_BATCH_FILE)
+    dealt = events.select("value", "event_id", number.alias("batch"), chunk.alias("chunk")).withColumn("part", place)
+    texts = dealt.groupBy("batch", "chunk", "part").agg(F.array_join(F.collect_list("value"), ",").alias("body"))
+    texts.select("batch", F.concat(F.lit("["), "body", F.lit("]")).alias("value")).write.partitionBy("batch").text(folder)
     PL.rotating_batch(spark, folder, BATCH_AT, layout, stamp=_fixed_stamp(), folders=True)
     return _stored(spark.table(layout.bronze), "bronze", S.BRONZE_COLUMNS).select(*S.BRONZE_COLUMNS)
 
 
+def q_batch_files(spark, sf_dir):
+    """Ten files batch_NN.json, each one array over many lines; a run at 10:25 strictly loads the third, by ranges."""
+    layout = _layout(spark, "batch_files")
+    PL.setup(spark, layout)
+    folder = scratch_path(spark, "array_files")
+    number = (F.col("event_id") % QQ.ROTATION_FILES + 1).cast("int")
+    events = CP.canonical(CP.events(spark, sf_dir)).select("value", "event_id", number.alias("batch"))
+    # a file is one stream of lines: an opening bracket, events with their commas, null as the last element
+    edges = spark.range(1, QQ.ROTATION_FILES + 1).select(F.explode(F.array(F.lit("["), F.lit("null]"))).alias("value"), F.col("id").cast("int").alias("batch"))
+    edges = edges.withColumn("event_id", F.when(F.col("value") == "[", F.lit(-1)).otherwise(F.lit(1 << 62)).cast("long"))
+    lines = events.withColumn("value", F.concat("value", F.lit(","))).unionByName(edges)
+    lines = lines.repartition(QQ.ROTATION_FILES, "batch").sortWithinPartitions("batch", "event_id")
+    lines.select("value", "batch").write.partitionBy("batch").text(f"{folder}/parts")
+    K.name_files(spark, f"{folder}/parts", folder, lambda p: f"batch_{int(p['batch']):02d}.json")
+    path = SRC.pick_batch(spark, folder, BATCH_AT)
+    rows = ARR.read_arrays(spark, path, whole_bytes=0, split_bytes=RANGE_BYTES).where("value <> 'null'")
+    PL.ingest(spark, rows, layout, mode="fail", stamp=_fixed_stamp())
+    return _stored(spark.table(layout.bronze), "bronze", S.BRONZE_COLUMNS).select(*S.BRONZE_COLUMNS)
+
+
 def q_bounded_pull(spark, sf_dir):
     """The consumer: the first messages by arrival, bad ones dropped, the rest appended (the bound is the feature)."""
     layout = _layout(spark, "bounded_pull")
@@ -177,6 +201,7 @@ QUERIES = {
     "append_report": q_append_report,
     "retention_drop": q_retention_drop,
     "rotating_batch": q_rotating_batch,
+    "batch_files": q_batch_files,
     "bounded_pull": q_bounded_pull,
 }
 
@@ -225,6 +250,8 @@ ORACLES = {
     "retention_drop": QQ._BRONZE_CTE + _unexpired(f"SELECT {_COLS} FROM bronze"),
     "rotating_batch": _CANONICAL.replace("ts AS ingestion_time", f"TIMESTAMP '{STAMP}' AS ingestion_time")
     + f" WHERE event_id % {QQ.ROTATION_FILES} + 1 = 3",
+    "batch_files": _CANONICAL.replace("ts AS ingestion_time", f"TIMESTAMP '{STAMP}' AS ingestion_time")
+    + f" WHERE event_id % {QQ.ROTATION_FILES} + 1 = 3",
     "bounded_pull": QQ.ORACLES["consumer_pull"].replace(
         "FROM events", f"FROM (SELECT * FROM events ORDER BY ts, event_id LIMIT {PULLED}) AS events"),
 }

@@ -44,3 +44,17 @@ def publish(df: DataFrame, path: str, limit: int | None = None, order_by: tuple[
     order = (order_by,) if isinstance(order_by, str) else tuple(order_by)
     df = first_events(df, limit, *order)
     encode(df, columns or [c for c in df.columns if c != "pos" or "pos" not in order]).write.mode("append").text(path)
+
+
+def name_files(spark, parts: str, folder: str, name) -> None:
+    """Give the one data file of every partition folder under ``parts`` the name ``name({column: value})`` in ``folder``.
+
+    File system metadata only; for outputs with a file per partition, as numbered batch files are.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in fs.globStatus(path(f"{parts}/*/part-*")):
+        source = found.getPath()
+        column, value = source.getParent().getName().split("=", 1)
+        if not fs.rename(source, path(f"{folder}/{name({column: value})}")):
+            raise FileExistsError(f"{folder}/{name({column: value})}")

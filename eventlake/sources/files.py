@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.coerce import as_items, json_wrappers
+
 # Batch files are named batch_NN.json; the slot changes every
 # ten minutes.
 BATCH_GLOB = "batch_*.json"
@@ -31,17 +33,35 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False, **options)
 # ---------------------------------------------------------------------------
 
 
-def read_documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, glob: str | None = None, max_bytes: int | None = None) -> DataFrame:
     """``(path, value)`` with one row per file, the whole text in ``value``.
 
     A file is one JSON document, so it is read by one task; batch files are
     small by contract (tens of events). Use :func:`read_lines` for large
-    newline-delimited inputs.
+    newline-delimited inputs, and ``sources.arrays.read_arrays`` where array
+    files may be large. Files of more than ``max_bytes`` are left out, unread.
     """
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    files = reader.text(path, wholetext=True)
+    if max_bytes is not None:
+        files = files.where(F.col("_metadata.file_size") <= max_bytes)
+    return files.select(F.col("_metadata.file_path").alias("path") if max_bytes is not None else F.input_file_name().alias("path"), "value")
+
+
+def strict_value(text: Column) -> Column:
+    """``text`` as a VARIANT where it is exactly one strict JSON value, else NULL."""
+    as_element, as_member = json_wrappers(text)
+    items = as_items(as_element)
+    return F.when(as_member.isNotNull() & (F.size(items) == 1), items[0])
+
+
+def lenient_value(text: Column, kind: str) -> Column:
+    """``text`` as ``kind`` where the JSON reader takes it for one value (``NaN`` and the like included), else NULL."""
+    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{kind}>")
+    as_member = F.from_json(F.concat(F.lit('{"r":'), text, F.lit("}")), f"struct<r:{kind}>")
+    return F.when((F.size(items) == 1) & as_member["r"].isNotNull(), items[0])
 
 
 def explode_documents(docs: DataFrame, value: str = "value", limit: int | None = None) -> DataFrame:
@@ -62,9 +82,9 @@ def explode_documents(docs: DataFrame, value: str = "value", limit: int | None =
     keeps all.
     """
     text = F.col(value)
-    doc = F.try_parse_json(text)
+    doc = strict_value(text)
     items = F.try_variant_get(doc, "$", "array<variant>")
-    lenient = F.when(doc.isNull(), F.from_json(text, "array<string>"))
+    lenient = F.when(doc.isNull(), lenient_value(text, "array<string>"))
     # a NULL element is a JSON null; a reading without any element is no reading
     lenient = F.transform(lenient, lambda x: F.coalesce(x, F.lit("null")))
     loose = F.when(F.size(lenient) > 0, lenient).otherwise(F.array(text))
@@ -123,18 +143,20 @@ def pick_batch(spark: SparkSession, folder: str, at, glob: str = BATCH_GLOB) ->
     return found
 
 
-def pick_batch_folder(spark: SparkSession, folder: str, at, glob: str = "batch_*") -> str:
-    """As :func:`pick_batch` where a batch is a folder of files (``batch_03``) with a JSON document a line."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.globStatus(path(f"{folder}/{glob}")) or [] if s.isDirectory()]
-    numbers = {int(n.rsplit("_", 1)[1]): n for n in sorted(names, reverse=True) if n.rsplit("_", 1)[1].isdigit()}
-    if not numbers:
-        raise FileNotFoundError(f"no {glob} folders under {folder}")
-    slot = (at.minute // SLOT_MINUTES) % len(numbers) + 1
-    if slot not in numbers:
+def pick_batch_folder(spark: SparkSession, folder: str, at) -> str:
+    """As :func:`pick_batch` where a batch is a folder of files (``batch_03`` or ``batch=3``) with a JSON document a line."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    number = F.regexp_extract("path", r"/batch[_=]([0-9]+)/[^/]*$", 1).try_cast("bigint")
+    listing = files.select(number.alias("batch_num"), F.regexp_replace("path", "/[^/]*$", "").alias("path"))
+    numbers = listing.where(F.col("batch_num").isNotNull()).groupBy("batch_num").agg(F.min("path").alias("path"))
+    n = numbers.count()
+    if not n:
+        raise FileNotFoundError(f"no batch folders under {folder}")
+    slot = (at.minute // SLOT_MINUTES) % n + 1
+    found = numbers.where(F.col("batch_num") == slot).first()
+    if found is None:
         raise FileNotFoundError(f"no batch folder number {slot} under {folder}")
-    return f"{folder}/{numbers[slot]}"
+    return found["path"]
 
 
 def bounded(df: DataFrame, max_messages: int | None) -> DataFrame:
