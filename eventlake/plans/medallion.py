@@ -38,6 +38,7 @@ class Layout:
     deadletter_table: str = S.DEADLETTER_TABLE
     silver_view: str = S.SILVER_VIEW
     gold_table: str = S.GOLD_TABLE
+    retention_days: int | None = None  # kept on the tables, so that every writer enforces it; None: only `expire` does
     gold_buckets: int = 64  # of every gold version; choose it for the table's size, about 256 MB a bucket
 
     @property
@@ -80,8 +81,9 @@ def setup(spark: SparkSession, layout: Layout) -> None:
     TB.create_table(
         spark, layout.bronze, S.BRONZE_SCHEMA,
         partition_field="ingestion_time", clustering_fields=S.BRONZE_CLUSTER_KEYS,
+        retention_days=layout.retention_days, lookup_fields=S.BRONZE_LOOKUP_KEYS,
     )
-    TB.create_table(spark, layout.deadletter, S.DEADLETTER_SCHEMA, partition_field="ingestion_time")
+    TB.create_table(spark, layout.deadletter, S.DEADLETTER_SCHEMA, partition_field="ingestion_time", retention_days=layout.retention_days)
 
 
 def ingest(
@@ -205,6 +207,20 @@ def expire(spark: SparkSession, layout: Layout, as_of=None, days: int = S.RETENT
     return out
 
 
+def close_days(spark: SparkSession, layout: Layout, before=None, partitions: int | None = None) -> dict:
+    """Maintenance: rewrite the days before ``before`` (default: today), one partition each; returns them by table."""
+    before = before or dt.datetime.now(dt.timezone.utc)
+    return {name: TB.close_days(spark, name, before, partitions) for name in (layout.bronze, layout.deadletter)}
+
+
+def lookup(spark: SparkSession, layout: Layout, event_ids: list[int], days=None) -> DataFrame:
+    """Bronze rows of some events: row-group statistics and Bloom filters of closed days skip what cannot hold them."""
+    rows = spark.table(layout.bronze).where(F.col("event_id").isin(*event_ids))
+    if days:
+        rows = rows.where(F.col(TB.PARTITION_COLUMN).isin(*days))
+    return rows.select(*S.BRONZE_COLUMNS)
+
+
 def run(
     spark: SparkSession,
     messages: DataFrame,

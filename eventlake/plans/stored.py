@@ -20,6 +20,7 @@ from ..sinks import publish as K
 from ..sinks import tables as TB
 from ..sources import arrays as ARR
 from ..sources import files as SRC
+from ..sources import messages as MSG
 from ..streaming import ingest as ST
 from . import corpus as CP
 from . import medallion as PL
@@ -28,6 +29,7 @@ from . import queries as QQ
 # The stamp of loads whose messages carry none, and the run's retention.
 STAMP = "2024-06-01 00:00:00"
 PULLED = 500
+LOOKED_UP = [7, 111, 222, 333, 444, 555, 666, 777, 888, 999]
 RANGE_BYTES = 64 << 10  # of the ranges that an array file is read by
 BATCH_AT = dt.datetime(2024, 6, 1, 10, 25)  # slot 3
 
@@ -192,7 +194,100 @@ def q_bounded_pull(spark, sf_dir):
     return _stored(spark.table(layout.bronze), "bronze", S.BRONZE_COLUMNS).select(*S.BRONZE_COLUMNS)
 
 
+def q_message_pull(spark, sf_dir):
+    """Pulls of half of the messages each, from arrival files with other sizes: every message is stored once."""
+    configure(spark)
+    root = scratch_path(spark, "message_pull")
+    messages = CP.canonical(CP.events(spark, sf_dir))
+    messages.select("value").repartition(7, "event_id").write.text(f"{root}/arrivals")
+    total = messages.count()
+    most, pulled = -(-total // 2), []
+    while sum(pulled) < total:
+        source = MSG.stream_messages(spark, f"{root}/arrivals", most, f"{root}/position")
+        counts = ST.run_available_now(source, ST.path_sink(f"{root}/bronze"), ST.path_sink(f"{root}/dead"), f"{root}/_checkpoint", stamp=_fixed_stamp())
+        pulled.append(counts["n_messages"])
+    out = _stored(spark.read.parquet(f"{root}/bronze"), "bronze", S.BRONZE_COLUMNS).select(*S.BRONZE_COLUMNS)
+    return out.withColumn("n_pulls", F.lit(len(pulled)).cast("bigint")).withColumn("largest_pull", F.lit(max(pulled, default=0)).cast("bigint"))
+
+
+def q_closed_days(spark, sf_dir):
+    """Bronze in two loads, days before a date rewritten, one more load for them, rewritten again: rows and partitions a day."""
+    layout = _layout(spark, "closed_days")
+    PL.setup(spark, layout)
+    rows = QQ.bronze(spark, sf_dir).where("event_id IS NOT NULL")
+    for part in range(3):
+        some = F.col("event_id") % 3 == part
+        TB.append(spark, rows.where(some), layout.bronze, batch=f"load-{part}")
+        if part:
+            TB.close_days(spark, layout.bronze, QQ.RETENTION_AS_OF)
+    stored = spark.table(layout.bronze)
+    out = _stored(stored, "bronze", S.BRONZE_COLUMNS)
+    days = stored.groupBy(F.to_date("ingestion_time").alias("d")).agg(F.count_distinct(TB.BATCH_COLUMN).alias("n_batches"))
+    out = out.select(*S.BRONZE_COLUMNS)
+    return out.join(days, F.to_date(out["ingestion_time"]) == F.col("d")).drop("d")
+
+
+def q_event_lookup(spark, sf_dir):
+    """Point lookups by event id in closed days, whose Bloom filters and statistics skip row groups."""
+    layout = _layout(spark, "event_lookup")
+    PL.setup(spark, layout)
+    TB.append(spark, QQ.bronze(spark, sf_dir), layout.bronze)
+    PL.close_days(spark, layout, "2030-01-01")
+    return _stored(PL.lookup(spark, layout, LOOKED_UP), "bronze", S.BRONZE_COLUMNS).select(*S.BRONZE_COLUMNS)
+
+
+def q_stream_retention(spark, sf_dir):
+    """A stream into tables that carry their retention; nothing else expires their days."""
+    base = _layout(spark, "stream_retention")
+    layout = PL.Layout(**{**base.__dict__, "retention_days": S.RETENTION_DAYS})
+    PL.setup(spark, layout)
+    TB.append(spark, QQ.bronze(spark, sf_dir), layout.bronze, today="2024-01-02")  # what earlier batches left
+    root = scratch_path(spark, "stream_retention_in")
+    source = spark.readStream.schema(CP.events(spark, sf_dir).schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    today = lambda: QQ.RETENTION_AS_OF
+    recent = CP.canonical(source).select("value").withColumn("ts", F.lit(f"{QQ.RETENTION_AS_OF} 12:00:00").cast("timestamp_ntz"))
+    ST.run_available_now(
+        recent, ST.table_sink(spark, layout.bronze, S.BRONZE_REQUIRED, today), ST.table_sink(spark, layout.deadletter, S.DEADLETTER_REQUIRED, today),
+        f"{root}/_checkpoint", stamp=F.col("ts"), min_partitions=spark.sparkContext.defaultParallelism)
+    return _stored(spark.table(layout.bronze), "bronze", S.BRONZE_COLUMNS).select(*S.BRONZE_COLUMNS)
+
+
+def q_append_rejects(spark, sf_dir):
+    """Rows that the table rejects, with column and reason, beside those that it stored; the load is run twice."""
+    layout = _layout(spark, "append_rejects")
+    PL.setup(spark, layout)
+    rejects = scratch_path(spark, "rejects")
+    for _ in range(2):
+        bad = TB.append_or_reject(spark, QQ.bronze(spark, sf_dir), layout.bronze, S.BRONZE_REQUIRED, rejects, batch=f"load-{layout.root[-8:]}")
+    none = F.lit(None).cast("string")
+    out = _stored(spark.table(layout.bronze), "stored", S.BRONZE_COLUMNS).select("output", *S.BRONZE_COLUMNS, none.alias("column"), none.alias("reason"))
+    bad = bad.withColumn("ingestion_time", F.col("ingestion_time").cast("timestamp_ntz"))
+    return out.unionByName(bad.select(F.lit("rejected").alias("output"), *S.BRONZE_COLUMNS, "column", "reason"))
+
+
+def q_publish_named(spark, sf_dir):
+    """Events published twice under one name, some of which cannot be sent: the messages, read back, and every outcome."""
+    configure(spark)
+    root = scratch_path(spark, "publish_named")
+    e = CP.events(spark, sf_dir)
+    # events of type error cannot be encoded (a byte that is no UTF-8), long ones are over the limit
+    broken = F.concat(F.encode("event_type", "utf-8"), F.lit(bytearray(b"\xff"))).cast("string")
+    label = F.when(F.col("event_type") == "error", broken).when(F.col("event_id") % 101 == 0, F.repeat(F.lit("x"), 400)).otherwise(F.col("event_type"))
+    events = e.select("event_id", label.alias("event_type"), F.col("user_id").alias("customer_id"))
+    for _ in range(2):
+        done = K.publish_once(events.withColumn("id", F.col("event_id")), f"{root}/topic", "monday", ["event_id", "event_type", "customer_id"], ("id",), 300)
+    sent = P.valid_rows(P.parse(SRC.read_lines(spark, f"{root}/topic/monday"), stamp=_fixed_stamp()))
+    sent = sent.select(F.lit("message").alias("output"), "event_id", "event_type", F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("reason"))
+    return sent.unionByName(done.select(F.lit("outcome").alias("output"), F.col("id").alias("event_id"), F.lit(None).cast("string").alias("event_type"), "status", "reason"))
+
+
 QUERIES = {
+    "message_pull": q_message_pull,
+    "closed_days": q_closed_days,
+    "event_lookup": q_event_lookup,
+    "stream_retention": q_stream_retention,
+    "append_rejects": q_append_rejects,
+    "publish_named": q_publish_named,
     "stream_split": q_stream_split,
     "medallion_run": q_medallion_run,
     "text_scan": q_text_scan,
@@ -235,6 +330,28 @@ _CANONICAL_TEXT = f"""
       'INVALID_UTF8' AS error, ts AS ingestion_time FROM events WHERE event_type = 'error'"""
 
 ORACLES = {
+    "message_pull": f"""
+    SELECT b.*, 2::BIGINT AS n_pulls, (SELECT (count(*) + 1) // 2 FROM events)::BIGINT AS largest_pull
+    FROM ({_CANONICAL.replace("ts AS ingestion_time", f"TIMESTAMP '{STAMP}' AS ingestion_time")}) AS b""",
+    "closed_days": QQ._BRONZE_CTE + f"""
+    , counted AS (
+      SELECT d, CASE WHEN d < DATE '{QQ.RETENTION_AS_OF}' THEN 1 ELSE n END::BIGINT AS n_batches FROM (
+        SELECT CAST(ingestion_time AS DATE) AS d, count(DISTINCT event_id % 3) AS n FROM bronze WHERE event_id IS NOT NULL GROUP BY 1))
+    SELECT {_COLS}, n_batches FROM bronze JOIN counted ON CAST(ingestion_time AS DATE) = d WHERE event_id IS NOT NULL""",
+    "event_lookup": QQ._BRONZE_CTE + f"SELECT {_COLS} FROM bronze WHERE event_id IN ({', '.join(map(str, LOOKED_UP))})",
+    "stream_retention": QQ._BRONZE_CTE + _unexpired(f"SELECT {_COLS} FROM bronze") + "\nUNION ALL\n"
+    + _CANONICAL.replace("ts AS ingestion_time", f"TIMESTAMP '{QQ.RETENTION_AS_OF} 12:00:00' AS ingestion_time"),
+    "append_rejects": QQ._BRONZE_CTE + f"""
+    SELECT 'stored' AS output, {_COLS}, NULL::VARCHAR AS "column", NULL::VARCHAR AS reason FROM bronze WHERE event_id IS NOT NULL
+    UNION ALL
+    SELECT 'rejected', {_COLS}, 'event_id', 'REQUIRED value is NULL: event_id' FROM bronze WHERE event_id IS NULL""",
+    "publish_named": """
+    WITH e AS (
+      SELECT event_id, CASE WHEN event_type = 'error' THEN 'NOT_ENCODABLE' WHEN event_id % 101 = 0 THEN 'TOO_LARGE' END AS reason,
+        event_type FROM events)
+    SELECT 'message' AS output, event_id, event_type, NULL::VARCHAR AS status, NULL::VARCHAR AS reason FROM e WHERE reason IS NULL
+    UNION ALL
+    SELECT 'outcome', event_id, NULL, CASE WHEN reason IS NULL THEN 'published' ELSE 'failed' END, reason FROM e""",
     "stream_split": _bronze_out("bronze", QQ._bronze_select("ts")) + "\nUNION ALL\n" + _dead_out(QQ.DEADLETTER_SQL),
     "medallion_run": "\nUNION ALL\n".join([
         _bronze_out("bronze", _unexpired(QQ._bronze_select("ts"))), _dead_out(_unexpired(QQ.DEADLETTER_SQL)),

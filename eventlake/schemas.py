@@ -35,6 +35,9 @@ RETENTION_DAYS = 30
 # Clustering keys of the bronze table.
 BRONZE_CLUSTER_KEYS = ("event_type", "customer_id")
 
+# Columns of the bronze table that point lookups ask for.
+BRONZE_LOOKUP_KEYS = ("event_id", "customer_id")
+
 # Default namespaces and table names.
 BRONZE_DB = "bronze"
 SILVER_DB = "silver"

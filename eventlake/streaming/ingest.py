@@ -53,9 +53,9 @@ def parsed_stream(source: DataFrame, value: str = "value", mode: str = "deadlett
 Sink = Callable[[DataFrame, str], None]
 
 
-def table_sink(spark: SparkSession, name: str, required: tuple[str, ...]) -> Sink:
-    """Append to a catalog table (REQUIRED columns checked in the write)."""
-    return lambda df, batch: TB.append(spark, df, name, required=required, batch=batch)
+def table_sink(spark: SparkSession, name: str, required: tuple[str, ...], today: Callable | None = None) -> Sink:
+    """Append to a catalog table (REQUIRED columns checked in the write, its retention enforced as of ``today()``)."""
+    return lambda df, batch: TB.append(spark, df, name, required=required, batch=batch, today=today() if today else None)
 
 
 def path_sink(path: str, partition_source: str | None = "ingestion_time",
