@@ -21,9 +21,20 @@ References and wrappers come to the pages by a join on the host; both tables
 are written first, so Spark broadcasts one only when its size is below the
 session's limit, and otherwise splits the rows of a hot host.
 
+A host may hold many captures of one page, alike but for a date. A reference
+that shows ``ALIKE`` of a page's text or more says nothing about what is
+template, so it is not counted for that page. And where the template would
+take more than half of the text of a page's content element, it does not hold
+within that element: what most of a page consists of is not its frame.
+
+Elements may be nested to any depth. Of two sibling lists with more than
+``PAIRS`` pairs left between equal ends, siblings whose subtree shape is unique
+in both are matched first (a longest increasing run of them), and in a gap of
+still more pairs siblings are paired in order by label, which is linear but
+may miss the matching with most nodes.
+
 Defined results: a null or empty page gives an empty text; markup cut off
-anywhere is read as far as it goes; elements nested deeper than ``DEEPEST``
-stay in the text of the element at that depth; pages without a host form a
+anywhere is read as far as it goes; pages without a host form a
 host of their own; repeated rows each get their result; a tie between content
 paths goes to the first in code-point order; only the id, url and html columns
 are read.
@@ -34,6 +45,9 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+import sys
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,8 +61,11 @@ from .url_filter import host_of
 
 SHARE = 0.8
 LEAST_PAGES = 5
-DEEPEST = 150
-HOSTS = 500  # hosts whose references a task keeps at a time; the counts of older ones are sent on
+ALIKE = 0.9  # of a page's text in a reference: then they are captures of one page
+PAIRS = 10_000  # of siblings that are matched by a full table
+SPELLED = 64  # levels of an element path that are spelled out; below, a path is a digest
+HELD = 32 << 20  # characters of reference pages that a task keeps; the counts of older hosts are sent on
+HOSTS = 500  # templates that a task keeps as sets
 REFERENCES = 5  # pages of a host that all its pages are aligned with
 SLOTS = 16
 
@@ -91,10 +108,25 @@ _CHOICE = frozenset("option optgroup hr button selectedcontent".split())  # what
 
 
 class Node:
-    __slots__ = ("label", "tag", "kids", "items", "furniture", "inline", "shape")
-
-    def __init__(self, tag: str, label: str, furniture: bool, inline: bool = False):
-        self.tag, self.label, self.furniture, self.inline = tag, label, furniture, inline
+    __slots__ = ("label", "tag", "kids", "items", "furniture", "inline", "shape", "up", "path", "level", "main", "head", "foreign", "choice")
+
+    def __init__(self, tag: str, label: str, furniture: bool, inline: bool = False, up: "Node | None" = None):
+        self.tag, self.label, self.furniture, self.inline, self.up = tag, label, furniture, inline, up
+        # the path of block elements, the outermost article or main around, whether in the page's head
+        self.path, self.level, self.main, self.head = (up.path, up.level, up.main, up.head) if up else ("", 0, None, 0)
+        if up and not inline:
+            self.level += 1
+            self.path = f"{up.path}/{label}" if self.level <= SPELLED else f"#{xxhash.xxh64_hexdigest(up.path + '/' + label)}"
+        if self.main is None and tag in ("article", "main"):
+            self.main = self
+        # where on the stack of open elements the outermost drawing, select and head around are (0: none)
+        self.foreign, self.choice = (up.foreign, up.choice) if up else (0, 0)
+
+    def opened(self, at: int) -> None:
+        """The element stands at ``at`` on the stack."""
+        self.foreign = self.foreign or (at if self.tag in FOREIGN else 0)
+        self.choice = self.choice or (at if self.tag == "select" else 0)
+        self.head = self.head or (at if self.tag == "head" else 0)
         self.kids: list[Node] = []  # elements
         self.items: list = []  # elements and texts, in order
         self.shape = None
@@ -142,19 +174,19 @@ def parse(page: str) -> Node:
                 if tag in INLINE and not stack[i].inline or tag == "p" and stack[i].tag in _SCOPE:
                     break
             continue
-        foreign = next((i for i, x in enumerate(stack) if x.tag in FOREIGN), 0)
+        foreign = stack[-1].foreign
         if foreign and tag in _BREAKOUT and not any(x.tag in _INTEGRATION for x in stack[foreign:]):
             del stack[foreign:]
             foreign = 0
-        choice = next((i for i, x in enumerate(stack) if x.tag == "select"), 0)
+        choice = stack[-1].choice
         if choice and tag in _CHOICE:
             if tag in ("option", "optgroup", "hr") and stack[-1].tag == "option":
                 stack.pop()
         elif choice and tag not in INLINE:
             del stack[choice:]
             choice = 0
-        if not foreign and tag not in HEAD and (head := next((i for i, x in enumerate(stack) if x.tag == "head"), 0)):
-            del stack[head:]
+        if not foreign and tag not in HEAD and stack[-1].head:
+            del stack[stack[-1].head :]
         if tag not in INLINE and not foreign and not choice:
             ends = _ENDS.get(tag, ("p",)) if tag not in ("html", "head", "body") else ()
             for i in range(len(stack) - 1, 0, -1):
@@ -166,12 +198,13 @@ def parse(page: str) -> Node:
         name, marks = _attributes(m[3] or m[6] or "")
         inside = stack[-1].furniture
         own = tag in FURNITURE or bool(marks) and tag not in ("html", "body", "main", "article") and bool(_FURNITURE.search(marks))
-        if tag == "header" and not any(x.tag in ("article", "main") for x in stack):
+        if tag == "header" and not stack[-1].main:
             own = True
-        node = Node(tag, f"{tag}.{name}" if name else tag, inside or own, tag in INLINE or foreign > 0 or choice > 0)
+        node = Node(tag, f"{tag}.{name}" if name else tag, inside or own, tag in INLINE or foreign > 0 or choice > 0, stack[-1])
         stack[-1].items.append(node)
         stack[-1].kids.append(node)
-        if tag not in VOID and not closed and len(stack) < DEEPEST:
+        if tag not in VOID and not closed:
+            node.opened(len(stack))
             stack.append(node)
     if last < len(page):
         stack[-1].items.append(page[last:])
@@ -183,11 +216,11 @@ def _clean(parts: list[str]) -> str:
     return " ".join((entities.unescape(text) if "&" in text else text).split())
 
 
-def blocks(root: Node) -> Iterator[tuple[str, str, Node, list[Node]]]:
-    """Text blocks in page order: label path, text, the block's element and its open elements."""
-    todo: list = [(root, "", [root])]
+def blocks(root: Node) -> Iterator[tuple[str, Node]]:
+    """Text blocks in page order: text and the block's element."""
+    todo: list = [root]
     parts: list[str] = []
-    owner, path, line = root, "", [root]
+    owner = root
 
     def end():
         text = _clean(parts) if parts else ""
@@ -200,33 +233,37 @@ def blocks(root: Node) -> Iterator[tuple[str, str, Node, list[Node]]]:
         if isinstance(item, str):
             parts.append(item)
             continue
-        if item[0] is None:  # back in the parent
+        if isinstance(item, tuple):  # back in the parent
             if text := end():
-                yield path, text, owner, line
-            _, owner, path, line = item
+                yield text, owner
+            (owner,) = item
             continue
-        node, at, above = item
-        if node.inline:
-            if node.furniture and not owner.furniture:  # an advert or notice inside a line
-                if node.tag != "svg":
+        if item.inline:
+            if item.furniture and not owner.furniture:  # an advert or notice inside a line
+                if item.tag != "svg":
                     parts.append(" ")
                 continue
-            if node.tag in ("br", "wbr", "img", "input"):
+            if item.tag in ("br", "wbr", "img", "input"):
                 parts.append(" ")
-            todo.extend((x, at, above) if isinstance(x, Node) else x for x in reversed(node.items))
-            continue
-        if text := end():
-            yield path, text, owner, line
-        todo.append((None, owner, path, line))
-        owner, path, line = node, f"{at}/{node.label}", [*above, node]
-        todo.extend((x, path, line) if isinstance(x, Node) else x for x in reversed(node.items))
+        else:
+            if text := end():
+                yield text, owner
+            todo.append((owner,))
+            owner = item
+        todo.extend(reversed(item.items))
     if text := end():
-        yield path, text, owner, line
+        yield text, owner
 
 
 def _shape(node: Node) -> int:
-    if node.shape is None:
-        node.shape = hash((node.label, *map(_shape, node.kids)))
+    todo = [node]
+    while todo:
+        top = todo[-1]
+        if top.shape is None and (open_kids := [k for k in top.kids if k.shape is None]):
+            todo += open_kids
+            continue
+        top.shape = top.shape if top.shape is not None else hash((top.label, *(k.shape for k in top.kids)))
+        todo.pop()
     return node.shape
 
 
@@ -234,40 +271,83 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: the most node pairs with equal labels that keep order and ancestry."""
     if a.label != b.label:
         return 0, []
-    x, y, pairs, total = a.kids, b.kids, [(a, b)], 1
+    total, pairs = _siblings(a.kids, b.kids)
+    return total + 1, [(a, b), *pairs]
+
+
+def _siblings(x: list[Node], y: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
+    """The matching of two lists of siblings with their subtrees."""
+    pairs: list[tuple[Node, Node]] = []
     lo, hi = 0, 0
     while lo < min(len(x), len(y)) and _shape(x[lo]) == _shape(y[lo]):
         lo += 1
     while hi < min(len(x), len(y)) - lo and _shape(x[-1 - hi]) == _shape(y[-1 - hi]):
         hi += 1
     for u, v in [*zip(x[:lo], y[:lo], strict=True), *zip(x[len(x) - hi :], y[len(y) - hi :], strict=True)]:
-        n, own = _same(u, v)
-        total += n
-        pairs += own
+        pairs += _same(u, v)[1]
     x, y = x[lo : len(x) - hi], y[lo : len(y) - hi]
-    if x and y and {n.label for n in x} & {n.label for n in y}:
-        known: dict[tuple[int, int], tuple[int, list]] = {}
-        table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i, u in enumerate(x):
-            row, above = table[i + 1], table[i]
-            for j, v in enumerate(y):
-                best = above[j + 1] if above[j + 1] >= row[j] else row[j]
-                if u.label == v.label:
-                    known[i, j] = (1, [(u, v)]) if not (u.kids and v.kids) else match(u, v)
-                    if above[j] + known[i, j][0] > best:
-                        best = above[j] + known[i, j][0]
-                row[j + 1] = best
-        total += table[-1][-1]
-        i, j = len(x), len(y)
-        while i and j:
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
-            else:
-                pairs += known[i - 1, j - 1][1]
-                i, j = i - 1, j - 1
-    return total, pairs
+    if not x or not y or not {n.label for n in x} & {n.label for n in y}:
+        return len(pairs), pairs
+    if len(x) * len(y) > PAIRS:
+        pairs += _many_siblings(x, y)
+        return len(pairs), pairs
+    known: dict[tuple[int, int], tuple[int, list]] = {}
+    table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, u in enumerate(x):
+        row, above = table[i + 1], table[i]
+        for j, v in enumerate(y):
+            best = above[j + 1] if above[j + 1] >= row[j] else row[j]
+            if u.label == v.label:
+                known[i, j] = (1, [(u, v)]) if not (u.kids and v.kids) else match(u, v)
+                if above[j] + known[i, j][0] > best:
+                    best = above[j] + known[i, j][0]
+            row[j + 1] = best
+    i, j = len(x), len(y)
+    while i and j:
+        if table[i][j] == table[i - 1][j]:
+            i -= 1
+        elif table[i][j] == table[i][j - 1]:
+            j -= 1
+        else:
+            pairs += known[i - 1, j - 1][1]
+            i, j = i - 1, j - 1
+    return len(pairs), pairs
+
+
+def _many_siblings(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
+    """Long lists: shapes that are unique on both sides anchor the matching; a gap without any is paired by label."""
+    in_x, in_y = Counter(map(_shape, x)), Counter(map(_shape, y))
+    at = {_shape(n): j for j, n in enumerate(y) if in_y[_shape(n)] == 1}
+    tails, ends, before, spots = [], [], {}, {}
+    for i, n in enumerate(x):
+        if in_x[n.shape] == 1 and (j := at.get(n.shape)) is not None:
+            k = bisect_left(tails, j)
+            tails[k : k + 1], ends[k : k + 1] = [j], [i]
+            before[i], spots[i] = ends[k - 1] if k else None, j
+    anchors, i = [], ends[-1] if ends else None
+    while i is not None:
+        anchors.append((i, spots[i]))
+        i = before[i]
+    out: list[tuple[Node, Node]] = []
+    if not anchors:
+        places: dict[str, list[int]] = {}
+        for j, n in enumerate(y):
+            places.setdefault(n.label, []).append(j)
+        j = 0
+        for u in x:
+            same = places.get(u.label, [])
+            k = bisect_left(same, j)
+            if k < len(same):
+                out += match(u, y[same[k]])[1]
+                j = same[k] + 1
+        return out
+    last = (-1, -1)
+    for i, j in [*reversed(anchors), (len(x), len(y))]:
+        out += _siblings(x[last[0] + 1 : i], y[last[1] + 1 : j])[1]
+        if i < len(x):
+            out += _same(x[i], y[j])[1]
+        last = (i, j)
+    return out
 
 
 def _same(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
@@ -290,8 +370,8 @@ class _Reference:
     def __init__(self, page: str):
         self.page, self.root = page, parse(page)
         self.texts: dict[int, dict[str, int]] = {}
-        for path, text, node, _ in blocks(self.root):
-            self.texts.setdefault(id(node), {})[text] = node_key(path, text)
+        for text, node in blocks(self.root):
+            self.texts.setdefault(id(node), {})[text] = node_key(node.path, text)
 
 
 class _Host:
@@ -299,6 +379,7 @@ class _Host:
 
     def __init__(self, references: list[str]):
         self.references, self.pages = [_Reference(x) for x in references], 0
+        self.size = sum(map(len, references)) + 1000
         self.counts: dict[int, int] = {}  # of a key: the pages that show it
         self.mass: dict[str, int] = {}
 
@@ -306,22 +387,22 @@ class _Host:
         self.pages += 1
         root = parse(page)
         found = list(blocks(root))
+        size = sum(len(text) for text, node in found if not node.furniture)
         shown: set[int] = set()
         constant: set[int] = set()  # blocks that another page has at the same place
         for ref in self.references:
             partner = {id(b): id(a) for a, b in match(ref.root, root)[1]}
-            for i, (_, text, node, _) in enumerate(found):
-                key = ref.texts.get(partner.get(id(node)), {}).get(text)
-                if key is not None:
-                    shown.add(key)
-                    if ref.page != page:
-                        constant.add(i)
-        for i, (_, text, _, line) in enumerate(found):
-            if not line[-1].furniture and i not in constant:
-                inside = next((k for k, n in enumerate(line) if n.tag in ("article", "main")), None)
-                at = line[1 : inside + 1] if inside else line[1:-1] or line[1:]
-                where = "".join(f"/{n.label}" for n in at)
-                self.mass[where] = self.mass.get(where, 0) + len(text)
+            keys = [ref.texts.get(partner.get(id(node)), {}).get(text) for text, node in found]
+            if ref.page != page:
+                alike = sum(len(text) for (text, node), key in zip(found, keys) if key is not None and not node.furniture)
+                if alike > ALIKE * size:  # another capture of this page
+                    continue
+                constant |= {i for i, key in enumerate(keys) if key is not None}
+            shown |= {key for key in keys if key is not None}
+        for i, (text, node) in enumerate(found):
+            if not node.furniture and i not in constant:
+                at = node.main or (node.up if node.up and node.up.path else node)
+                self.mass[at.path] = self.mass.get(at.path, 0) + len(text)
         for key in shown:  # a page counts once, however often it repeats a text on one path
             self.counts[key] = self.counts.get(key, 0) + 1
 
@@ -346,14 +427,20 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in COUNTS.split(", ")])
 
+    sys.setrecursionlimit(1 << 20)  # trees may be deep; calls of Python functions need no machine stack
+    held = 0
     for batch in batches:
         for host, page, packed in zip(batch.column("host"), batch.column("html"), batch.column("packed"), strict=True):
             host = host.as_py()
-            seen = kept.pop(host, None) or _Host(json.loads(unpack(packed.as_py())))
+            seen = kept.pop(host, None)
+            if seen is None:
+                seen = _Host(json.loads(unpack(packed.as_py())))
+                held += seen.size
             kept[host] = seen  # the latest used come last
             seen.align(page.as_py() or "")
-            if len(kept) > HOSTS:
+            while held > HELD and len(kept) > 1:
                 oldest = next(iter(kept))
+                held -= kept[oldest].size
                 yield sent([(oldest, kept.pop(oldest))])
     yield sent(kept.items())
 
@@ -393,17 +480,25 @@ def induce(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGE
 
 def extract(page: str | None, content: str | None, template: frozenset) -> str:
     """Main text of one page, given its host's wrapper."""
-    own, at_path, rest = [], [], []
-    found = [x for x in blocks(parse(page or "")) if not x[2].furniture and all(n.tag != "head" for n in x[3])]
-    # a host whose pages are copies of one another is constant throughout: then nothing is a template
-    varying = [x for x in found if node_key(x[0], x[1]) not in template] if template else found
-    for path, text, _, line in varying or found:
-        rest.append(text)
-        if any(n.tag in ("article", "main") for n in line):
-            own.append(text)
-        if content and (path == content or path.startswith(content + "/")):
-            at_path.append(text)
-    return "\n\n".join(own or at_path or rest)
+    found = [(text, node) for text, node in blocks(parse(page or "")) if not node.furniture and not node.head]
+    under: dict[int, bool] = {}  # whether an element lies at the content path
+
+    def at_content(node: Node | None) -> bool:
+        line = []
+        while node is not None and id(node) not in under and node.path != content:
+            line.append(node)
+            node = node.up
+        inside = node is not None and under.get(id(node), True)
+        under.update((id(n), inside) for n in line)
+        return inside
+
+    # the content element: an article or main of the page's own, else at the host's content path, else all of it
+    region = [x for x in found if x[1].main] or (content and [x for x in found if at_content(x[1])]) or found
+    size = sum(len(text) for text, _ in region)
+    varying = [(text, node) for text, node in region if node_key(node.path, text) not in template] if template else region
+    if 2 * sum(len(text) for text, _ in varying) < size:
+        varying = region
+    return "\n\n".join(text for text, _ in varying)
 
 
 def _extract(schema: pa.Schema):
