@@ -121,15 +121,15 @@ class Node:
             self.main = self
         # where on the stack of open elements the outermost drawing, select and head around are (0: none)
         self.foreign, self.choice = (up.foreign, up.choice) if up else (0, 0)
+        self.kids: list[Node] = []  # elements
+        self.items: list = []  # elements and texts, in order
+        self.shape = None
 
     def opened(self, at: int) -> None:
         """The element stands at ``at`` on the stack."""
         self.foreign = self.foreign or (at if self.tag in FOREIGN else 0)
         self.choice = self.choice or (at if self.tag == "select" else 0)
         self.head = self.head or (at if self.tag == "head" else 0)
-        self.kids: list[Node] = []  # elements
-        self.items: list = []  # elements and texts, in order
-        self.shape = None
 
 
 def _attributes(text: str) -> tuple[str, str]:
