@@ -62,7 +62,7 @@ from .url_filter import host_of
 SHARE = 0.8
 LEAST_PAGES = 5
 ALIKE = 0.9  # of a page's text in a reference: then they are captures of one page
-PAIRS = 10_000  # of siblings that are matched by a full table
+PAIRS = 2_500  # of siblings that are matched by a full table
 SPELLED = 64  # levels of an element path that are spelled out; below, a path is a digest
 HELD = 32 << 20  # characters of reference pages that a task keeps; the counts of older hosts are sent on
 HOSTS = 500  # templates that a task keeps as sets
