@@ -443,7 +443,4 @@ SELECT event_id, {_DATE_ID} AS date_id, user_id AS customer_id, {_PRODUCT} AS pr
        {_SESSION} AS session_id, event_type
 FROM events ORDER BY ts, event_id LIMIT {FIRST_EVENTS}"""
 
-from . import stored as _stored  # noqa: E402  its queries use the fixtures above
-
-QUERIES.update(_stored.QUERIES)
-ORACLES.update(_stored.ORACLES)
+from . import stored as _stored  # noqa: E402,F401  adds its queries, which use the fixtures above

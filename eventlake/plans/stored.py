@@ -372,3 +372,6 @@ ORACLES = {
     "bounded_pull": QQ.ORACLES["consumer_pull"].replace(
         "FROM events", f"FROM (SELECT * FROM events ORDER BY ts, event_id LIMIT {PULLED}) AS events"),
 }
+
+QQ.QUERIES.update(QUERIES)
+QQ.ORACLES.update(ORACLES)
