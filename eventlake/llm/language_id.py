@@ -39,6 +39,7 @@ DIM = 4096
 PER_LANGUAGE = 400
 CENTROIDS = 4
 ROUNDS = 12
+NOISE = 2  # the quantile is divided by it: above what letter noise and base64 lines reach, below what clean texts do
 QUANTILE = 0.01
 MIN_LETTERS = 32
 UNKNOWN = "und"
@@ -122,7 +123,7 @@ def _cluster(idf: np.ndarray, k: int, rounds: int, quantile: float):
             held = [rows[nearest == i].mean(axis=0) if (nearest == i).any() else centroids[i] for i in range(len(centroids))]
             centroids = _unit(np.stack(held))
         best = (rows @ centroids.T).max(axis=1)
-        least = float(np.quantile(best, quantile)) / 3
+        least = float(np.quantile(best, quantile)) / NOISE
         return pa.table({
             "lang": pa.array([group.column("lang")[0].as_py()], pa.string()), "least": pa.array([least]),
             "centroids": pa.array([centroids.astype(np.float32).tobytes()], pa.binary()),

@@ -2,6 +2,7 @@
 
 import collections
 import datetime as dt
+import base64
 import random
 import re
 
@@ -155,3 +156,18 @@ def test_intervals(spark):
     e = [("block", "k", a, day(d), d) for a, d in (("add", 2), ("add", 4), ("remove", 7), ("add", 9))]
     got = url_filter.intervals(spark.createDataFrame(e, "list string, key string, action string, day date, seq long")).orderBy("valid_from").collect()
     assert [(r.valid_from.day, r.valid_to) for r in got] == [(2, day(4)), (4, day(7)), (9, dt.date(9999, 12, 31))]
+
+
+def test_noise_is_rejected_and_clean_text_kept(spark):
+    """Random letters, consonants and base64 lines are far from every language; held-out texts are not."""
+    rng = random.Random(1)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language_id.fit(docs.filter(~held_out))
+    some = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    noise = [some("abcdefghijklmnopqrstuvwxyz", n) for n in (50, 300, 300, 1000)] + [some("bcdfghjklmnpqrstvwxz", 300) for _ in range(4)]
+    noise += ["\n".join(base64.b64encode(rng.randbytes(57)).decode() for _ in range(n)) for n in (5, 20, 50, 100)]
+    got = language_id.predict(spark.createDataFrame(list(enumerate(noise)), "doc_id long, text string"), model)
+    assert got.filter("rejected").count() == len(noise)
+    kept = language_id.predict(docs.filter(held_out).select("doc_id", "text"), model).filter("NOT rejected").count()
+    assert kept >= 0.995 * docs.filter(held_out).count()
