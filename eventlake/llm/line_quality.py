@@ -134,7 +134,9 @@ def line_quality(
     hosts = stats.select(*key).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
     counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("held"))
     above = counts.filter(F.col("held") > min_docs).join(hosts, "host")
-    above = above.filter(F.col("held") > F.col("docs") * share).select("host", "line")
+    # stored first: the join broadcasts it where its measured size allows, and else is a stage of its own, whose hot
+    # lines adaptive execution can split
+    above = cut(above.filter(F.col("held") > F.col("docs") * share).select("host", "line"), "lines-above")
     removed = lines.join(above, ["host", "line"]).groupBy(*key).agg(F.sum("words").alias("removed"))
     out = stats.drop("lines", "line_words").join(removed, key, "left")
     n, gone = F.col("n_words"), F.coalesce(F.col("removed"), F.lit(0))
