@@ -8,7 +8,7 @@ those with the least id hash) into up to ``CENTROIDS`` centroids. A text gets
 the language of the centroid with the highest cosine, over its whole text.
 
 Distance-based rejection: ``rejected`` is true where the best cosine lies below
-the language's threshold, a third of the ``QUANTILE`` quantile of its own training
+the language's threshold, half of the ``QUANTILE`` quantile of its own training
 cosines; texts without a letter, and null texts, get ``und``, score 0, and are
 rejected. A few letters say little, so texts of under ``MIN_LETTERS`` bytes of
 letters are not rejected by distance.
