@@ -281,7 +281,38 @@ def q_publish_named(spark, sf_dir):
     return sent.unionByName(done.select(F.lit("outcome").alias("output"), F.col("id").alias("event_id"), F.lit(None).cast("string").alias("event_type"), "status", "reason"))
 
 
+def q_stream_progress(spark, sf_dir):
+    """A stream in pulls, whose second dies after both appends and is replayed: the counts kept, beside the rows stored."""
+    configure(spark)
+    root = scratch_path(spark, "stream_progress")
+    messages = CP.mixed(CP.events(spark, sf_dir)).select("value")
+    messages.repartition(7, "value").write.text(f"{root}/arrivals")
+    most, pulls = max(1, -(-messages.count() // 2)), 0
+    bronze, dead = ST.path_sink(f"{root}/bronze"), ST.path_sink(f"{root}/dead")
+
+    def dies(df, batch):
+        dead(df, batch)
+        raise RuntimeError("after both appends")
+
+    while pulls < 3:
+        source = MSG.stream_messages(spark, f"{root}/arrivals", most, f"{root}/position")
+        sink, pulls = (dies if pulls == 1 else dead), pulls + 1
+        try:
+            ST.run_available_now(source, bronze, sink, f"{root}/_checkpoint", stamp=_fixed_stamp(), progress=f"{root}/progress")
+        except Exception as lost:
+            if "after both appends" not in str(lost):
+                raise
+    names = ("n_batches", "n_messages", "n_valid", "n_deadletter", "stored_bronze", "stored_dead")
+    kept = ST.read_progress(spark, f"{root}/progress").agg(
+        F.count(F.lit(1)).alias("n_batches"), *[F.sum(c).alias(c) for c in names[1:4]])
+    for n in ("bronze", "dead"):
+        stored = spark.read.parquet(f"{root}/{n}").agg(F.count(F.lit(1)).alias(f"stored_{n}"))
+        kept = kept.unionByName(stored, allowMissingColumns=True)
+    return kept.agg(*[F.max(n).alias(n) for n in names])
+
+
 QUERIES = {
+    "stream_progress": q_stream_progress,
     "message_pull": q_message_pull,
     "closed_days": q_closed_days,
     "event_lookup": q_event_lookup,
@@ -330,6 +361,10 @@ _CANONICAL_TEXT = f"""
       'INVALID_UTF8' AS error, ts AS ingestion_time FROM events WHERE event_type = 'error'"""
 
 ORACLES = {
+    "stream_progress": f"""
+    WITH good AS (SELECT count(*) AS n FROM ({QQ._bronze_select("ts")})), bad AS (SELECT count(*) AS n FROM ({QQ.DEADLETTER_SQL}))
+    SELECT 2::BIGINT AS n_batches, (good.n + bad.n)::BIGINT AS n_messages, good.n::BIGINT AS n_valid, bad.n::BIGINT AS n_deadletter,
+           good.n::BIGINT AS stored_bronze, bad.n::BIGINT AS stored_dead FROM good, bad""",
     "message_pull": f"""
     SELECT b.*, 2::BIGINT AS n_pulls, (SELECT (count(*) + 1) // 2 FROM events)::BIGINT AS largest_pull
     FROM ({_CANONICAL.replace("ts AS ingestion_time", f"TIMESTAMP '{STAMP}' AS ingestion_time")}) AS b""",

@@ -74,7 +74,7 @@ def path_sink(path: str, partition_source: str | None = "ingestion_time",
 
 
 def fan_out(bronze: Sink, deadletter: Sink, staging: str, totals: dict | None = None,
-            source: Callable[[], str] = lambda: "load") -> Callable[[DataFrame, int], None]:
+            source: Callable[[], str] = lambda: "load", progress: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` callback: one decode, two appends.
 
     The decoded batch is written once below ``staging`` (a shared folder),
@@ -83,7 +83,9 @@ def fan_out(bronze: Sink, deadletter: Sink, staging: str, totals: dict | None =
     both sinks have it. ``source`` names the stream.
 
     With ``totals``, the counts of each write are added to ``totals`` when the
-    batch is done: exact over any number of batches, and no extra pass.
+    batch is done: exact over any number of batches, and no extra pass. With
+    ``progress`` (a shared folder) they are also kept there, see
+    :func:`read_progress`.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -100,8 +102,11 @@ def fan_out(bronze: Sink, deadletter: Sink, staging: str, totals: dict | None =
         seen_valid, seen_dead = Observation(), Observation()
         bronze(valid.observe(seen_valid, F.count(F.lit(1)).alias("n")), name)
         deadletter(dead.observe(seen_dead, F.count(F.lit(1)).alias("n")), name)
-        if totals is not None:
+        if totals is not None or progress:
             n_valid, n_dead = seen_valid.get["n"], seen_dead.get["n"]
+        if progress:
+            keep_progress(spark, progress, name, batch_id, n_valid, n_dead)
+        if totals is not None:
             totals["n_valid"] += n_valid
             totals["n_deadletter"] += n_dead
             totals["n_messages"] += n_valid + n_dead
@@ -111,6 +116,32 @@ def fan_out(bronze: Sink, deadletter: Sink, staging: str, totals: dict | None =
     return write_batch
 
 
+PROGRESS = "batch_id long, n_messages long, n_valid long, n_deadletter long, finished_at timestamp"
+
+
+def keep_progress(spark: SparkSession, progress: str, name: str, batch_id: int, n_valid: int, n_dead: int) -> None:
+    """Store the counts of a batch that both sinks have, under its name: a replay replaces them."""
+    counts = spark.range(0, 1, 1, 1).select(
+        F.lit(batch_id).cast("long").alias("batch_id"), F.lit(n_valid + n_dead).cast("long").alias("n_messages"),
+        F.lit(n_valid).cast("long").alias("n_valid"), F.lit(n_dead).cast("long").alias("n_deadletter"),
+        F.current_timestamp().alias("finished_at"), F.lit(name).alias(TB.BATCH_COLUMN),
+    )
+    writer = counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(TB.BATCH_COLUMN).parquet(progress)
+
+
+def read_progress(spark: SparkSession, progress: str) -> DataFrame:
+    """Counts of every finished batch of the streams that keep them in ``progress``, over any number of restarts.
+
+    A row is written after both appends of its batch and before the offsets are
+    committed, so the sums equal the rows stored: a batch that died earlier has
+    no row until its replay, one that died later is replaced by it.
+    """
+    if not path_exists(spark, progress):
+        return spark.createDataFrame([], f"{PROGRESS}, {TB.BATCH_COLUMN} string")
+    return spark.read.schema(f"{PROGRESS}, {TB.BATCH_COLUMN} string").parquet(progress)
+
+
 def _decoded_schema(batch: DataFrame) -> T.StructType:
     return T.StructType([*batch.schema.fields, T.StructField("bad", T.BooleanType())])
 
@@ -126,6 +157,7 @@ def start_ingest(
     min_partitions: int | None = None,
     totals: dict | None = None,
     stamp: Column | None = None,
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Start the two-sink ingest of a streaming ``source`` (column ``value``).
 
@@ -135,6 +167,7 @@ def start_ingest(
     ``min_partitions`` round-robins each micro-batch before decoding; set it
     only for a source that yields fewer splits than cores (a few large files).
     A Kafka source has its own ``minPartitions`` option for the same purpose.
+    ``progress`` names a shared folder that keeps the counts of every batch.
     """
     configure(source.sparkSession)
     if min_partitions:
@@ -147,7 +180,7 @@ def start_ingest(
 
     writer = (
         parsed_stream(source, stamp=stamp)
-        .writeStream.foreachBatch(fan_out(bronze, deadletter, f"{checkpoint}/decoded", totals, name))
+        .writeStream.foreachBatch(fan_out(bronze, deadletter, f"{checkpoint}/decoded", totals, name, progress))
         .option("checkpointLocation", checkpoint)
     )
     if query_name:
@@ -169,12 +202,13 @@ def run_available_now(
     timeout_sec: float | None = None,
     min_partitions: int | None = None,
     stamp: Column | None = None,
+    progress: str | None = None,
 ) -> dict:
     """Process what has arrived, stop, and return counters summed over all its batches."""
     totals = {"n_messages": 0, "n_valid": 0, "n_deadletter": 0, "batches": 0}
     query = start_ingest(
         source, bronze, deadletter, checkpoint,
-        available_now=True, min_partitions=min_partitions, totals=totals, stamp=stamp,
+        available_now=True, min_partitions=min_partitions, totals=totals, stamp=stamp, progress=progress,
     )
     query.awaitTermination(timeout_sec)
     if query.isActive:

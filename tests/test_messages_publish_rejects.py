@@ -97,3 +97,33 @@ def test_rejected_rows_are_kept(spark, tmp_path):
             (2, "event_id", "REQUIRED value is NULL: event_id"), (3, "date_id", "REQUIRED value is NULL: date_id"), (3, "event_id", "REQUIRED value is NULL: event_id")]
     assert [r.event_id for r in spark.table(layout.bronze).collect()] == [1, 1]
     assert spark.read.parquet(rejects).count() == 6
+
+
+def test_progress_outlives_the_driver(spark, tmp_path):
+    """Counts kept by batch: a crash before they are kept, a replay, a restart; the sums equal the rows stored."""
+    arrivals, out, kept = str(tmp_path / "arrivals"), str(tmp_path / "out"), str(tmp_path / "progress")
+    assert ST.read_progress(spark, kept).collect() == []
+    write_lines(arrivals, "a.json", [json.dumps(canonical_event(i)) for i in range(7)] + ["oops"])
+    write_lines(arrivals, "b.json", [json.dumps(canonical_event(i)) for i in range(7, 12)] + ["", "no"])
+    dead = ST.path_sink(f"{out}/dead")
+
+    def dies(df, batch):
+        dead(df, batch)
+        raise RuntimeError("after both appends")
+
+    def pull(sink):
+        source = MSG.stream_messages(spark, arrivals, 8, str(tmp_path / "position"))
+        ST.run_available_now(source, ST.path_sink(f"{out}/bronze"), sink, str(tmp_path / "ckpt"), progress=kept)
+
+    counts = lambda: sorted((r.batch_id, r.n_messages, r.n_valid, r.n_deadletter) for r in ST.read_progress(spark, kept).collect())
+    pull(dead)
+    first = counts()
+    assert first == [(0, 8, 7, 1)]
+    with pytest.raises(Exception, match="after both appends"):
+        pull(dies)
+    assert counts() == first
+    pull(dead)
+    assert counts() == [*first, (1, 7, 5, 2)]
+    assert spark.read.parquet(f"{out}/bronze").count() == 12 and spark.read.parquet(f"{out}/dead").count() == 3
+    ST.keep_progress(spark, kept, ST.read_progress(spark, kept).where("batch_id = 1").first().ingestion_batch, 1, 5, 2)
+    assert counts() == [*first, (1, 7, 5, 2)]  # kept again by a replay after it was kept
