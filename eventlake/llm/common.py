@@ -220,3 +220,10 @@ def inside(first: np.ndarray, lo: int, starts: np.ndarray, window: int) -> tuple
     """Row of each window start (counted from ``lo``) and whether the window ends within that row."""
     row = np.searchsorted(first, starts + lo, side="right") - 1
     return row, first[row + 1] - lo - starts >= window
+
+
+def places(first: np.ndarray, lo: int, marked: np.ndarray, row: int) -> np.ndarray:
+    """Row (from ``row`` on) and place in it, as one number, of the marked items of a slice that starts at ``lo``."""
+    i = np.flatnonzero(marked) + lo
+    r = np.searchsorted(first, i, side="right") - 1
+    return ((row + r) << 32) + (i - first[r])

@@ -6,6 +6,12 @@ saturate at two, and sends only the non-zero cells, grouped into blocks of
 pass needs is one bit per cell (count of two or more), so the merged sketch
 has a fixed size of ``DEPTH * 2**bits / 8`` bytes whatever the corpus holds.
 A fuller sketch overestimates more marks; it never underestimates one.
+
+Where a corpus has too many marks for a sketch of that size, ``verdicts``
+gives it one row of some 16 cells a mark, sharded and sparse: every task sends
+the cells of its marks with their places, a shard adds them up, and the places
+counted twice go back to their documents. Nothing grows on the driver or in a
+broadcast, and the share of marks overestimated stays the same at any size.
 """
 
 from __future__ import annotations
@@ -17,7 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-U64 = np.uint64
+from .common import U64, mix
+from .occurrences import ROUTED, Buffer, exact
+from .spans import SPAN, with_spans
+
+CELLS = 16  # cells a mark in a sharded sketch
+PER_SHARD = 1 << 18  # marks of the corpus per shard
+BUFFER = 1 << 20  # marks a task holds before it settles and sends their cells
 BLOCK_BITS = 16
 FLUSH = 1 << 21  # marks a task holds before it sends a partial sketch
 HOT_RATE, HOT_BITS = 1 / 8192, 24  # a mark is hot from some 30,000 texts on; 2 MB
@@ -111,3 +123,47 @@ def repeated(bitmap: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
         cell = _cells(marks, row, bits)
         keep &= (bitmap[row, (cell >> U64(3)).astype(np.int64)] >> (cell & U64(7)).astype(np.uint8)) & 1 == 1
     return keep
+
+
+def _cells_asked(windows: Callable, bits: int, shards: int):
+    """The cells of a task's marks, each with its document and place, routed by shard; counted twice in a buffer: settled."""
+
+    def run(batches):
+        held = Buffer(shards)
+        for batch in batches:
+            doc, tag = batch.column("doc").to_numpy(), batch.column("tag").to_numpy()
+            null = batch.column("null_id").to_numpy(zero_copy_only=False).astype(np.int8)
+            for *_, marks, seat in windows(batch.column("text")):
+                cell, row = _cells(marks, 0, bits), seat >> 32
+                at = (seat & 0xFFFFFFFF).astype(np.int32)
+                shard = (mix(cell) % U64(shards)).astype(np.int64)
+                held.add(cell, np.zeros(len(cell), np.uint32), doc[row], tag[row], at, null[row], shard)
+                if held.n >= BUFFER and (out := held.flush()) is not None:
+                    yield out
+        if (out := held.flush()) is not None:
+            yield out
+
+    return run
+
+
+def verdicts(rows: DataFrame, windows: Callable, n_marks: int, bits: int | None = None) -> DataFrame:
+    """The rows (``spans.keyed``) that hold a mark estimated at two or more, with the places of those marks as spans."""
+    bits = bits or max(8, min(63, int(CELLS * n_marks).bit_length()))
+    shards = int(min(1 << 30, max(64, n_marks // PER_SHARD)))
+    asked = rows.mapInArrow(_cells_asked(windows, bits, shards), ROUTED)
+    return with_spans(rows, asked.groupBy("bucket").applyInArrow(exact, SPAN), "inner")
+
+
+def judge(batch: pa.RecordBatch, bitmap, bits: int) -> Callable:
+    """Says which windows' marks are estimated at two or more, given those marks, and the slice's marks with their places.
+
+    With a broadcast bitmap from its cells; without one from the places that ``verdicts`` sent along with the rows.
+    """
+    if bitmap is not None:
+        return lambda least, marks, seat: repeated(bitmap.value, least, bits)
+    at, size = batch.column("at"), batch.column("size")
+    row = np.repeat(np.arange(len(at)), [len(x) if x is not None else 0 for x in at.to_pylist()])
+    first, size = at.flatten().to_numpy().astype(np.int64), size.flatten().to_numpy().astype(np.int64)
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    seats = np.repeat((row << 32) + first, size) + step
+    return lambda least, marks, seat: np.isin(least, marks[np.isin(seat, seats)])

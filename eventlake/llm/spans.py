@@ -36,10 +36,15 @@ def _key(id_col: str, text_col: str) -> list[Column]:
 def apply_spans(rows: DataFrame, spans: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``function(batches)`` over every row with ``at``/``size`` lists of its spans (null: none).
 
-    A row's spans are bounded by its own length. The span side is the small,
-    hashed one; the texts are shuffled once and never sorted.
+    The span side is the small, hashed one; the texts are shuffled once and
+    never sorted.
     """
-    lists = spans.groupBy(*KEY).agg(F.collect_list(F.struct("at", "size")).alias("spans"))
+    return with_spans(rows, spans, "left").mapInArrow(function, schema)
+
+
+def with_spans(rows: DataFrame, spans: DataFrame, how: str) -> DataFrame:
+    """Rows with the ``at``/``size`` lists of their spans. A set, combined before the shuffle: rows that repeat share
+    their spans, so a list is bounded by one text's length."""
+    lists = spans.groupBy(*KEY).agg(F.collect_set(F.struct("at", "size")).alias("spans"))
     lists = lists.select(*KEY, F.col("spans.at").alias("at"), F.col("spans.size").alias("size"))
-    joined = rows.join(lists.hint("shuffle_hash"), KEY, "left")
-    return joined.select(*KEY, "text", "at", "size").mapInArrow(function, schema)
+    return rows.join(lists.hint("shuffle_hash"), KEY, how).select(*KEY, "text", "at", "size")

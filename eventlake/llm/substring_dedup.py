@@ -8,7 +8,9 @@ covers is removed.
    inside the window, about one mark per 15 words) and adds the marks to a
    count-min sketch; the partition sketches are merged by block (``sketch``).
    A mark's count is never below that of any window that chose it, so the
-   merged sketch overestimates window counts.
+   merged sketch overestimates window counts. It is broadcast while it has two
+   cells a mark; for a larger corpus it grows with the marks, stays sharded,
+   and its verdicts go to the documents (``sketch.verdicts``).
 2. Windows whose mark is estimated at two or more are grouped exactly by a
    96-bit hash of their words. Windows that repeat within one task's buffer
    are settled there and sent once, so a very frequent passage costs a row per
@@ -36,26 +38,25 @@ from pyspark.sql import functions as F
 
 from . import sketch
 from .common import (
-    ROLL_A, ROLL_B, U64, anchors, buffers, covered, inside, mix, row_groups, runs, slices, word_hashes,
+    ROLL_A, ROLL_B, U64, anchors, buffers, covered, inside, mix, places, row_groups, runs, slices, word_hashes,
 )
+from .occurrences import ROUTED, Buffer, exact
 from .spans import SPAN, apply_spans, keyed
 
 WINDOW = 35
 GRAM = 8
 BITS, DEPTH = 27, 2  # merged sketch: 2 rows of 2^27 cells, 32 MB
+MARK_BYTES, LOAD = 64, 1 / 2  # bytes a mark, at least; marks a cell up to which the sketch is broadcast (4 GB of text)
 BUFFER = 1 << 20  # suspect windows a task holds before it settles and sends them
 PER_BUCKET = 1 << 18  # windows of the whole corpus per bucket
 
-ROUTED = (
-    "bucket int, a binary, b binary, doc binary, tag binary, at binary, kind binary, "
-    "s_doc binary, s_tag binary, s_at binary, s_size binary, s_null binary"
-)
 OUT = "doc long, null_id boolean, n_words long, n_removed long, n_spans long, kept string"
 
 
 def _windows(text: pa.Array, window: int, gram: int) -> Iterator[tuple]:
     """Per group of rows, sliced so that a very long text stays bounded: words, valid window starts, their row and
-    place in it, each start's mark, and the marks to count (a slice's edge may count one twice, never too few)."""
+    place in it, each start's mark, and the marks to count (a slice's edge may count one twice, never too few) with
+    their rows and places."""
     raw, offsets = buffers(text)
     for lo, hi in row_groups(offsets):
         part = offsets[lo : hi + 1]
@@ -70,85 +71,31 @@ def _windows(text: pa.Array, window: int, gram: int) -> Iterator[tuple]:
             grams = ROLL_A.spans(ROLL_A.prefix(piece), i, i + gram)
             least, marked = anchors(grams, valid, window - gram + 1)
             start, row = start[valid], row[valid]
-            yield piece, start, lo + row, (start + at - first[row]).astype(np.int32), least[valid], grams[marked]
+            seat = places(first, at, marked, lo)
+            yield piece, start, lo + row, (start + at - first[row]).astype(np.int32), least[valid], grams[marked], seat
 
 
 def _marks(window: int, gram: int):
     def run(batches):
         for batch in batches:
-            for *_, marks in _windows(batch.column("text"), window, gram):
+            for *_, marks, _ in _windows(batch.column("text"), window, gram):
                 yield marks
 
     return run
 
 
-class _Buffer:
-    """Suspect windows of one task, settled and sent in parts of bounded size."""
-
-    FIELDS = ("a", "b", "doc", "tag", "at", "null", "bucket")
-
-    def __init__(self, buckets: int):
-        self.buckets, self.parts, self.n = buckets, [], 0
-
-    def add(self, *columns: np.ndarray) -> None:
-        self.parts.append(columns)
-        self.n += len(columns[0])
-
-    def flush(self) -> pa.RecordBatch | None:
-        if not self.n:
-            return None
-        a, b, doc, tag, at, null, bucket = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        self.parts, self.n = [], 0
-        order = np.lexsort((b, a))
-        same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
-        first = np.concatenate([[True], ~same])
-        group = np.cumsum(first) - 1
-        count = np.bincount(group)
-        known = np.empty(len(a), bool)  # repeated within this buffer
-        known[order] = count[group] > 1
-        lead = np.empty(len(a), bool)
-        lead[order] = first
-        send = lead | ~known
-        kind = known.astype(np.int8)  # 1: known to repeat, sent only to tell the others
-        out = {k: [] for k in ROUTED_NAMES}
-        pick = np.flatnonzero(send)
-        pick = pick[np.argsort(bucket[pick], kind="stable")]
-        edges = np.flatnonzero(np.diff(bucket[pick], prepend=-1))
-        for lo, hi in zip(edges, np.append(edges[1:], len(pick)), strict=True):
-            i = pick[lo:hi]
-            row = [int(bucket[i[0]]), a[i], b[i], doc[i], tag[i], at[i], kind[i] | (null[i] << 1)]
-            for k, v in zip(ROUTED_NAMES, row + [b""] * 5, strict=True):
-                out[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
-        # settled windows travel as spans: neighbours in one row are one span
-        i = np.flatnonzero(known)
-        if len(i):
-            joined = (np.diff(at[i]) == 1) & (np.diff(doc[i]) == 0) & (np.diff(tag[i]) == 0)
-            starts = np.flatnonzero(np.concatenate([[True], ~joined]))
-            sizes = np.diff(np.append(starts, len(i))).astype(np.int32)
-            s = i[starts]
-            row = [int(bucket[s[0]]), b"", b"", b"", b"", b"", b"", doc[s], tag[s], at[s], sizes, null[s]]
-            for k, v in zip(ROUTED_NAMES, row, strict=True):
-                out[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(out[k], pa.int32() if k == "bucket" else pa.binary()) for k in ROUTED_NAMES],
-            names=ROUTED_NAMES,
-        )
-
-
-ROUTED_NAMES = [x.split()[0] for x in ROUTED.split(", ")]
-
-
 def _suspects(bitmap, hot, window: int, gram: int, bits: int, buckets: int):
     """Second pass: windows whose mark the sketch estimates at two or more, routed by mark, or by their own hash where the mark is hot."""
 
     def run(batches):
-        held = _Buffer(buckets)
+        held = Buffer(buckets)
         for batch in batches:
+            estimate = sketch.judge(batch, bitmap, bits)
             doc = batch.column("doc").to_numpy()
             tag = batch.column("tag").to_numpy()
             null = batch.column("null_id").to_numpy(zero_copy_only=False).astype(np.int8)
-            for words, start, row, at, least, _ in _windows(batch.column("text"), window, gram):
-                hit = np.flatnonzero(sketch.repeated(bitmap.value, least, bits))
+            for words, start, row, at, least, marks, seat in _windows(batch.column("text"), window, gram):
+                hit = np.flatnonzero(estimate(least, marks, seat))
                 if not len(hit):
                     continue
                 begin, r = start[hit], row[hit]
@@ -165,40 +112,6 @@ def _suspects(bitmap, hot, window: int, gram: int, bits: int, buckets: int):
     return run
 
 
-def _span_batch(doc, tag, null, at, size) -> pa.Table:
-    return pa.table({
-        "doc": pa.array(doc, pa.int64()), "tag": pa.array(tag, pa.int64()),
-        "null_id": pa.array(null.astype(bool)), "at": pa.array(at, pa.int32()), "size": pa.array(size, pa.int32()),
-    })
-
-
-def _exact(group: pa.Table) -> pa.Table:
-    """One bucket: windows whose word sequence was sent twice, or once by a buffer that held it twice."""
-    def col(name, kind):
-        return np.frombuffer(b"".join(group.column(name).to_pylist()), dtype=kind)
-
-    a, b, flags = col("a", np.uint64), col("b", np.uint32), col("kind", np.int8)
-    doc, tag, at = col("doc", np.int64), col("tag", np.int64), col("at", np.int32)
-    settled = [col(n, k) for n, k in (("s_doc", np.int64), ("s_tag", np.int64), ("s_null", np.int8), ("s_at", np.int32), ("s_size", np.int32))]
-    tables = [_span_batch(*settled)]
-    if len(a):
-        known, null = flags & 1, flags >> 1
-        order = np.lexsort((b, a))
-        same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
-        gid = np.cumsum(np.concatenate([[False], ~same]))
-        often = (np.bincount(gid) > 1) | (np.bincount(gid, weights=known[order]) > 0)
-        repeated = np.empty(len(a), bool)
-        repeated[order] = often[gid]
-        i = np.flatnonzero(repeated & (known == 0))
-        if len(i):
-            joined = (np.diff(at[i]) == 1) & (np.diff(doc[i]) == 0) & (np.diff(tag[i]) == 0)
-            starts = np.flatnonzero(np.concatenate([[True], ~joined]))
-            sizes = np.diff(np.append(starts, len(i)))
-            s = i[starts]
-            tables.append(_span_batch(doc[s], tag[s], null[s], at[s], sizes))
-    return pa.concat_tables(tables)
-
-
 def _remove(window: int):
     """Last pass: the words left, joined by one space, and what was removed."""
 
@@ -230,6 +143,7 @@ OUT_ARROW = pa.schema([
 def substring_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     window: int = WINDOW, gram: int = GRAM, bits: int = BITS, depth: int = DEPTH, hot_rate: float = sketch.HOT_RATE,
+    load: float = LOAD,
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, n_spans and the kept text."""
     if not 0 < gram <= window:
@@ -239,10 +153,14 @@ def substring_dedup(
     texts = rows.select("text")
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(1 << 30, max(64, chars // 6 // PER_BUCKET)))
-    bitmap = spark.sparkContext.broadcast(sketch.build(texts, _marks(window, gram), bits, depth))
+    n_marks = chars // MARK_BYTES
+    if n_marks <= load * (1 << bits):
+        bitmap, asked = spark.sparkContext.broadcast(sketch.build(texts, _marks(window, gram), bits, depth)), rows
+    else:
+        bitmap, asked = None, sketch.verdicts(rows, lambda text: _windows(text, window, gram), n_marks)
     hot = spark.sparkContext.broadcast(sketch.hot(texts, _marks(window, gram), hot_rate))
-    routed = rows.mapInArrow(_suspects(bitmap, hot, window, gram, bits, buckets), ROUTED)
-    spans = routed.groupBy("bucket").applyInArrow(_exact, SPAN)
+    routed = asked.mapInArrow(_suspects(bitmap, hot, window, gram, bits, buckets), ROUTED)
+    spans = routed.groupBy("bucket").applyInArrow(exact, SPAN)
     out = apply_spans(rows, spans, _remove(window), OUT)
     return out.select(
         F.when(~F.col("null_id"), F.col("doc")).alias(id_col), "n_words", "n_removed", "n_spans", "kept"

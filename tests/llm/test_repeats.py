@@ -153,3 +153,26 @@ def test_hot_mark_is_spread_over_buckets(spark, kind):
     for r in keyed(df, "doc_id", "text").mapInArrow(run(every, hot, *settings), schema).collect():
         size[r.bucket] += held(r)
     assert max(size.values()) < 0.2 * sum(size.values())
+
+
+@pytest.mark.parametrize("cells", [16, 1e-3])
+def test_sharded_sketch_like_brute_force(spark, monkeypatch, cells):
+    """No broadcast: the sketch is sharded by its cells and its verdicts go to the documents; also with cells far too few."""
+    data = awkward() + rows([words(50, 40) + " " + words(300 + i, 20) for i in range(40)], ids=list(range(100, 140)))
+    monkeypatch.setattr(sketch, "CELLS", cells)
+    assert words_of(substring_dedup(frame(spark, data, 5), load=0)) == brute_words(data, 35)
+    assert bytes_of(suffix_dedup(frame(spark, data, 5), load=0)) == brute_bytes(data, 50)
+    assert substring_dedup(frame(spark, []), load=0).collect() == []
+    assert suffix_dedup(frame(spark, []), load=0).collect() == []
+
+
+def test_verdicts_are_few_and_complete(spark):
+    """Marks that occur twice are all found, and hardly any other, as the cells grow with the marks."""
+    data = rows([words(i, 400) for i in range(300)] + [words(7, 400)], ids=list(range(301)))
+    df = keyed(frame(spark, data, 6), "doc_id", "text")
+    windows = lambda text: substring_dedup_module._windows(text, 35, 8)
+    n = 300 * 400 // 14
+    judged = sketch.verdicts(df, windows, n)
+    held = {r.doc: sum(r["size"]) for r in judged.select("doc", "at", "size").collect()}
+    assert held[7] == held[300] >= 20  # the text that stands twice
+    assert sum(held.values()) - held[7] - held[300] < 0.2 * n
