@@ -365,7 +365,8 @@ def classes(
     key = signed.select("doc", "tag", "null_id", "node", "words")
     whole = key.join(label, "node", "left").withColumn("label", F.when(F.col("node") != 0, F.coalesce("label", "node")))
     first = whole.filter("node <> 0").groupBy("label").agg(F.min(F.struct("null_id", "doc", "tag")).alias("first"), F.count(F.lit(1)).alias("members"))
-    out = whole.join(first, "label", "left")
+    # stored first, so that no aggregate stands between the rows' exchange and the join: Spark can split a hot class
+    out = whole.join(cut(first, "classes"), "label", "left")
     me = F.struct("null_id", "doc", "tag")
     leader = F.coalesce(F.col("first"), me)
     return out.select(
