@@ -7,11 +7,21 @@ order or splits. A page shows a reference's text if its partner of that node
 holds the same text. Tasks count the pages that show it; the counts of all tasks are added up per host.
 Nodes whose text is constant on at least ``share`` of the host's pages (with
 ``least_pages`` pages or more) become the template; the other nodes are slots
-whose content varies. The element path that holds most of the varying text,
-outside page furniture, is the host's content path.
-
-A page's text is that of the blocks under its content element (an ``article``
-or ``main`` of its own, else the host's content path, else its body) without
+whose content varies. A slot is a node of a reference, so siblings with one
+label are slots of their own: varying text is added up at the node of each
+reference that its element, or the nearest matched element around, is aligned
+with. From the page's root the content slot is found by going down to the one
+child that holds ``DESCEND`` of a node's varying text, as far as that is a
+container (``CONTAINERS`` with blocks inside), not below an ``article`` or
+``main``, and not past a node that shows varying headings or text of its own on
+half of the pages. The host's wrapper uses the reference whose slot holds most.
+
+To extract a page it is aligned with that reference: the partner of the content
+slot is the page's content element. Pages with an ``article`` or ``main`` keep
+to those of them that lie in it (to all of them, if none does); pages without a
+partner, hosts of fewer than ``least_pages`` pages, and pages that align badly
+(under half of their elements, and under half of their text in the partner) are
+read whole. The text is that of the blocks in the content element, without
 template nodes and without furniture: navigation, headers, footers, sidebars,
 notices, adverts, forms, reader comments, scripts and styles. Character
 references are decoded, white space inside a block is one space, blocks are
@@ -35,8 +45,8 @@ may miss the matching with most nodes.
 
 Defined results: a null or empty page gives an empty text; markup cut off
 anywhere is read as far as it goes; pages without a host form a
-host of their own; repeated rows each get their result; a tie between content
-paths goes to the first in code-point order; only the id, url and html columns
+host of their own; repeated rows each get their result; a tie between references
+goes to the one with the smaller hash; only the id, url and html columns
 are read.
 """
 
@@ -65,9 +75,11 @@ ALIKE = 0.9  # of a page's text in a reference: then they are captures of one pa
 PAIRS = 2_500  # of siblings that are matched by a full table
 SPELLED = 64  # levels of an element path that are spelled out; below, a path is a digest
 HELD = 32 << 20  # characters of reference pages that a task keeps; the counts of older hosts are sent on
-HOSTS = 500  # templates that a task keeps as sets
 REFERENCES = 5  # pages of a host that all its pages are aligned with
 SLOTS = 16
+DESCEND = 0.8  # of a node's varying text in one child: then the content lies in that child
+CONTAINERS = frozenset("html body div section center table tbody tr td main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -364,14 +376,59 @@ def node_key(path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{text}") - (1 << 63)
 
 
+def _numbered(root: Node) -> list[Node]:
+    """Elements in page order, parents first."""
+    out, todo = [], [root]
+    while todo:
+        out.append(todo.pop())
+        todo.extend(reversed(out[-1].kids))
+    return out
+
+
+def _is_slot(node: Node) -> bool:
+    """Whether a content element may lie here."""
+    held = node.up.main if node.up else None
+    return held is None and not node.furniture and node.tag in CONTAINERS and any(not k.inline for k in node.kids)
+
+
 class _Reference:
-    """A reference page: its tree, and of a node its texts and their keys."""
+    """A reference page: its tree, of a node its texts and their keys, and what varies at its nodes."""
 
     def __init__(self, page: str):
         self.page, self.root = page, parse(page)
         self.texts: dict[int, dict[str, int]] = {}
         for text, node in blocks(self.root):
             self.texts.setdefault(id(node), {})[text] = node_key(node.path, text)
+        self.nodes = _numbered(self.root)
+        self.number = {id(n): i for i, n in enumerate(self.nodes)}
+        self.mass = [0] * len(self.nodes)  # varying text aligned with a node itself
+        self.held: dict[int, int] = {}  # pages with varying headings or text of its own right in a node
+
+    def add(self, varying: list[tuple[str, Node]], partner: dict[int, int]) -> None:
+        held: set[int] = set()
+        for text, node in varying:
+            at = node
+            while id(at) not in partner:
+                at = at.up
+            i = self.number[partner[id(at)]]
+            self.mass[i] += len(text)
+            if at is node:
+                mine = self.nodes[i]
+                if mine.tag in HEADINGS and mine.up:
+                    held.add(self.number[id(mine.up)])
+                elif _is_slot(mine):
+                    held.add(i)
+        for i in held:
+            self.held[i] = self.held.get(i, 0) + 1
+
+    def slots(self) -> Iterator[tuple[int, int, int, int]]:
+        """Of every slot with varying text: number, the slot around, its text and the pages that hold it back."""
+        total = list(self.mass)
+        for i in range(len(total) - 1, 0, -1):
+            total[self.number[id(self.nodes[i].up)]] += total[i]
+        for i, node in enumerate(self.nodes):
+            if total[i] and (not i or _is_slot(node)):
+                yield i, (self.number[id(node.up)] if i else -1), total[i], self.held.get(i, 0)
 
 
 class _Host:
@@ -381,7 +438,6 @@ class _Host:
         self.references, self.pages = [_Reference(x) for x in references], 0
         self.size = sum(map(len, references)) + 1000
         self.counts: dict[int, int] = {}  # of a key: the pages that show it
-        self.mass: dict[str, int] = {}
 
     def align(self, page: str) -> None:
         self.pages += 1
@@ -390,8 +446,10 @@ class _Host:
         size = sum(len(text) for text, node in found if not node.furniture)
         shown: set[int] = set()
         constant: set[int] = set()  # blocks that another page has at the same place
+        partners = []
         for ref in self.references:
             partner = {id(b): id(a) for a, b in match(ref.root, root)[1]}
+            partners.append(partner)
             keys = [ref.texts.get(partner.get(id(node)), {}).get(text) for text, node in found]
             if ref.page != page:
                 alike = sum(len(text) for (text, node), key in zip(found, keys) if key is not None and not node.furniture)
@@ -399,22 +457,23 @@ class _Host:
                     continue
                 constant |= {i for i, key in enumerate(keys) if key is not None}
             shown |= {key for key in keys if key is not None}
-        for i, (text, node) in enumerate(found):
-            if not node.furniture and i not in constant:
-                at = node.main or (node.up if node.up and node.up.path else node)
-                self.mass[at.path] = self.mass.get(at.path, 0) + len(text)
+        varying = [x for i, x in enumerate(found) if i not in constant and not x[1].furniture and not x[1].head]
+        for ref, partner in zip(self.references, partners, strict=True):
+            ref.add(varying, partner)
         for key in shown:  # a page counts once, however often it repeats a text on one path
             self.counts[key] = self.counts.get(key, 0) + 1
 
-    def rows(self, host: str) -> Iterator[tuple[str, int, int, str, int]]:
-        yield host, 0, self.pages, "", 0
+    def rows(self, host: str) -> Iterator[tuple[str, int, int, int, int, int]]:
+        """Pages (``ref`` -2), pages of a template key (-1), and of each reference's slots: the slot around, text, pages."""
+        yield host, -2, 0, 0, self.pages, 0
         for key, count in self.counts.items():
-            yield host, key, count, "", 0
-        for path, size in self.mass.items():
-            yield host, 0, 0, path, size
+            yield host, -1, key, 0, count, 0
+        for r, ref in enumerate(self.references):
+            for slot, around, size, held in ref.slots():
+                yield host, r, slot, around, held, size
 
 
-COUNTS = "host string, key long, pages long, path string, mass long"
+COUNTS = "host string, ref int, key long, around long, pages long, mass long"
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,8 +482,8 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def sent(hosts):
         rows = [r for host, seen in hosts for r in seen.rows(host)]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in COUNTS.split(", ")])
 
     sys.setrecursionlimit(1 << 20)  # trees may be deep; calls of Python functions need no machine stack
@@ -466,34 +525,82 @@ def references(pages: DataFrame) -> DataFrame:
     return cut(lists.select("host", F.col("list.html").alias("html")).mapInArrow(_pack, "host string, packed binary"), "wrapper-references")
 
 
+def descend(slots: list[tuple[int, int, int, int]], pages: int) -> tuple[int, int]:
+    """Content slot and its text, from slots (number, slot around, text, pages that hold it back) in page order."""
+    at = text = held = -1
+    for slot, around, size, back in slots:
+        if at < 0 or around == at and 2 * held <= pages and size >= DESCEND * text:
+            at, text, held = slot, size, back
+    return at, text
+
+
+def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per host the reference whose content slot holds most: that page alone, packed, and the slot."""
+    pack, unpack = zstandard.ZstdCompressor().compress, zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        slots, packed = [], []
+        for chains, of, pages in zip(batch.column("chains").to_pylist(), batch.column("of").to_pylist(), batch.column("packed"), strict=True):
+            texts = json.loads(unpack(pages.as_py()))
+            best = max(
+                ((text, -c["ref"], slot) for c in chains
+                 for slot, text in [descend([(x["key"], x["around"], x["mass"], x["pages"]) for x in c["chain"]], of)]),
+                default=(0, 0, 0),
+            )
+            slots.append(best[2])
+            packed.append(pack(texts[-best[1]].encode()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), pa.array(slots, pa.int64()), pa.array(packed, pa.binary()), batch.column("template")],
+            names=["host", "slot", "packed", "template"],
+        )
+
+
 def induce(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """Wrappers of ``host, html`` pages: host, content path, and the keys of its template's texts."""
-    rows = pages.join(references(pages), "host").select("host", "html", "packed").mapInArrow(_align, COUNTS)
-    total = cut(rows.groupBy("host", "key", "path").agg(F.sum("pages").alias("pages"), F.sum("mass").alias("mass")), "wrapper-counts")
-    hosts = total.filter("key = 0 AND path = ''").select("host", F.col("pages").alias("of"))
-    constant = total.filter("key <> 0").join(hosts, "host").filter((F.col("pages") >= F.col("of") * share) & (F.col("of") >= least_pages))
+    """Wrappers of ``host, html`` pages: host, content slot, the reference that it is a node of, and the keys of its template's texts."""
+    refs = references(pages)
+    rows = pages.join(refs, "host").select("host", "html", "packed").mapInArrow(_align, COUNTS)
+    total = cut(rows.groupBy("host", "ref", "key", "around").agg(F.sum("pages").alias("pages"), F.sum("mass").alias("mass")), "wrapper-counts")
+    hosts = total.filter("ref = -2").select("host", F.col("pages").alias("of")).filter(F.col("of") >= least_pages)
+    constant = total.filter("ref = -1").join(hosts, "host").filter(F.col("pages") >= F.col("of") * share)
     template = constant.groupBy("host").agg(F.collect_list("key").alias("template"))
-    order = F.struct(F.col("mass"), F.col("path"))
-    content = total.filter("path <> ''").groupBy("host").agg(F.max(F.struct("mass")).alias("top"), F.max_by("path", order).alias("content"))
-    return hosts.select("host").join(content.select("host", "content"), "host", "left").join(template, "host", "left")
+    # slots with over half of a reference's varying text lie in each other: at most as many as the page is deep
+    slots = total.filter("ref >= 0")
+    whole = slots.filter("key = 0").select("host", "ref", F.col("mass").alias("whole"))
+    nested = slots.join(whole, ["host", "ref"]).filter("2 * mass > whole")
+    chain = F.sort_array(F.collect_list(F.struct("key", "around", "mass", "pages"))).alias("chain")
+    chains = nested.groupBy("host", "ref").agg(chain).groupBy("host").agg(F.collect_list(F.struct("ref", "chain")).alias("chains"))
+    joined = hosts.join(chains, "host").join(template, "host", "left").join(refs, "host")
+    return joined.select("host", "of", "chains", "template", "packed").mapInArrow(_choose, "host string, slot long, packed binary, template array<long>")
+
+
+class Wrapper:
+    """A host's reference page, its content slot and the keys of its template's texts."""
+
+    def __init__(self, page: str, slot: int, template: frozenset):
+        self.root, self.template = parse(page), template
+        self.slot = _numbered(self.root)[slot]
+        self.size = len(page) + 1000
+
+    def content(self, root: Node) -> tuple[Node | None, bool]:
+        """The page's partner of the content slot, and whether half of the page's elements have partners."""
+        n, pairs = match(self.root, root)
+        at = next((b for a, b in pairs if a is self.slot), None)
+        return at, 2 * n >= len(_numbered(root))
 
 
-def extract(page: str | None, content: str | None, template: frozenset) -> str:
+def extract(page: str | None, wrapper: Wrapper | None = None) -> str:
     """Main text of one page, given its host's wrapper."""
-    found = [(text, node) for text, node in blocks(parse(page or "")) if not node.furniture and not node.head]
-    under: dict[int, bool] = {}  # whether an element lies at the content path
-
-    def at_content(node: Node | None) -> bool:
-        line = []
-        while node is not None and id(node) not in under and node.path != content:
-            line.append(node)
-            node = node.up
-        inside = node is not None and under.get(id(node), True)
-        under.update((id(n), inside) for n in line)
-        return inside
-
-    # the content element: an article or main of the page's own, else at the host's content path, else all of it
-    region = [x for x in found if x[1].main] or (content and [x for x in found if at_content(x[1])]) or found
+    root = parse(page or "")
+    found = [(text, node) for text, node in blocks(root) if not node.furniture and not node.head]
+    region = [x for x in found if x[1].main] or found
+    template = wrapper.template if wrapper else frozenset()
+    if wrapper and found:
+        element, aligned = wrapper.content(root)
+        within = {id(n) for n in _numbered(element)} if element else ()
+        inside = [x for x in found if id(x[1]) in within]
+        if region is not found:
+            region = [x for x in inside if x[1].main] or region
+        elif inside and (aligned or 2 * sum(len(text) for text, _ in inside) >= sum(len(text) for text, _ in found)):
+            region = inside
     size = sum(len(text) for text, _ in region)
     varying = [(text, node) for text, node in region if node_key(node.path, text) not in template] if template else region
     if 2 * sum(len(text) for text, _ in varying) < size:
@@ -503,13 +610,22 @@ def extract(page: str | None, content: str | None, template: frozenset) -> str:
 
 def _extract(schema: pa.Schema):
     def run(batches):
-        sets: dict[int, frozenset] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
+        sys.setrecursionlimit(1 << 20)
+        kept: dict[str, Wrapper] = {}
+        held = 0
         for batch in batches:
             texts = []
-            for page, content, template in zip(batch.column("html"), batch.column("content"), batch.column("template"), strict=True):
-                keys = template.as_py() or ()
-                keys = sets.setdefault(hash(tuple(keys)), frozenset(keys)) if len(sets) < HOSTS else frozenset(keys)
-                texts.append(extract(page.as_py(), content.as_py(), keys))
+            for host, page, slot, packed, template in zip(*(batch.column(c) for c in ("host", "html", "slot", "packed", "template")), strict=True):
+                host, wrapper = host.as_py(), None
+                if packed.is_valid:
+                    if (wrapper := kept.pop(host, None)) is None:
+                        wrapper = Wrapper(unpack(packed.as_py()).decode(), slot.as_py(), frozenset(template.as_py() or ()))
+                        held += wrapper.size
+                    kept[host] = wrapper  # the latest used come last
+                    while held > HELD and len(kept) > 1:
+                        held -= kept.pop(next(iter(kept))).size
+                texts.append(extract(page.as_py(), wrapper))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string())], schema=schema)
 
     return run
@@ -520,7 +636,7 @@ def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     host = F.coalesce(host_of(url_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), F.col(html_col).cast("string").alias("html"))
     wrappers = cut(induce(rows.select("host", "html"), **options), "wrappers")
-    joined = rows.join(wrappers, "host", "left").select("id", "url", "html", "content", "template")
+    joined = rows.join(wrappers, "host", "left").select("id", "url", "host", "html", "slot", "packed", "template")
     schema = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
     out = joined.mapInArrow(_extract(schema), "id long, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")

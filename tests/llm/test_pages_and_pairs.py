@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventlake.llm import html_extract, near_dedup
@@ -35,7 +36,7 @@ SF = "/root/testdata/sf0.01"
     ],
 )
 def test_extract(page, text):
-    assert html_extract.extract(page, None, frozenset()) == text
+    assert html_extract.extract(page) == text
 
 
 @pytest.mark.parametrize(
@@ -51,7 +52,7 @@ def test_extract(page, text):
     ],
 )
 def test_extract_raw_and_foreign(inner, text):
-    assert html_extract.extract(f"<article><p>one</p>{inner}</article>", None, frozenset()) == text
+    assert html_extract.extract(f"<article><p>one</p>{inner}</article>") == text
 
 
 def test_pages_like_their_articles(spark):
@@ -82,6 +83,98 @@ def test_wrapper_without_semantic_tags(spark):
     assert html_extract.html_extract(df.limit(0)).collect() == []
 
 
+def test_slots_are_told_apart_without_tags_and_classes(spark):
+    """Menus, adverts and footers that vary by page are slots beside the article's, whatever their labels."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    bare = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "<(/?)(nav|article|footer)\\b", "<$1div"), ' class="[^"]*"', ""))
+    host = {r.page_id: r.h for r in pages.select("page_id", html_extract.host_of("url").alias("h")).collect()}
+    size = collections.Counter(host.values())
+    tagged = {r.page_id: r.text for r in html_extract.html_extract(pages).collect()}
+    got = {r.page_id: r.text for r in html_extract.html_extract(bare.repartition(7)).collect()}
+    large = [i for i in got if size[host[i]] >= html_extract.LEAST_PAGES]
+    assert len(large) > 100 and sum(got[i] == tagged[i] for i in large) >= 0.95 * len(large)
+    assert all(set(tagged[i].split("\n\n")) <= set(got[i].split("\n\n")) for i in got)  # no block of an article is lost
+
+
+def test_pages_of_another_layout_keep_their_article(spark):
+    menu = lambda i: "<div>" + "".join(f"<p>{words(i * 9 + k, 2)}</p>" for k in range(5)) + "</div>"
+    most = lambda i: f"<body>{menu(i)}<div><h1>{words(i, 4)}</h1><p>{words(1000 + i, 80)}</p><p>{words(2000 + i, 60)}</p></div></body>"
+    few = lambda i: f"<body><table><tr><td>{words(3000 + i, 90)}<td><ul><li>{words(4000 + i, 70)}</ul></table></body>"
+    data = [(i, "http://mixed.example/", most(i) if i < 30 else few(i)) for i in range(34)]
+    got = {r.page_id: r.text for r in html_extract.html_extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "\n\n".join([words(i, 4), words(1000 + i, 80), words(2000 + i, 60)]) for i in range(30))
+    assert all(got[i] == "\n\n".join([words(3000 + i, 90), words(4000 + i, 70)]) for i in range(30, 34))
+
+
+def test_wrapper_chooses_among_articles(spark):
+    """Also where tags exist: a teaser that is an article of its own lies in another slot than the story."""
+    page = lambda i: f"<body><div><article><p>{words(i, 5)}</p></article></div><div><article><h1>{words(i, 3)}</h1><p>{words(500 + i, 60)}</p></article></div></body>"
+    df = spark.createDataFrame([(i, "http://two.example/", page(i)) for i in range(20)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.html_extract(df).collect()}
+    assert all(got[i] == words(i, 3) + "\n\n" + words(500 + i, 60) for i in range(20))
+
+
+def test_induction_equals_one_process(spark):
+    """Wrappers of many tasks equal those counted page by page in one process."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select(html_extract.host_of("url").alias("host"), "html")
+    pages = pages.withColumn("html", F.regexp_replace("html", "<(/?)(nav|article|footer)\\b", "<$1div"))
+    pages = pages.withColumn("html", F.replace("html", F.lit("<body>"), F.lit("<body><div><p>Mind the rules</p></div>")))
+    got = {r.host: r for r in html_extract.induce(pages.repartition(9)).collect()}
+    unpack = html_extract.zstandard.ZstdDecompressor().decompress
+    refs = {r.host: html_extract.json.loads(unpack(bytes(r.packed))) for r in html_extract.references(pages).collect()}
+    by_host = collections.defaultdict(list)
+    for r in pages.collect():
+        by_host[r.host].append(r.html)
+    for host, all_pages in by_host.items():
+        if len(all_pages) < html_extract.LEAST_PAGES:
+            assert host not in got
+            continue
+        counts, trees = collections.Counter(), [html_extract.parse(x) for x in refs[host]]
+        mass, held = [collections.Counter() for _ in trees], [collections.Counter() for _ in trees]
+        for page in all_pages:
+            root = html_extract.parse(page)
+            texts = list(html_extract.blocks(root))
+            partner = [{id(b): a for a, b in html_extract.match(t, root)[1]} for t in trees]
+            shows, keys = [[] for _ in texts], set()
+            for tree, other, of in zip(trees, refs[host], partner, strict=True):
+                own = collections.defaultdict(set)
+                for text, node in html_extract.blocks(tree):
+                    own[id(node)].add(text)
+                same = [text in own[id(of.get(id(node)))] for text, node in texts]
+                part = sum(len(t) for (t, n), x in zip(texts, same) if x and not n.furniture)
+                if other == page or part <= 0.9 * sum(len(t) for t, n in texts if not n.furniture):
+                    for k, x in enumerate(same):
+                        shows[k] += [other != page] * x
+                    keys |= {html_extract.node_key(of[id(n)].path, t) for (t, n), x in zip(texts, same) if x}
+            counts.update(keys)
+            for k, of in enumerate(partner):
+                back = set()
+                for (text, node), x in zip(texts, shows):
+                    if not any(x) and not node.furniture and not node.head:
+                        at = node
+                        while id(at) not in of:
+                            at = at.up
+                        a = of[id(at)]
+                        if at is node and (a.tag in html_extract.HEADINGS or html_extract._is_slot(a)):
+                            back.add(id(a.up if a.tag in html_extract.HEADINGS else a))
+                        while a is not None:
+                            mass[k][id(a)] += len(text)
+                            a = a.up
+                held[k].update(back)
+        best = []
+        for k, tree in enumerate(trees):
+            at = tree
+            while 2 * held[k][id(at)] <= len(all_pages):
+                down = [c for c in at.kids if html_extract._is_slot(c) and mass[k][id(c)] >= 0.8 * mass[k][id(at)]]
+                if not down or not mass[k][id(at)]:
+                    break
+                at = down[0]
+            best.append((mass[k][id(at)], -k, html_extract._numbered(tree).index(at)))
+        assert got[host].slot == max(best)[2] and unpack(bytes(got[host].packed)).decode() == refs[host][-max(best)[1]]
+        template = {x for x, n in counts.items() if n >= 0.8 * len(all_pages)}
+        assert template and set(got[host].template or ()) == template
+
+
 def test_repeated_cell_counts_once_per_page(spark):
     """A minority of pages that repeat one text on one path does not make it a template."""
     page = lambda i: f"<body><article>{'<p>* * *</p>' * 10 if i < 10 else ''}<p>{words(i, 20)}</p></article></body>"
@@ -117,7 +210,7 @@ def test_captures_of_one_page_keep_their_article(spark):
 def test_deep_pages_keep_their_structure(spark, depth):
     inner = "<article><p>text</p><nav><p>menu</p></nav><p>more</p></article>"
     page = "<div>" * depth + inner + "</div>" * depth
-    assert html_extract.extract(page, None, frozenset()) == "text\n\nmore"
+    assert html_extract.extract(page) == "text\n\nmore"
     rows = [(k, "http://deep.example/", page.replace("more", f"more {k}").replace("text", f"text {k}")) for k in range(6)]
     got = html_extract.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert {r.page_id: r.text for r in got.collect()} == {k: f"text {k}\n\nmore {k}" for k in range(6)}
