@@ -204,6 +204,10 @@ def _build_plan(mode: str, is_binary: bool, value: str):
                 stage.update(more)
     readings.update(ts_stages[0])
     stages.append(_aliased(readings))
+    if mode != "drop":
+        # Rewriting a container's tokens is interpreted, so it stands at the cut (below it: above, Catalyst would
+        # merge the next stage into this one).
+        stages.append(_aliased({"_containers": C.container_texts(F.col("raw_message"), {n: F.col(f"_t_{n}") for n in text_names})}))
     stages.append(_SPLIT)
 
     # Stage 4+: the rest of the timestamp, one projection per step.
@@ -224,11 +228,11 @@ def _build_plan(mode: str, is_binary: bool, value: str):
         ints = {n: C.to_int(a[n], F.col(f"_l_{n}"), 0) for n in int_names}
         session_col = C.to_text(
             a["session_id"], F.col("_t_session_id"), F.col("_s_session_id"),
-            S.DEFAULT_SESSION_ID, S.SESSION_ID_MAX, F.col("_p_session_id"),
+            S.DEFAULT_SESSION_ID, S.SESSION_ID_MAX, F.col("_p_session_id"), F.col("_containers")[0],
         )
         etype_col = C.to_text(
             a["event_type"], F.col("_t_event_type"), F.col("_s_event_type"),
-            S.DEFAULT_EVENT_TYPE, S.EVENT_TYPE_MAX, F.col("_p_event_type"),
+            S.DEFAULT_EVENT_TYPE, S.EVENT_TYPE_MAX, F.col("_p_event_type"), F.col("_containers")[1],
         )
         text_ok = F.lit(True)
 

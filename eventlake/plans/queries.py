@@ -119,6 +119,18 @@ def _date_ids(corpus_fn):
     return q
 
 
+def q_container_texts(spark, sf_dir):
+    """Objects and arrays where a text is expected, coerced to the text that Python prints."""
+    e = _events(spark, sf_dir)
+    text = F.format_string(
+        '{"event_id":%d,"session_id":{"user":%d, "k":[%d,true,null],"type":"%s\'s","value":%s},"event_type":["%s"],"event_timestamp":"%s"}',
+        "event_id", "user_id", CP.product_of(F.col("props")), "event_type", F.col("value").cast("string"), "event_type",
+        F.date_format("ts", "yyyy-MM-dd"),
+    )
+    rows = P.valid_rows(_parse(e.select(text.alias("value"), "ts"), stamp=_ts()))
+    return rows.select("event_id", "session_id", "event_type")
+
+
 def q_gold_dedup(spark, sf_dir):
     return M.dedup(M.silver(bronze(spark, sf_dir)), method="window")
 
@@ -265,6 +277,7 @@ QUERIES: dict[str, QueryFn] = {
     "epoch_date_id": _date_ids(CP.epoch),
     "offset_date_id": _date_ids(CP.offsets),
     "iso_variants_date_id": _date_ids(CP.iso_variants),
+    "container_texts": q_container_texts,
     "gold_dedup": q_gold_dedup,
     "gold_dedup_agg": q_gold_dedup_agg,
     "gold_dedup_ties": q_gold_dedup_ties,
@@ -391,6 +404,12 @@ ORACLES: dict[str, str] = {
     SELECT event_id, left(repeat(event_type, 20), 50) AS event_type,
            left(repeat({_SESSION}, 30), 255) AS session_id
     FROM events""",
+    "container_texts": f"""
+    SELECT event_id,
+           left('{{''user'': ' || CAST(user_id AS VARCHAR) || ', ''k'': [' || CAST({_PRODUCT} AS VARCHAR) || ', True, None], ''type'': "'
+                || event_type || '''s", ''value'': ' || CAST(value AS VARCHAR) || '}}', 255) AS session_id,
+           left('[''' || event_type || ''']', 50) AS event_type
+    FROM events""",
     "epoch_date_id": _DATE_ID_ORACLE,
     "offset_date_id": _DATE_ID_ORACLE,
     "iso_variants_date_id": _DATE_ID_ORACLE,

@@ -73,7 +73,7 @@ EDGE = [
     ('{"event_id":18446744073709551616}', "INVALID_INT:event_id"),
     ('{"event_id":1,"event_timestamp":1784368800000}', "INVALID_TIMESTAMP"),
     ('{"event_id":1,"event_timestamp":"2026-07-18T10:00:00.5Z"}', dict(date_id=20260718)),
-    ('{"event_id":1,"session_id":12,"event_type":{"a":1}}', dict(session_id="12", event_type='{"a":1}')),
+    ('{"event_id":1,"session_id":12,"event_type":{"a":1}}', dict(session_id="12", event_type="{'a': 1}")),
     ("null", "NOT_AN_OBJECT"),
     ('"x"', "NOT_AN_OBJECT"),
     ('{"event_id":1,"event_timestamp":1e18}', "INVALID_TIMESTAMP"),

@@ -2,11 +2,12 @@
 
 Generated inputs are evaluated in one Spark job per example batch. Inputs in
 the documented deviation classes (non-ASCII digits, numbers that a double
-holds only roughly) are not generated.
+holds only roughly, characters newer than the JVM's Unicode) are not generated.
 """
 
 import datetime as dt
 import json
+from unicodedata import ucd_3_2_0
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -118,3 +119,19 @@ def test_iso_timestamps_match_fromisoformat(spark, texts):
             assert got.error == "INVALID_TIMESTAMP", (t, got)
         else:
             assert got.error is None and got.date_id == expected, (t, got)
+
+
+containers = st.recursive(
+    st.none() | st.booleans() | st.integers(-(10**18), 10**18) | plain_floats
+    | st.text(st.characters(exclude_categories=("Cs",)).filter(lambda c: ucd_3_2_0.category(c) != "Cn"), max_size=8)
+    | st.sampled_from(["it's", 'a "b"', "both ' and \"", "\\", "\n\t\r", "\x07\xa0​", ", : [1]"]),
+    lambda inner: st.lists(inner, max_size=4) | st.dictionaries(st.text(max_size=4, alphabet="ab'\" \\"), inner, max_size=4), max_leaves=12,
+).filter(lambda v: isinstance(v, list | dict))
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(containers, min_size=30, max_size=80), st.booleans())
+def test_containers_as_python_prints_them(spark, values, ascii_only):
+    messages = [(json.dumps({"event_id": i, "session_id": v}, ensure_ascii=ascii_only),) for i, v in enumerate(values)]
+    got = {r.event_id: r.session_id for r in P.parse(spark.createDataFrame(messages, "value string")).collect()}
+    assert got == {i: str(v)[:255] for i, v in enumerate(values)}
